@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from taxograph.llm import pii, secret_scan, url_filter
+from taxograph.llm import hilbert_shards, mixing, pii, secret_scan, url_filter, warc
 
 URL_RULES = [
     ("block", "com", "/en/"),
@@ -14,11 +14,20 @@ URL_RULES = [
     ("block", "org", "/es/"),
 ]
 
+SHARDS = 16
+#: CRC-32 of a text's bytes in SQL: the table from the reflected polynomial, then byte by byte.
+CRC_TABLES = "crc0 AS (SELECT i AS n, i::UBIGINT AS c FROM range(256) r(i)), " + ", ".join(f"crc{k + 1} AS (SELECT n, xor(c >> 1, 3988292384::UBIGINT * (c & 1)) AS c FROM crc{k})" for k in range(8)) + ", crc AS (SELECT list(c ORDER BY n) AS crc_of FROM crc8)"
+CRC32 = """xor(4294967295::UBIGINT, list_reduce(list_prepend(4294967295::UBIGINT, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), p -> ('0x' || p)::UBIGINT)), (c, b) -> xor(c >> 8, crc_of[xor(c & 255, b) + 1])))::BIGINT"""
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -28,18 +37,81 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.span_digest(found, secret_scan.KINDS, ["assign", "access", "hex"], "doc_id")
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op7_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_shards.hilbert_shards(table(spark, sf_dir, "documents"), SHARDS).drop("curve")
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.pii_spans(table(spark, sf_dir, "documents"))
     return secret_scan.span_digest(found, pii.KINDS, ["email", "ip", "card", "phone"], "doc_id")
 
 
+def hilbert_sql(shards: int = SHARDS) -> str:
+    """The shards in SQL: one common table per bit plane of the curve."""
+    bits, n = hilbert_shards.BITS, hilbert_shards.DIMS
+    inverse, entry, direction = hilbert_shards.gray_tables(n)
+    at = lambda t, i: f"(CASE {i} {' '.join(f'WHEN {k} THEN {v}' for k, v in enumerate(t))} END)"
+
+    def turned(value, by, left):
+        def up(k):
+            return f"((({value} << {k}) | ({value} >> {n - k})) & {(1 << n) - 1})" if k else value
+
+        return f"(CASE {by} {' '.join(f'WHEN {k} THEN {up(k if left else (n - k) % n)}' for k in range(n))} END)"
+
+    steps, last = [], "cells"
+    for b in reversed(range(bits)):
+        plane = f"(((x >> {b}) & 1) | (((y >> {b}) & 1) << 1) | (((z >> {b}) & 1) << 2))"
+        steps.append(f"w{b} AS (SELECT *, {at(inverse, turned(f'xor({plane}, e)', f'((d + 1) % {n})', False))} AS w FROM {last})")
+        steps.append(f"s{b} AS (SELECT * EXCLUDE (w, h, e, d), h * {1 << n} + w AS h, xor(e, {turned(at(entry, 'w'), f'((d + 1) % {n})', True)}) AS e, (d + {at(direction, 'w')} + 1) % {n} AS d FROM w{b})")
+        last = f"s{b}"
+    rank = lambda c: f"(SELECT {c} AS value, ((row_number() OVER (ORDER BY {c} NULLS LAST) - 1) * {1 << bits}) // greatest(count(*) OVER (), {1 << bits}) AS cell FROM (SELECT DISTINCT {c} FROM documents))"
+    return f"""
+WITH {CRC_TABLES},
+sized AS (SELECT doc_id, source, lang, coalesce(strlen(text), 0) + 1 AS size, text FROM documents),
+cells AS (
+  SELECT doc_id, size, text, a.cell AS x, b.cell AS y, least(length(bin(size)) - 1, {(1 << bits) - 1}) AS z, 0::BIGINT AS h, 0::BIGINT AS e, 0::BIGINT AS d
+  FROM sized JOIN {rank('source')} a ON source IS NOT DISTINCT FROM a.value JOIN {rank('lang')} b ON lang IS NOT DISTINCT FROM b.value),
+{', '.join(steps)},
+placed AS (SELECT *, row_number() OVER (ORDER BY h, doc_id NULLS LAST, size) - 1 AS pos, count(*) OVER () AS n FROM {last}),
+sharded AS (SELECT *, (pos * {shards}) // n AS shard FROM placed)
+SELECT doc_id, size, {CRC32} AS text_crc32, 'rows' AS law, shard::INTEGER AS shard, pos - (shard * n + {shards - 1}) // {shards} AS slot, NULL::INTEGER AS grown_shard
+FROM sharded, crc"""
+
+
 QUERIES = {
+    "op1_warc": op1_warc,
     "op2_url_filter": op2_url_filter,
     "op3_secret_scan": op3_secret_scan,
+    "op4_mixing": op4_mixing,
+    "op7_hilbert_shards": op7_hilbert_shards,
     "op9_pii": op9_pii,
 }
 
 ORACLE: dict[str, str] = {
+    "op1_warc": """
+WITH hashed AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+firsts AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM hashed)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN first <> page_id THEN first END AS refers_to
+FROM firsts""",
+    "op4_mixing": r"""
+WITH sized AS (SELECT doc_id, source, CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END AS size FROM documents),
+per AS (SELECT source, sum(size)::BIGINT AS source_size, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS weight FROM sized GROUP BY source),
+level AS (
+  SELECT *, 2.0 * source_size / weight AS full_at,
+         (1.5 * sum(source_size) OVER () - (sum(2.0 * source_size) OVER (ORDER BY 2.0 * source_size / weight, source NULLS LAST ROWS UNBOUNDED PRECEDING) - 2.0 * source_size))
+         / sum(weight) OVER (ORDER BY 2.0 * source_size / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS at_level
+  FROM per),
+common AS (SELECT arg_min(at_level, full_at) AS at_level FROM level WHERE full_at >= at_level),
+targets AS (SELECT source, source_size, least(2.0 * source_size, weight * common.at_level) AS target FROM level, common),
+placed AS (
+  SELECT doc_id, source, size, sum(size) OVER (PARTITION BY source ORDER BY md5(coalesce(doc_id::VARCHAR, '')), doc_id, size ROWS UNBOUNDED PRECEDING) - size AS low FROM sized)
+SELECT doc_id, size, source_size, target,
+       (greatest(0, least(low + size, round(target)::BIGINT) - low) + greatest(0, least(low + source_size + size, round(target)::BIGINT) - low - source_size))::BIGINT AS taken
+FROM placed JOIN targets ON placed.source IS NOT DISTINCT FROM targets.source""",
     "op2_url_filter": r"""
 WITH parsed AS (
   SELECT page_id,
@@ -54,3 +126,4 @@ fits AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fits
 """,
 }
+ORACLE["op7_hilbert_shards"] = hilbert_sql()
