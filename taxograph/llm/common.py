@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import zstandard
@@ -67,3 +68,25 @@ def pack(a: np.ndarray, level: int = 1) -> bytes:
 
 def unpack(b: bytes, dtype) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(b), dtype=dtype)
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """At most so many rows in an Arrow batch for the actions inside; for rows of several MB."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def planes(a: np.ndarray) -> bytes:
+    """pack() by byte planes, which zstandard shrinks better for small integers."""
+    return pack(np.ascontiguousarray(a).view("u1").reshape(len(a), -1).T)
+
+
+def unplanes(b: bytes, dtype) -> np.ndarray:
+    width = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(unpack(b, "u1").reshape(width, -1).T).view(dtype).ravel()

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from taxograph.llm import hilbert_shards, mixing, pii, secret_scan, url_filter, warc
+from taxograph.llm import decontaminate, hilbert_shards, mixing, pii, secret_scan, url_filter, warc
 
 URL_RULES = [
     ("block", "com", "/en/"),
@@ -17,7 +18,7 @@ URL_RULES = [
 SHARDS = 16
 #: CRC-32 of a text's bytes in SQL: the table from the reflected polynomial, then byte by byte.
 CRC_TABLES = "crc0 AS (SELECT i AS n, i::UBIGINT AS c FROM range(256) r(i)), " + ", ".join(f"crc{k + 1} AS (SELECT n, xor(c >> 1, 3988292384::UBIGINT * (c & 1)) AS c FROM crc{k})" for k in range(8)) + ", crc AS (SELECT list(c ORDER BY n) AS crc_of FROM crc8)"
-CRC32 = """xor(4294967295::UBIGINT, list_reduce(list_prepend(4294967295::UBIGINT, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), p -> ('0x' || p)::UBIGINT)), (c, b) -> xor(c >> 8, crc_of[xor(c & 255, b) + 1])))::BIGINT"""
+CRC32 = """xor(4294967295::UBIGINT, list_reduce(list_prepend(4294967295::UBIGINT, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda p: ('0x' || p)::UBIGINT)), lambda c, b: xor(c >> 8, crc_of[(xor(c & 255, b) + 1)::BIGINT])))::BIGINT"""
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +42,11 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op7_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_shards.hilbert_shards(table(spark, sf_dir, "documents"), SHARDS).drop("curve")
 
@@ -87,6 +93,7 @@ QUERIES = {
     "op2_url_filter": op2_url_filter,
     "op3_secret_scan": op3_secret_scan,
     "op4_mixing": op4_mixing,
+    "op5_decontaminate": op5_decontaminate,
     "op7_hilbert_shards": op7_hilbert_shards,
     "op9_pii": op9_pii,
 }
@@ -127,3 +134,17 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fit
 """,
 }
 ORACLE["op7_hilbert_shards"] = hilbert_sql()
+ORACLE["op5_decontaminate"] = r"""
+WITH dw AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+bw AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[i:i + least(len(w), 13) - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(range(1, greatest(1, len(w) - 12) + 1)) AS i FROM bw WHERE len(w) > 0)),
+lengths AS (SELECT DISTINCT n FROM windows),
+grams AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS phrase FROM (SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM dw, lengths WHERE len(w) >= n)),
+found AS (SELECT doc_id, i, grams.n, item_id FROM grams JOIN windows ON grams.n = windows.n AND grams.phrase = windows.phrase),
+hit AS (SELECT doc_id, count(DISTINCT at_word) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS at_word FROM found) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id)
+SELECT dw.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)"""
