@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taxograph.llm import decontaminate, hilbert_shards, mixing, pii, secret_scan, url_filter, warc
+from taxograph.llm import decontaminate, hilbert_shards, mixing, pii, secret_scan, topk_search, url_filter, warc
 
 URL_RULES = [
     ("block", "com", "/en/"),
@@ -56,6 +56,10 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.span_digest(found, pii.KINDS, ["email", "ip", "card", "phone"], "doc_id")
 
 
+def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def hilbert_sql(shards: int = SHARDS) -> str:
     """The shards in SQL: one common table per bit plane of the curve."""
     bits, n = hilbert_shards.BITS, hilbert_shards.DIMS
@@ -96,6 +100,7 @@ QUERIES = {
     "op5_decontaminate": op5_decontaminate,
     "op7_hilbert_shards": op7_hilbert_shards,
     "op9_pii": op9_pii,
+    "op10_topk_search": op10_topk_search,
 }
 
 ORACLE: dict[str, str] = {
@@ -148,3 +153,9 @@ items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item
 SELECT dw.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)"""
+ORACLE["op10_topk_search"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20"""
