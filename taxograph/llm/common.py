@@ -10,6 +10,7 @@ from contextlib import contextmanager
 import numpy as np
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL: dict[str, str] = {}
 
@@ -90,3 +91,13 @@ def planes(a: np.ndarray) -> bytes:
 def unplanes(b: bytes, dtype) -> np.ndarray:
     width = np.dtype(dtype).itemsize
     return np.ascontiguousarray(unpack(b, "u1").reshape(width, -1).T).view(dtype).ravel()
+
+
+#: Ids of at most this many rows (about 16 MB) are broadcast; more are joined by a shuffle.
+BROADCAST_IDS = 2_000_000
+
+
+def by_ids(df: DataFrame, ids: DataFrame, id_col: str, how: str) -> DataFrame:
+    """df semi- or anti-joined with ids, sparing df's texts the shuffle while the ids are few."""
+    ids = staged(ids, "ids")
+    return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, id_col, how)

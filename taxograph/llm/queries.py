@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taxograph.llm import decontaminate, hilbert_shards, mixing, pii, secret_scan, topk_search, url_filter, warc
+from taxograph.llm import decontaminate, hilbert_shards, mixing, near_dedup, pii, secret_scan, topk_search, url_filter, warc
 
 URL_RULES = [
     ("block", "com", "/en/"),
@@ -47,6 +47,10 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_shards.hilbert_shards(table(spark, sf_dir, "documents"), SHARDS).drop("curve")
 
@@ -98,6 +102,7 @@ QUERIES = {
     "op3_secret_scan": op3_secret_scan,
     "op4_mixing": op4_mixing,
     "op5_decontaminate": op5_decontaminate,
+    "op6_near_dedup": op6_near_dedup,
     "op7_hilbert_shards": op7_hilbert_shards,
     "op9_pii": op9_pii,
     "op10_topk_search": op10_topk_search,
@@ -159,3 +164,15 @@ WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUB
 scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20"""
+ORACLE["op6_near_dedup"] = r"""
+WITH RECURSIVE dw AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i FROM dw WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * both >= 75 * (x.n + y.n - both)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, edges.b FROM reach JOIN edges ON reach.b = edges.a),
+least_of AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM least_of LEFT JOIN sizes USING (doc_id)"""
