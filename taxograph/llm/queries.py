@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taxograph.llm import decontaminate, hilbert_shards, mixing, near_dedup, pii, secret_scan, topk_search, url_filter, warc
+import corpus_pipeline
+from taxograph.llm import decontaminate, hilbert_shards, mixing, near_dedup, pii, quality_lm, secret_scan, topk_search, url_filter, warc
 
 URL_RULES = [
     ("block", "com", "/en/"),
@@ -55,6 +56,11 @@ def op7_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_shards.hilbert_shards(table(spark, sf_dir, "documents"), SHARDS).drop("curve")
 
 
+def op8_quality_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    return quality_lm.quality(table(spark, sf_dir, "documents"), trusted)
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.pii_spans(table(spark, sf_dir, "documents"))
     return secret_scan.span_digest(found, pii.KINDS, ["email", "ip", "card", "phone"], "doc_id")
@@ -104,8 +110,10 @@ QUERIES = {
     "op5_decontaminate": op5_decontaminate,
     "op6_near_dedup": op6_near_dedup,
     "op7_hilbert_shards": op7_hilbert_shards,
+    "op8_quality_lm": op8_quality_lm,
     "op9_pii": op9_pii,
     "op10_topk_search": op10_topk_search,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {
@@ -170,8 +178,8 @@ shingles AS (
   SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
   FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i FROM dw WHERE len(w) > 0)),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
-common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
-links AS (SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * both >= 75 * (x.n + y.n - both)),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * shared >= 75 * (x.n + y.n - shared)),
 edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, edges.b FROM reach JOIN edges ON reach.b = edges.a),
 least_of AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
