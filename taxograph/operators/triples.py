@@ -36,7 +36,7 @@ def _triple(s: Column, p: str, o: Column, kind: str, dtype: Column) -> Column:
 
 def emitted(df: DataFrame, triples: list[Column], src: str) -> DataFrame:
     """A row per triple that has both ends; one pass over df."""
-    rows = df.select(F.explode(F.filter(F.array(*triples), lambda t: t.isNotNull())).alias("t"), "row_id")
+    rows = df.select(F.explode(F.array_compact(F.array(*triples))).alias("t"), "row_id")
     return rows.select("t.*", F.lit(src).alias("src"), "row_id").select(*COLUMNS)
 
 
@@ -49,27 +49,46 @@ def box(*parts: Column | str) -> Column:
     return F.concat(F.lit(V.EMI_BOX), *[F.lit(p) if isinstance(p, str) else p for p in parts])
 
 
+def _inverse_of(t: Column, table: dict[str, str]) -> Column:
+    """The inverse of a triple struct, null where it has none."""
+    back = S.lookup(table, t["p"])
+    whole = F.struct(t["o"].alias("s"), back.alias("p"), t["s"].alias("o"), t["o_kind"].alias("o_kind"), t["o_dtype"].alias("o_dtype"))
+    return F.when((t["o_kind"] == "iri") & back.isNotNull(), whole)
+
+
 def inverse(triples: DataFrame, table: dict[str, str] = V.INVERSE) -> DataFrame:
     """The inverse of each triple with an IRI object whose predicate has one; single pass, not repeated."""
-    found = triples.filter("o_kind = 'iri'").withColumn("__inverse", S.lookup(table, F.col("p"))).filter("__inverse is not null")
-    return found.select(F.col("o").alias("s"), F.col("__inverse").alias("p"), F.col("s").alias("o"), "o_kind", "o_dtype", "src", "row_id")
+    rows = triples.select(_inverse_of(F.struct("s", "p", "o", "o_kind", "o_dtype"), table).alias("t"), "src", "row_id")
+    return rows.filter("t is not null").select("t.*", "src", "row_id").select(*COLUMNS)
 
 
 def as_set(triples: DataFrame) -> DataFrame:
-    """Each triple once; src and row_id of the first."""
-    keys = [F.col(k) for k in ("s", "p", "o", "o_kind", "o_dtype")]
-    first = triples.groupBy(*keys).agg(F.min_by(F.struct("src", "row_id"), "row_id").alias("__f"))
-    return first.select("s", "p", "o", "o_kind", "o_dtype", "__f.src", "__f.row_id").select(*COLUMNS)
+    """Each triple once, with the least row_id; of several sources the least name.
 
+    The keys are the triple and the buffers are numbers and one string, so this is one aggregate with
+    partial results before the exchange.
+    """
+    once = triples.groupBy("s", "p", "o", "o_kind", "o_dtype").agg(F.min("src").alias("src"), F.min("row_id").alias("row_id"))
+    return once.select(*COLUMNS)
 
-def with_inverse(triples: DataFrame) -> DataFrame:
-    return as_set(triples.unionByName(inverse(triples)))
 
+def with_inverse(triples: DataFrame, table: dict[str, str] = V.INVERSE) -> DataFrame:
+    """A set of triples and their inverses, the input read once."""
+    own = F.struct("s", "p", "o", "o_kind", "o_dtype")
+    both = triples.select(F.explode(F.array_compact(F.array(own, _inverse_of(own, table)))).alias("t"), "src", "row_id")
+    return as_set(both.select("t.*", "src", "row_id"))
 
-def typed_once(entities: DataFrame, rdf_type: str, src: str) -> DataFrame:
-    """Type and label of each (iri, label, row_id), once, with the label seen first; a null label gives only the type."""
+
+def labelled_once(entities: DataFrame, src: str) -> DataFrame:
+    """The label of each (iri, label, row_id) that was seen first; one with a null label has none."""
     first = first_seen(entities.select("iri", "label", "row_id"), "iri", ["label", "row_id"])
-    return emitted(first, [iri(F.col("iri"), V.RDF + "type", rdf_type), literal(F.col("iri"), V.RDFS + "label", F.col("label"))], src)
+    return emitted(first, [literal(F.col("iri"), V.RDFS + "label", F.col("label"))], src)
+
+
+def typed_once(entities: DataFrame, rdf_type: str, src: str) -> DataFrame:
+    """Type and label of each (iri, label, row_id), once, with the label seen first."""
+    types = entities.groupBy("iri").agg(F.min("row_id").alias("row_id")).filter("iri is not null")
+    return emitted(types, [iri(F.col("iri"), V.RDF + "type", rdf_type)], src).unionByName(labelled_once(entities, src))
 
 
 def numbered(records: DataFrame, batch: int | None = None) -> DataFrame:
@@ -87,22 +106,27 @@ def interaction_triples(records: DataFrame, sexes: DataFrame, entities: DataFram
     rows = numbered(records, batch)
     rec = box(F.concat(F.lit("inRec"), F.col("rec").cast("string")))
     rows = rows.withColumn("__rec", rec)
-    for side in ("source", "target"):
+    for side in SIDES:
         rows = rows.withColumn(f"__{side}", box("SAMPLE-", S.encode_iri(F.col(f"{side}_wd")), "-inRec", F.col("rec").cast("string")))
     value = lambda name: invalid_to_null(F.col(name))
     type_id, type_name = value("interactionTypeId"), value("interactionTypeName")
     by_id, by_name = F.when(type_name.isNotNull(), type_id), F.when(type_id.isNull(), box(S.encode_iri(type_name)))
+    rows = rows.withColumn("__type_iri", F.coalesce(by_id, by_name)).withColumn("__type_label", F.when(by_id.isNotNull(), type_name))
+    slots = [(side, part) for part in PARTS for side in SIDES]
+    for side, part in slots:
+        rows = _entity(rows, f"{side}{part}", entities)
     r = F.col("__rec")
     made = [
         iri(r, V.RDF + "type", V.EMI + "Interaction"),
-        iri(r, V.EMI + "isClassifiedWith", F.coalesce(by_id, by_name)),
+        iri(r, V.EMI + "isClassifiedWith", F.col("__type_iri")),
+        iri(F.col("__type_iri"), V.RDF + "type", V.EMI + "InteractionType"),
         literal(r, V.PROV + "atLocation", value("localityName")),
         literal(r, V.DCTERMS + "bibliographicCitation", value("referenceDoi")),
         literal(r, V.DCTERMS + "bibliographicCitation", value("sourceDOI")),
         literal(r, V.WGS84 + "lat", value("decimalLatitude")),
         literal(r, V.WGS84 + "long", value("decimalLongitude")),
     ]
-    for side, link in (("source", "hasSource"), ("target", "hasTarget")):
+    for side, link in zip(SIDES, ("hasSource", "hasTarget"), strict=True):
         sample, name, wd = F.col(f"__{side}"), value(f"{side}_name"), value(f"{side}_wd")
         named = F.when(name.isNotNull(), sample)
         made += [
@@ -112,41 +136,41 @@ def interaction_triples(records: DataFrame, sexes: DataFrame, entities: DataFram
             iri(named, V.SOSA + "isSampleOf", box("ORGANISM-", S.encode_iri(name))),
             iri(sample, V.EMI + "inTaxon", F.concat(F.lit(V.WD), wd)),
         ]
-    out = emitted(rows, made, src)
-    types = rows.select(F.coalesce(by_id, by_name).alias("iri"), F.when(by_id.isNotNull(), type_name).alias("label"), "row_id")
-    out = out.unionByName(typed_once(types, V.EMI + "InteractionType", src))
-    for part, link, kind in (("BodyPart", "hasAnatomicalEntity", "AnatomicalEntity"), ("LifeStage", "hasDevelopmentalStage", "DevelopmentalStage")):
-        out = out.unionByName(_entities(rows, part, V.EMI + link, V.EMI + kind, entities, src))
-    return with_inverse(out.unionByName(_sexes(rows, sexes, src)))
+    for side, part in slots:
+        link, kind = PARTS[part]
+        entity = F.col(f"__{side}{part}_iri")
+        made += [iri(F.col(f"__{side}"), V.EMI + link, entity), iri(entity, V.RDF + "type", V.EMI + kind)]
+    # two narrow passes besides: first labels, and the counts of sexes
+    labels = [F.struct(F.col(f"__{n}_iri").alias("iri"), F.col(f"__{n}_label").alias("label")) for n in ("type", *(f"{a}{b}" for a, b in slots))]
+    named = rows.select(F.explode(F.array(*labels)).alias("e"), "row_id").select("e.iri", "e.label", "row_id")
+    out = emitted(rows, made, src).unionByName(labelled_once(named, src)).unionByName(_sexes(rows, sexes, src))
+    return with_inverse(out)
 
 
-def _sides(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """(sample, row_id, columns...) of both sides; columns maps a result name to the part after the side."""
-    sides = [rows.select(F.col(f"__{side}").alias("sample"), "row_id", *[F.col(f"{side}{c}").alias(n) for n, c in columns.items()]) for side in ("source", "target")]
-    return sides[0].unionByName(sides[1])
+SIDES = ("source", "target")
+#: Parts of a record that become entities: their link and their class.
+PARTS = {"BodyPart": ("hasAnatomicalEntity", "AnatomicalEntity"), "LifeStage": ("hasDevelopmentalStage", "DevelopmentalStage")}
 
 
-def _entities(rows: DataFrame, part: str, link: str, kind: str, entities: DataFrame | None, src: str) -> DataFrame:
-    """Links to body parts or life stages: by compact identifier or IRI, else by looking the name up."""
-    own = _sides(rows, {"name": f"{part}Name", "id": f"{part}Id"}).filter(S.valid(F.col("name")) | S.valid(F.col("id")))
-    own = own.withColumn("iri", S.expand_curie(invalid_to_null(F.col("id"))))
-    found = own.filter("iri is not null").select("sample", "row_id", "iri", invalid_to_null(F.col("name")).alias("label"))
-    if entities is not None:
-        looked = T.lookup_terms(own.filter("iri is null and name is not null").drop("iri"), "name", entities).filter("entity_iri is not null")
-        found = found.unionByName(looked.select("sample", "row_id", F.col("entity_iri").alias("iri"), F.col("entity_name").alias("label")))
-    links = emitted(found, [iri(F.col("sample"), link, F.col("iri"))], src)
-    return links.unionByName(typed_once(found, kind, src))
+def _entity(rows: DataFrame, slot: str, entities: DataFrame | None) -> DataFrame:
+    """rows with the IRI and label of a slot: by compact identifier or IRI, else by looking the name up."""
+    name, own = invalid_to_null(F.col(f"{slot}Name")), S.expand_curie(invalid_to_null(F.col(f"{slot}Id")))
+    if entities is None:
+        return rows.withColumn(f"__{slot}_iri", own).withColumn(f"__{slot}_label", name)
+    found = T.lookup_terms(rows.withColumn("__name", name), "__name", entities)
+    found = found.withColumn(f"__{slot}_label", F.when(own.isNotNull(), F.col("__name")).otherwise(F.col("entity_name")))
+    return found.withColumn(f"__{slot}_iri", F.coalesce(own, "entity_iri")).drop("__name", "entity_iri", "entity_name")
 
 
 def _sexes(rows: DataFrame, sexes: DataFrame, src: str) -> DataFrame:
     """Counts per sex on a blank node whose name follows from sample and sex."""
-    own = _sides(rows, {"sex": "SexName"})
+    sides = F.array(*[F.struct(F.col(f"__{side}").alias("sample"), F.col(f"{side}SexName").alias("sex")) for side in SIDES])
+    own = rows.select(F.explode(sides).alias("e"), "row_id").select("e.sample", "e.sex", "row_id")
     counted = T.count_terms(own, "sex", ["sample", "row_id"], sexes)
-    node = F.concat(F.lit("_:b"), F.substring(F.sha2(F.concat_ws("\n", "sample", "iri"), 256), 1, 32))
-    counted = counted.withColumn("node", node)
-    n = F.col("node")
-    made = emitted(counted, [bnode(F.col("sample"), V.EMI + "hasSex", n), iri(n, V.QUDT_INTERACTIONS + "quantityKind", F.col("iri")), literal(n, V.QUDT_INTERACTIONS + "numericValue", F.col("n"), INTEGER)], src)
-    return made.unionByName(typed_once(counted.select("iri", F.lit(None).cast("string").alias("label"), "row_id"), V.EMI + "BiologicalSex", src))
+    counted = counted.withColumn("node", F.concat(F.lit("_:b"), F.substring(F.sha2(F.concat_ws("\n", "sample", "iri"), 256), 1, 32)))
+    n, of = F.col("node"), F.col("iri")
+    made = [bnode(F.col("sample"), V.EMI + "hasSex", n), iri(n, V.QUDT_INTERACTIONS + "quantityKind", of), literal(n, V.QUDT_INTERACTIONS + "numericValue", F.col("n"), INTEGER), iri(of, V.RDF + "type", V.EMI + "BiologicalSex")]
+    return emitted(counted, made, src)
 
 
 def term_entities(df: DataFrame, text: str, subject: str, link: str, kind: str, entities: DataFrame, src: str = "terms") -> DataFrame:
