@@ -57,8 +57,8 @@ def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / F.nullif(F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)), F.lit(0.0))
 
 
-#: Labels are broadcast up to this many values of a vector in all (about 256 MB of floats).
-MOST_VALUES = 1 << 26
+#: A part of the labels holds at most this many vector values in all (128 MB as doubles).
+MOST_VALUES = 1 << 24
 
 
 def best_matches(terms: DataFrame, labels: DataFrame, keys: list[str], label_columns: list[str], vector: str = "vector", order: str = "label_id", exclude_equal: tuple[str, str] | None = None, decimals: int | None = None) -> DataFrame:
