@@ -44,7 +44,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     taken = mixing.mix(docs).groupBy("doc_id").agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"))
     copies = taken.filter("doc_id is not null and size > 0").select("doc_id", F.round(F.col("taken") / F.col("size")).cast("int").alias("copies")).filter("copies <> 1")
-    copies = common.staged(copies, "copies")
+    copies = common.staged(copies, "copies", common.tasks_for(docs.count()))
     small = copies.count() <= common.BROADCAST_IDS
     counted = docs.join(F.broadcast(copies) if small else copies, "doc_id", "left")
     return counted.withColumn("copy", F.explode(F.sequence(F.lit(0), F.coalesce("copies", F.lit(1))))).filter("copy > 0").select(*docs.columns)

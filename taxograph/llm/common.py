@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL: dict[str, str] = {}
+#: Writers and readers hold a row group in memory; packed rows are large.
+ROW_GROUP_BYTES = 16 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -46,11 +48,14 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """df written to the shared folder and read back: cuts lineage, survives lost executors."""
+def staged(df: DataFrame, name: str, tasks: int | None = None) -> DataFrame:
+    """df written to the shared folder and read back: cuts lineage, survives lost executors.
+
+    tasks: at most so many write it, for results that are small next to what they are made from.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    (df if tasks is None else df.coalesce(tasks)).write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -63,6 +68,11 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def tasks_for(rows: int, each: int = 1_000_000) -> int:
+    """Tasks that write so many rows, when a task takes `each`."""
+    return -(-rows // each) or 1
+
+
 def pack(a: np.ndarray, level: int = 1) -> bytes:
     return zstandard.ZstdCompressor(level=level).compress(np.ascontiguousarray(a).tobytes())
 
@@ -98,6 +108,8 @@ BROADCAST_IDS = 2_000_000
 
 
 def by_ids(df: DataFrame, ids: DataFrame, id_col: str, how: str) -> DataFrame:
-    """df semi- or anti-joined with ids, sparing df's texts the shuffle while the ids are few."""
-    ids = staged(ids, "ids")
+    """df joined with distinct ids (semi, anti or with what they bring), sparing df's texts the shuffle while the ids are few.
+
+    ids are made twice, for their count and for the join; they should come from staged tables.
+    """
     return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, id_col, how)

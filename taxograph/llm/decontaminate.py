@@ -190,7 +190,7 @@ def hits(index: DataFrame, benchmark: DataFrame, id_col: str = "item_id", text_c
     slack None: exact phrases; else spans of window + slack words with all the window's words.
     """
     spark = index.sparkSession
-    parts = list(F_ for F_ in _search_all(index, benchmark, id_col, text_col, window, slack))
+    parts = [*_search_all(index, benchmark, id_col, text_col, window, slack)]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

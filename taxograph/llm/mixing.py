@@ -91,7 +91,7 @@ def mix(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_
     """(id, size, source_size, target, taken) of every row: the words of it that the mix takes."""
     key = F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit("t"))
     sizes = staged(df.select(F.col(id_col).alias("id"), key.alias("key"), words_of(F.col(text_col)).alias("size")), "mix-sizes")
-    targets = staged(source_targets(sizes), "mix-targets")
+    targets = staged(source_targets(sizes), "mix-targets", 1)
     whole = targets.agg(F.coalesce(F.sum("quota"), F.lit(0)).alias("words"), F.count(F.lit(1)).alias("sources")).first()
     block = min(BLOCK_MOST, max(BLOCK_LEAST, whole["words"] // BLOCKS))
     slots = schedule(targets, whole["words"] // block + whole["sources"], block)

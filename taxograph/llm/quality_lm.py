@@ -32,12 +32,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from taxograph.llm.common import arrow_rows, by_ids, pack, partitions, small_batches, staged, unpack
+from taxograph.llm.common import arrow_rows, by_ids, pack, small_batches, staged, unpack
 from taxograph.llm.wordhash import mix
 
 ORDER, BITS, PRIOR, HELD_OUT, QUANTILE, SLACK = 4, 12, 60, 5, 0.99, 1.0
 BLOCK_ROWS, SHARDS, PIECE, STEP = 1024, 64, 1 << 20, 1000
 SMALL_CODES = 2048
+#: Tasks that write the tables of the model, whose size the alphabet bounds.
+MODEL_TASKS = 8
 MASKS = [(1 << (BITS * k)) - 1 for k in range(ORDER + 1)]
 
 
@@ -90,7 +92,7 @@ def gram_counts(texts: DataFrame) -> DataFrame:
         yield rows(total)
 
     small_batches(texts.sparkSession)
-    return staged(texts.mapInArrow(run, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n")), "grams")
+    return staged(texts.mapInArrow(run, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n")), "grams", MODEL_TASKS)
 
 
 class Model:
@@ -105,9 +107,9 @@ class Model:
             self.types[k] = types
             exactly = lambda i: F.count(F.when(F.col("n") == i, 1))
             context = types.groupBy(F.shiftright("gram", BITS).alias("context")).agg(F.sum("n").alias("total"), exactly(1).alias("n1"), exactly(2).alias("n2"), F.count(F.when(F.col("n") > 2, 1)).alias("n3"))
-            self.contexts[k] = staged(context, "contexts")
+            self.contexts[k] = context
             if k > 1:
-                types = staged(types.groupBy(F.col("gram").bitwiseAND(F.lit(MASKS[k - 1])).alias("gram")).agg(F.count(F.lit(1)).alias("n")), "types")
+                types = staged(types.groupBy(F.col("gram").bitwiseAND(F.lit(MASKS[k - 1])).alias("gram")).agg(F.count(F.lit(1)).alias("n")), "types", MODEL_TASKS)
         self.characters = self.types[1].count() + 1
 
     def log_probabilities(self, asked: DataFrame) -> DataFrame:
@@ -126,8 +128,8 @@ class Model:
             cut = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
             seen = F.coalesce(F.greatest(F.col("n") - cut, F.lit(0.0)), F.lit(0.0))
             p = F.when(F.col("total").isNull(), F.col("p")).otherwise((seen + (d1 * F.col("n1") + d2 * F.col("n2") + d3 * F.col("n3")) * F.col("p")) / F.col("total"))
-            lower = staged(rows.select(F.col("gram").alias("low"), p.alias("p")), "probabilities")
-        return lower.select(F.col("low").alias("gram"), F.log("p").cast("float").alias("logp"))
+            lower = rows.select(F.col("gram").alias("low"), p.alias("p"))
+        return staged(lower.select(F.col("low").alias("gram"), F.log("p").cast("float").alias("logp")), "probabilities", MODEL_TASKS)
 
 
 def discounts(tally: dict[int, int]) -> tuple[float, float, float]:
@@ -203,8 +205,8 @@ def _asked(requests: DataFrame) -> DataFrame:
         if len(seen):
             yield pa.RecordBatch.from_arrays([pa.array(seen)], ["gram"])
 
-    few = requests.select("shard", "grams").repartition(partitions(requests.sparkSession), "shard").sortWithinPartitions("shard")
-    return staged(few.mapInArrow(run, "gram bigint"), "asked")
+    few = requests.select("shard", "grams").repartition("shard").sortWithinPartitions("shard")
+    return staged(few.mapInArrow(run, "gram bigint"), "asked", MODEL_TASKS)
 
 
 def _answers(requests: DataFrame, probabilities: DataFrame) -> DataFrame:
@@ -227,7 +229,7 @@ def _answers(requests: DataFrame, probabilities: DataFrame) -> DataFrame:
                     out.append((b.column(2)[k].as_py(), packed, pack(values[at])))
             yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), *(pa.array([o[i] for o in out], pa.binary()) for i in (1, 2))], ["block", "grams", "logps"])
 
-    met = table.unionByName(asks).repartition(partitions(requests.sparkSession), "shard").sortWithinPartitions("shard", "kind")
+    met = table.unionByName(asks).repartition("shard").sortWithinPartitions("shard", "kind")
     return met.mapInArrow(run, "block bigint, grams binary, logps binary")
 
 
@@ -273,7 +275,7 @@ def perplexities(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", lang
     empty = lambda kind: F.lit(None).cast(kind)
     answers = answers.select("block", F.lit(0).alias("kind"), "grams", "logps", empty(f"array<{kind}>").alias("ids"), empty("array<string>").alias("langs"), empty("binary").alias("lengths"), empty("binary").alias("text"))
     texts = texts.select("block", F.lit(1).alias("kind"), empty("binary").alias("grams"), empty("binary").alias("logps"), "ids", "langs", "lengths", "text")
-    met = answers.unionByName(texts).repartition(partitions(spark), "block").sortWithinPartitions("block", "kind")
+    met = answers.unionByName(texts).repartition("block").sortWithinPartitions("block", "kind")
 
     def run(batches):
         block, table, pieces = None, None, []
@@ -299,8 +301,7 @@ def perplexities(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", lang
                     n.append(len(t)), nll.append(total if t else None)
                 yield pa.RecordBatch.from_arrays([pa.array(ids, RUN_ID[kind]), pa.array(langs, pa.string()), pa.array(n, pa.int64()), pa.array(nll, pa.float64())], ["id", "lang", "n", "nll"])
 
-    small_batches(spark, 64)
-    with arrow_rows(spark, 64):
+    with arrow_rows(spark, 16):
         return staged(met.mapInArrow(run, f"id {kind}, lang string, n bigint, nll double"), "perplexities")
 
 
@@ -318,20 +319,20 @@ def held_out(id_column: Column) -> Column:
 
 def quality(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text", quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:
     """(id, lang, perplexity, score, threshold, kept) of every document; trusted: ids of trusted texts."""
-    ids = staged(trusted.select(F.col(id_col).alias("id")).filter("id is not null").distinct(), "trusted")
+    ids = staged(trusted.select(F.col(id_col).alias("id")).filter("id is not null").distinct(), "trusted", MODEL_TASKS)
     scored = perplexities(df, ids.filter(~held_out(F.col("id"))), id_col, lang_col, text_col)
     scored = scored.withColumn("key", F.coalesce(F.concat(F.lit("s"), "lang"), F.lit("t")))
     calibration = scored.filter(F.col("n") > 0).join(ids.filter(held_out(F.col("id"))), "id", "left_semi")
-    mean = staged(calibration.groupBy("key").agg((F.sum("nll") / F.sum("n")).alias("mean")), "means")
+    mean = staged(calibration.groupBy("key").agg((F.sum("nll") / F.sum("n")).alias("mean")), "means", 1)
     pooled = calibration.agg((F.sum("nll") / F.sum("n")).alias("mean")).first()["mean"]
 
     def shrunk(rows):
         centre = F.coalesce("mean", F.lit(pooled).cast("double"))
         return rows.join(mean, "key", "left").withColumn("score", (F.col("nll") + PRIOR * centre) / (F.col("n") + PRIOR)).drop("mean")
 
-    held = staged(shrunk(calibration).select("key", "score"), "held-out")
+    held = staged(shrunk(calibration).select("key", "score"), "held-out", MODEL_TASKS)
     limit = lambda keys: _at_quantile(held, keys, quantile, "high").join(_at_quantile(held, keys, 0.5, "middle"), keys) if keys else None
-    per = staged(limit(["key"]).select("key", (F.col("high") + slack * (F.col("high") - F.col("middle"))).alias("limit")), "limits")
+    per = staged(limit(["key"]).select("key", (F.col("high") + slack * (F.col("high") - F.col("middle"))).alias("limit")), "limits", 1)
     every = [_at_quantile(held, [], s, "x").first()["x"] for s in (quantile, 0.5)]
     common = None if None in every else every[0] + slack * (every[0] - every[1])
     out = shrunk(scored).join(per, "key", "left").withColumn("threshold", F.coalesce("limit", F.lit(common).cast("double")))
