@@ -26,6 +26,8 @@ from taxograph.llm.common import partitions, staged
 
 BITS, DIMS = 5, 3
 CELLS = 1 << BITS
+#: Cells of at most this many distinct values of a column are broadcast, else joined by a shuffle.
+BROADCAST_VALUES = 100_000
 
 
 def gray_tables(n: int) -> tuple[list[int], list[int], list[int]]:
@@ -80,7 +82,10 @@ def _coordinate(df: DataFrame, column: str, name: str) -> DataFrame:
     order = W.orderBy(F.col(f"{name}_value").asc_nulls_last())
     ranked = values.select(f"{name}_value", (F.row_number().over(order) - 1).alias("rank"), F.count(F.lit(1)).over(W.partitionBy()).alias("of"))
     cells = ranked.select(f"{name}_value", F.floor(F.col("rank") * CELLS / F.greatest(F.col("of"), F.lit(CELLS))).cast("int").alias(name))
-    return df.join(cells, df[column].eqNullSafe(cells[f"{name}_value"]), "left").drop(f"{name}_value")
+    cells = staged(cells, "cells", 1)
+    # rows with texts are not shuffled for this while the values are few
+    few = cells.count() <= BROADCAST_VALUES
+    return df.join(F.broadcast(cells) if few else cells, df[column].eqNullSafe(cells[f"{name}_value"]), "left").drop(f"{name}_value")
 
 
 def hilbert_order(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang", keep: tuple[str, ...] = ()) -> DataFrame:

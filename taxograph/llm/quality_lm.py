@@ -22,6 +22,7 @@ result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -99,17 +100,17 @@ class Model:
     """The count tables of each order, and its discounts."""
 
     def __init__(self, counts: DataFrame):
-        self.types, self.contexts, self.discounts = {}, {}, {}
-        types = counts
-        for k in range(ORDER, 0, -1):
-            tally = types.groupBy(F.least("n", F.lit(5)).alias("n")).count().collect()  # five rows at most
-            self.discounts[k] = discounts({r["n"]: r["count"] for r in tally})
-            self.types[k] = types
-            exactly = lambda i: F.count(F.when(F.col("n") == i, 1))
-            context = types.groupBy(F.shiftright("gram", BITS).alias("context")).agg(F.sum("n").alias("total"), exactly(1).alias("n1"), exactly(2).alias("n2"), F.count(F.when(F.col("n") > 2, 1)).alias("n3"))
-            self.contexts[k] = context
-            if k > 1:
-                types = staged(types.groupBy(F.col("gram").bitwiseAND(F.lit(MASKS[k - 1])).alias("gram")).agg(F.count(F.lit(1)).alias("n")), "types", MODEL_TASKS)
+        self.types, self.contexts = {ORDER: counts}, {}
+        for k in range(ORDER - 1, 0, -1):
+            lower = self.types[k + 1].groupBy(F.col("gram").bitwiseAND(F.lit(MASKS[k])).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
+            self.types[k] = staged(lower, "types", MODEL_TASKS)
+        exactly = lambda i: F.count(F.when(F.col("n") == i, 1))
+        tallies = []
+        for k, types in self.types.items():
+            self.contexts[k] = types.groupBy(F.shiftright("gram", BITS).alias("context")).agg(F.sum("n").alias("total"), exactly(1).alias("n1"), exactly(2).alias("n2"), F.count(F.when(F.col("n") > 2, 1)).alias("n3"))
+            tallies.append(types.select(F.lit(k).alias("k"), F.least("n", F.lit(5)).alias("n")))
+        tally = {(r["k"], r["n"]): r["count"] for r in reduce(DataFrame.union, tallies).groupBy("k", "n").count().collect()}  # 5 * ORDER rows at most
+        self.discounts = {k: discounts({n: tally.get((k, n), 0) for n in range(1, 5)}) for k in self.types}
         self.characters = self.types[1].count() + 1
 
     def log_probabilities(self, asked: DataFrame) -> DataFrame:
