@@ -3,14 +3,18 @@
 A document's set holds its distinct 5-word shingles. Equal sets are one class first. In each of
 TREES independent trees a class follows the path of its minwise tokens, one level at a time: a node
 with at most SMALL members is compared exhaustively, a larger one links its members to a pivot and
-branches by the next token, down to DEPTH levels; what is still large then is compared in runs of a
-hashed order, as far as its members are not connected by then. A class shares a node of the first level with a class of similarity 0.75 with
-probability 0.75 in each tree, so 16 trees miss 2e-10 of such pairs there, 2e-6 at the second level.
+branches by the next token, down to DEPTH levels. Two classes of similarity 0.75 share a node of a
+level in a tree with probability 0.75 to the power of the level: 16 trees miss 2e-10 of such pairs at
+the first level, 2e-6 at the second, 2e-4 at the third and 2e-3 at the fourth.
+
+What large nodes leave out on the way down is made up for at the end: members of large nodes of the
+first level that hold several components are joined exactly, by a prefix filter over their shingles
+(see across), so that only the first level's misses remain.
 
 Compared pairs pass when 2-bit sketches of SKETCH minwise tokens agree in LIKELY places at least
 (below that, a pair of similarity 0.75 is lost with probability under 1e-6) and are then confirmed
 on the full sets: each class with its likeliest partner first, then every pair whose ends are not
-yet connected, and last members of a large node that are still apart, in runs of RUN and by a wider sketch. Links between connected classes cannot change the components and are left out.
+yet connected. Links between connected classes cannot change the components and are left out.
 
 Defined cases: null texts and texts without words have an empty set, link with nothing and are kept;
 shorter texts than five words are one shingle; whole texts are used; rows of one id are one document
@@ -40,13 +44,9 @@ SIMILAR = (75, 100)
 ROWS_PER_TASK = 400_000
 
 _RNG = np.random.default_rng(SEED)
-#: A wider sketch for the members of large nodes; below WIDE_LIKELY a pair of similarity 0.75 is lost
-#: with probability under 1e-6, and few pairs under 0.65 pass.
-WIDE, WIDE_LIKELY = 1024, 770
 FACTORS = (_RNG.integers(0, 1 << 32, SKETCH, dtype="u8") | 1).astype("u4")[:, None]
 OFFSETS = _RNG.integers(0, 1 << 32, SKETCH, dtype="u8").astype("u4")[:, None]
 TURNS = [0, *map(int, _RNG.integers(0, 1 << 62, DEPTH))]
-WIDE_FACTORS, WIDE_OFFSETS = ((_RNG.integers(0, 1 << 32, WIDE, dtype="u8") | k).astype("u4")[:, None] for k in (1, 0))
 PLACES = _RNG.integers(0, 1 << 63, WORDS, dtype="u8") | np.uint64(1)
 
 
@@ -70,12 +70,12 @@ def shingle_sets(texts: list[str | None], words: int = WORDS) -> list[np.ndarray
     return out
 
 
-def minwise(shingles: np.ndarray, factors: np.ndarray = FACTORS, offsets: np.ndarray = OFFSETS) -> np.ndarray:
+def minwise(shingles: np.ndarray) -> np.ndarray:
     """The minwise token of a set under each of the hash functions."""
-    h, least = (shingles >> np.uint64(32)).astype("u4"), np.full(len(factors), (1 << 32) - 1, dtype="u4")
-    step = (1 << 18) // len(factors)
+    h, least = (shingles >> np.uint64(32)).astype("u4"), np.full(SKETCH, (1 << 32) - 1, dtype="u4")
+    step = (1 << 18) // SKETCH
     for at in range(0, len(h), step):
-        least = np.minimum(least, (h[None, at : at + step] * factors + offsets).min(axis=1))
+        least = np.minimum(least, (h[None, at : at + step] * FACTORS + OFFSETS).min(axis=1))
     return least
 
 
@@ -123,14 +123,14 @@ def first_level(classes: DataFrame) -> DataFrame:
     return classes.select("id", "path", "s0", "s1", "s2", "s3").mapInArrow(run, BRANCHED)
 
 
-def agreeing(left: str, right: str, tokens: int = SKETCH) -> Column:
+def agreeing(left: str, right: str) -> Column:
     """How many two-bit tokens agree between two sets of columns, 32 tokens to a column."""
 
     def differing(k: int) -> Column:
         x = F.col(f"{left}s{k}").bitwiseXOR(F.col(f"{right}s{k}"))
         return F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555)))
 
-    return F.lit(tokens) - reduce(lambda a, b: a + b, map(differing, range(tokens // 32)))
+    return F.lit(SKETCH) - reduce(lambda a, b: a + b, map(differing, range(SKETCH // 32)))
 
 
 def _pair(x: str, y: str) -> list[Column]:
@@ -145,7 +145,7 @@ def _within(rows: DataFrame, key: list[str]) -> DataFrame:
 
 def candidates(classes: DataFrame, tasks: int) -> tuple[DataFrame, DataFrame | None]:
     """(a, b, agree): the pairs that the trees compare and whose sketches are likely; and the members
-    (node, id, sketch) of the nodes that are large on the last level, if any.
+    (node, id) of the nodes that are large on the first level, if any.
 
     A level's pivots come from one order for all trees, so that trees which hold the same large group
     link it to the same few pivots.
@@ -165,30 +165,61 @@ def candidates(classes: DataFrame, tasks: int) -> tuple[DataFrame, DataFrame | N
         pivots = pivots.select("node", F.col("id").alias("other"), *[F.col(f"s{k}").alias(f"o_s{k}") for k in range(4)])
         starred = large.select("node", *columns).join(pivots, "node").filter("id <> other")
         found.append(starred.withColumn("agree", agreeing("", "o_")).filter(F.col("agree") >= LIKELY).select(*_pair("id", "other")))
+        if level == 1:
+            dense = large.select("node", "id")
         if level < DEPTH:
             rest = [f"t{d}" for d in range(level + 1, DEPTH)]
             rows = large.select(F.xxhash64("node", f"t{level}").alias("node"), *columns, *rest)
-        else:
-            dense = large.select("node", *columns)
     pairs = reduce(DataFrame.union, found)
     return staged(pairs.groupBy("a", "b").agg(F.max("agree").alias("agree")), "candidates", tasks), dense
 
 
-def across(dense: DataFrame, known: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b): likely pairs of different components in runs of about RUN members of large nodes.
+TOKENS = "id bigint, set bigint, n bigint, token bigint"
+
+
+def tokens_of(df: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """A row per shingle of each text of the wanted ids; set tells the texts of one id apart."""
+
+    def run(batches):
+        for held, texts in blocks(batches, 1 << 20):
+            sets = shingle_sets(texts)
+            n = np.array([len(s) for s in sets], dtype="i8")
+            own = np.array([int.from_bytes(blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) for s in sets], dtype="i8")
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(x, n)) for x in (np.array(held, dtype="i8"), own, n)] + [pa.array(np.concatenate(sets).view("i8"))], [c.split()[0] for c in TOKENS.split(", ")])
+
+    small_batches(df.sparkSession)
+    wanted = by_ids(df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), ids, "id", "left_semi")
+    return wanted.mapInArrow(run, TOKENS)
+
+
+def across(df: DataFrame, dense: DataFrame, known: DataFrame, classes: DataFrame, id_col: str, text_col: str, similar: tuple[int, int] = SIMILAR) -> DataFrame:
+    """(a, b, agree): likely pairs of different components among the members of large nodes, all of them.
 
-    Nodes whose members are connected already need no further comparison. Pairs are compared by the
-    wide sketch that texts (id, wide) bring.
+    Nodes whose members are connected already need no further comparison. Of two sets that are similar
+    enough, each has a token of the other among its first n - least overlap + 1 in any common order of
+    the tokens. The order here is: tokens of one component only, which pair nothing and are counted but
+    not kept, then the rarest first. In the group of a token, what is apart from the group's main
+    component meets all members, in parts of about RUN of them.
     """
-    wide = range(WIDE // 32)
-    named = dense.select("node", "id").join(known.withColumnRenamed("component", "label"), "id", "left").withColumn("label", F.coalesce("label", "id"))
-    open_ = named.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("node", "n")
-    part = F.pmod(F.xxhash64("id", "node"), F.expr(f"n div {RUN}") + 1)
-    sketches = texts.filter("wide is not null").select("id", *[F.col("wide")[k].alias(f"s{k}") for k in wide])
-    rows = named.join(open_, "node").withColumn("part", part).drop("n").join(sketches, "id")
-    right = rows.select("node", "part", F.col("id").alias("other"), F.col("label").alias("o_label"), *[F.col(f"s{k}").alias(f"o_s{k}") for k in wide])
-    met = rows.join(right, ["node", "part"]).filter((F.col("id") < F.col("other")) & (F.col("label") != F.col("o_label")))
-    return met.filter(agreeing("", "o_", WIDE) >= WIDE_LIKELY).select(F.col("id").alias("a"), F.col("other").alias("b")).distinct()
+    part, whole = similar
+    named = dense.join(known.withColumnRenamed("component", "label"), "id", "left").withColumn("label", F.coalesce("label", "id"))
+    open_ = named.groupBy("node").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("node")
+    labels = staged(named.join(open_, "node", "left_semi").select("id", "label").distinct(), "open")
+    tokens = staged(tokens_of(df, labels.select("id"), id_col, text_col).join(labels, "id"), "tokens")
+    shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("often"), F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("token", "often")
+    firsts = tokens.join(shared, "token").groupBy("id", "set", "n", "label").agg(F.array_sort(F.collect_set(F.struct("often", "token"))).alias("order"))
+    room = F.expr(f"n - (n * {part} + {whole - 1}) div {whole} + 1 - (n - size(order))").cast("int")
+    firsts = firsts.withColumn("room", room).filter("room > 0").select("id", "n", "label", F.explode(F.slice("order", 1, F.col("room"))["token"]).alias("token"))
+    firsts = staged(firsts.distinct(), "firsts")
+    sizes = firsts.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("token").agg(F.sum("n").alias("all"), F.max_by("label", F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("labels"))
+    sizes = sizes.filter("labels > 1").withColumn("parts", F.expr(f"all div {RUN} + 1")).select("token", "main", "parts")
+    rows = staged(firsts.join(sizes, "token").join(classes.select("id", *[f"s{k}" for k in range(4)]), "id"), "rows")
+    apart = rows.filter("label <> main").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    members = rows.select("token", F.pmod(F.xxhash64("id", "token"), F.col("parts")).alias("part"), F.col("id").alias("other"), F.col("label").alias("o_label"), F.col("n").alias("o_n"), *[F.col(f"s{k}").alias(f"o_s{k}") for k in range(4)])
+    once = (F.col("o_label") == F.col("main")) | (F.col("id") < F.col("other"))
+    sized = F.least("n", "o_n") * whole >= F.greatest("n", "o_n") * part
+    met = apart.join(members, ["token", "part"]).filter((F.col("label") != F.col("o_label")) & once & sized)
+    return met.withColumn("agree", agreeing("", "o_")).filter(F.col("agree") >= LIKELY).select(*_pair("id", "other")).groupBy("a", "b").agg(F.max("agree").alias("agree"))
 
 
 @lru_cache(maxsize=256)
@@ -217,38 +248,38 @@ def confirmed(pairs: DataFrame, texts: DataFrame, tasks: int | None = None, simi
 
 
 def squeezed_texts(df: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, text, wide) of the wanted (id, dense): texts compressed, a wide sketch for the dense ones."""
+    """(id, text) of the wanted ids, texts compressed."""
 
     def run(batches):
         press = zstandard.ZstdCompressor(level=3)
         for b in batches:
-            texts = b.column(1).to_pylist()
-            dense = np.flatnonzero(np.asarray(b.column(2)))
-            wide = [None] * len(texts)
-            for k, s in zip(dense.tolist(), shingle_sets([texts[k] for k in dense]), strict=True):
-                wide[k] = np.frombuffer(sketch(minwise(s, WIDE_FACTORS, WIDE_OFFSETS)), dtype="i8")
-            squeezed = [press.compress((t or "").encode("utf-8", "surrogatepass")) for t in texts]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(squeezed, pa.binary()), pa.array(wide, pa.list_(pa.int64()))], ["id", "text", "wide"])
+            squeezed = [press.compress((t or "").encode("utf-8", "surrogatepass")) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(squeezed, pa.binary())], ["id", "text"])
 
     small_batches(df.sparkSession)
-    wanted = by_ids(df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), ids, "id", "inner")
-    return staged(wanted.select("id", "text", "dense").mapInArrow(run, "id bigint, text binary, wide array<bigint>"), "texts")
+    wanted = by_ids(df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), ids, "id", "left_semi")
+    return staged(wanted.mapInArrow(run, "id bigint, text binary"), "texts")
 
 
-def links(df: DataFrame, classes: DataFrame, id_col: str, text_col: str, tasks: int) -> DataFrame:
-    """Confirmed links (a, b) between class representatives that give the components."""
-    pairs, dense = candidates(classes, tasks)
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"), F.lit(0).alias("dense"))
-    ids = ids if dense is None else ids.union(dense.select("id", F.lit(1)))
-    texts = squeezed_texts(df, ids.groupBy("id").agg((F.max("dense") == 1).alias("dense")), id_col, text_col)
+def confirmed_links(df: DataFrame, pairs: DataFrame, id_col: str, text_col: str, tasks: int) -> DataFrame:
+    """Of the staged pairs (a, b, agree), confirmed ones that connect what all confirmed ones connect."""
+    texts = squeezed_texts(df, pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), id_col, text_col)
     both = pairs.union(pairs.select("b", "a", "agree"))
     likeliest = both.groupBy("a").agg(F.max_by("b", F.struct("agree", F.xxhash64("b"), "b")).alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     sure = confirmed(likeliest, texts, tasks)
     known = components(sure)
     left = pairs.join(known.toDF("a", "c_a"), "a", "left").join(known.toDF("b", "c_b"), "b", "left")
-    sure = sure.union(confirmed(left.filter(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b"), texts, tasks))
+    return sure.union(confirmed(left.filter(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b"), texts, tasks))
+
+
+def links(df: DataFrame, classes: DataFrame, id_col: str, text_col: str, tasks: int) -> DataFrame:
+    """Confirmed links (a, b) between class representatives that give the components."""
+    pairs, dense = candidates(classes, tasks)
+    sure = confirmed_links(df, pairs, id_col, text_col, tasks)
     if dense is not None:
-        sure = sure.union(confirmed(across(dense, components(sure), texts), texts, tasks))
+        apart = staged(across(df, dense, components(sure), classes, id_col, text_col), "apart", tasks)
+        if not apart.isEmpty():
+            sure = sure.union(confirmed_links(df, apart, id_col, text_col, tasks))
     return sure
 
 

@@ -161,6 +161,15 @@ def test_large_groups_of_copies(spark, monkeypatch):
     assert sum(got[d] != want[d] for d in want) <= 0.01 * len(want)
 
 
+def test_no_pair_of_a_large_node_is_left_out(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "SMALL", 4)
+    monkeypatch.setattr(near_dedup, "RUN", 4)
+    line = " ".join(f"b{k}" for k in range(144))  # pairs of similarity 0.78 that are 0.74 alike among each other
+    docs = [(2 * k + j, " ".join([line, *(f"p{k}x{i}" for i in range(5)), *(f"o{k}x{j}x{i}" for i in range(20))])) for k in range(80) for j in range(2)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_dedup.near_duplicates(df).collect()} == {d: d - d % 2 for d, _ in docs}
+
+
 def test_ids_given_twice(spark):
     a, b = "one two three four five six seven", "completely different words stand in this text"
     df = spark.createDataFrame([(5, a), (5, b), (7, a), (9, b), (11, "other")], "doc_id long, text string")
