@@ -1,7 +1,8 @@
 """Secret scan with dictionary-primed zstandard novelty.
 
-Base detectors find assignments, access keys and long hexadecimal runs. Besides them, every token
-that follows a sensitive word is a candidate: the bytes it adds to the compressed form of the code
+Base detectors find assignments, access keys and long hexadecimal runs. Besides them, every token of
+LEAST characters within WINDOW characters of a sensitive word, before or after it and over words and
+lines, is a candidate: the bytes it adds to the compressed form of the code
 around it, with a zstandard dictionary of common identifiers loaded, over its length is its novelty.
 Names and words are cheap there, key material is not; candidates at or above `novelty` are reported
 as kind "novel" unless they overlap a base span.
@@ -14,6 +15,7 @@ clash; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
@@ -33,9 +35,11 @@ IDENTIFIERS = (
     "localhost connection database server request response header content type application json text html https http www com org net "
     "your-token-here your_secret_here your_api_key insert-password-here the and that with from this have will which their "
 )
-CONTEXT, REACH, LEAST = 256, 24, 12
+CONTEXT, REACH, LEAST, WINDOW = 256, 24, 12, 128
 #: A sensitive word, then within REACH characters without letters or digits the candidate.
 CANDIDATE = re.compile("(?:" + "|".join(map(S._either_case, SENSITIVE)) + r")[A-Za-z_]{0,12}[^A-Za-z0-9\n]{1,%d}([A-Za-z0-9+/_=.~!@#$%%^&*-]{%d,})" % (REACH, LEAST))
+#: Any other token, wherever it stands near a sensitive word.
+TOKEN = re.compile("[A-Za-z0-9][A-Za-z0-9+/_=.~!@#$%%^&*-]{%d,}" % (LEAST - 1))
 HINT = re.compile("|".join(map(S._either_case, SENSITIVE)))
 
 
@@ -53,18 +57,32 @@ class Novelty:
         return (len(self.compressor.compress(around + b"\n" + raw)) - len(self.compressor.compress(around + b"\n"))) / len(raw)
 
 
+def candidates(text: str) -> Iterator[S.Span]:
+    """What follows a sensitive word directly, then all further tokens in a window around one."""
+    direct = [("novel", *m.span(1)) for m in CANDIDATE.finditer(text)]
+    yield from direct
+    hints = [m.span() for m in HINT.finditer(text)]
+    near = at = 0
+    for m in TOKEN.finditer(text):
+        start, end = m.span()
+        while near < len(hints) and hints[near][1] + WINDOW < start:
+            near += 1
+        while at < len(direct) and direct[at][2] <= start:
+            at += 1
+        if near < len(hints) and hints[near][0] - WINDOW <= end and not S.inside((start, end), direct[at : at + 1]):
+            yield "novel", start, end
+
+
 def scan(text: str, novelty: Novelty, least: float) -> tuple[list[S.Span], list[S.Span]]:
     """(base spans, added spans)."""
     base = S.access_spans(text) + S.hex_spans(text)
     added: list[S.Span] = []
     if HINT.search(text):
         base += S.assign_spans(text)
-        for m in CANDIDATE.finditer(text):
-            start, end = m.span(1)
-            if S.inside((start, end), base) or not (re.search("[0-9]", m[1]) and re.search("[A-Za-z]", m[1])):
-                continue
-            if novelty(text[max(0, start - CONTEXT) : start], m[1], text[end : end + CONTEXT // 4]) >= least:
-                added.append(("novel", start, end))
+        for span in candidates(text):
+            start, end = span[1:]
+            if not S.inside((start, end), base) and novelty(text[max(0, start - CONTEXT) : start], text[start:end], text[end : end + CONTEXT // 4]) >= least:
+                added.append(span)
     return base, added
 
 

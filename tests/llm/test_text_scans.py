@@ -138,6 +138,14 @@ def test_novel_secrets_only_in_sensitive_context():
     assert secret_scan.scan("client_id -> your_api_key_1 your_api_key", novelty, 0.6)[1] == []
 
 
+@pytest.mark.parametrize("around", ["the token is {}", "password for admin: {}", "secret value -> {}", "client secret key (prod) {}", "token:\n {}", "{} was the old password", "token\n\nbelongs to\n{}\n"])
+@pytest.mark.parametrize("noise", ["q7Xv9ZpR2mKt8LwB4nYc", "qXvJZpRWmKtGLwBYnHcD"])
+def test_novel_secrets_anywhere_near_a_sensitive_word(around, noise):
+    start = around.index("{}")
+    assert secret_scan.scan(around.format(noise), secret_scan.Novelty(), 0.6)[1] == [("novel", start, start + len(noise))]
+    assert secret_scan.scan(around.format("x " * 150 + noise if start else noise + " x" * 150), secret_scan.Novelty(), 0.6)[1] == []
+
+
 def test_span_queries_on_odd_rows(spark):
     rows = [(1, None, "x"), (2, "", "x"), (3, "mail a@b.c and +1 (200) 555-1234 " + "é" * 5, "x"), (3, "token=abcdef", "x"), (None, "1.2.3.4", "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, spans string")
