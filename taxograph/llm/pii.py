@@ -34,7 +34,7 @@ GENERATORS: dict[str, re.Pattern] = {
     "spelled_email": re.compile(r"(?<![A-Za-z0-9._-])[A-Za-z0-9._-]{1,64}+\x20?[(\[]\x20?at\x20?[)\]]\x20?[A-Za-z0-9-]{1,64}+(?:\x20?(?:\.|[(\[]\x20?dot\x20?[)\]])\x20?[A-Za-z0-9-]{1,64}+){1,4}+"),
     "local_phone": re.compile(r"(?<![0-9+A-Za-z])\(?[0-9]{2,4}\)?(?:[\x20./-][0-9]{2,5}){1,4}(?![0-9A-Za-z])"),
     "national_id": re.compile(r"(?<![0-9A-Za-z-])[0-9]{3}[-\x20][0-9]{2}[-\x20][0-9]{4}(?![0-9A-Za-z-])"),
-    "iban": re.compile(r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{2,4}){3,8}(?![0-9A-Za-z])"),
+    "iban": re.compile(r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{2,4}){3,8}(?:\x20?[A-Z0-9])?(?![0-9A-Za-z])"),
     "birth_date": re.compile(r"(?<![0-9A-Za-z])[0-9]{1,4}[./-][0-9]{1,2}[./-][0-9]{1,4}(?![0-9A-Za-z])"),
 }
 #: Context words per added kind.
@@ -148,9 +148,12 @@ def _sample(rng: random.Random) -> tuple[str, str, int, int, int]:
     elif kind == "national_id":
         s = f"{rng.randint(101, 665)}-{rng.randint(10, 99)}-{d(4)}" if real else f"{d(3)} {d(2)} {d(4)}"
     elif kind == "iban":
-        body = d(18)
-        check = 98 - int("".join(str(int(c, 36)) for c in body + "DE00")) % 97
-        s = f"DE{check:02d}{body}" if real else f"AB{d(2)}{d(rng.randint(10, 20))}"
+        country, length = rng.choice([("DE", 18), ("CH", 17), ("PT", 21), ("HR", 17)])
+        body = d(length)
+        check = 98 - int("".join(str(int(c, 36)) for c in body + country + "00")) % 97
+        s = f"{country}{check:02d}{body}" if real else f"AB{d(2)}{d(rng.randint(10, 21))}"
+        if rng.random() < 0.5:
+            s = " ".join(s[k : k + 4] for k in range(0, len(s), 4))
     else:
         s = rng.choice([f"{rng.randint(1, 28)}.{rng.randint(1, 12)}.{rng.randint(1930, 2010)}", f"{rng.randint(1930, 2010)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}"]) if real or rng.random() < 0.6 else f"{d(1)}.{d(1)}.{d(2)}"
     cue = rng.choice(CUES[kind]) + rng.choice([": ", " ", " is "]) if real and (kind in ("birth_date", "local_phone", "national_id") or rng.random() < 0.5) else ""
@@ -185,12 +188,20 @@ def base_spans(text: str) -> list[S.Span]:
     return out
 
 
+def proposed(text: str, kind: str) -> list[S.Span]:
+    """What a generator finds; of an IBAN in groups also what ends before its last ones, which may be words."""
+    found = [(kind, *m.span()) for m in GENERATORS[kind].finditer(text)]
+    if kind == "iban":
+        found += [(kind, s, s + k) for _, s, e in found for k in range(15, e - s) if text[s + k] == " "]
+    return found
+
+
 def added_spans(text: str, base: list[S.Span], trees: Trees) -> list[S.Span]:
     found = []
-    for kind, pattern in GENERATORS.items():
+    for kind in GENERATORS:
         if kind == "spelled_email" and not ("at)" in text or "at ]" in text or "at]" in text or "at )" in text):
             continue
-        found += [(kind, m.start(), m.end()) for m in pattern.finditer(text) if not S.inside(m.span(), base)]
+        found += [f for f in proposed(text, kind) if not S.inside(f[1:], base)]
     if not found:
         return []
     scores = trees.score(np.array([features(text, *f) for f in found], dtype=float))

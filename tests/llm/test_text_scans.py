@@ -130,6 +130,14 @@ def test_added_personal_data():
     assert pii.added_spans("plain words 12 and 3.5 or 2001", [], trees) == []
 
 
+@pytest.mark.parametrize("iban", ["CH93 0076 2011 6238 5295 7", "PT50 0002 0123 1234 5678 9015 4", "DE89 3704 0044 0532 0130 00", "DE89370400440532013000"])
+@pytest.mark.parametrize("after", ["today.", "A word", "AND more"])
+def test_printed_ibans_are_whole(iban, after):
+    trees, _ = _trained()
+    text = f"Please transfer it to the account {iban} {after}"
+    assert [text[s:e] for k, s, e in pii.added_spans(text, [], trees) if k == "iban"] == [iban]
+
+
 def test_novel_secrets_only_in_sensitive_context():
     novelty = secret_scan.Novelty()
     noise = "q7Xv9ZpR2mKt8LwB4nYc"
