@@ -9,8 +9,9 @@ from contextlib import contextmanager
 
 import numpy as np
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _LOCAL: dict[str, str] = {}
 #: Writers and readers hold a row group in memory; packed rows are large.
@@ -60,8 +61,22 @@ def staged(df: DataFrame, name: str, tasks: int | None = None) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = 1024) -> None:
-    """Keep Arrow batches of whole texts small; long texts would fill a Python worker otherwise."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    """Keep Arrow batches of whole texts small; long texts would fill a Python worker otherwise.
+
+    The session's setting is only ever lowered, since frames run after they are built: what is built
+    later cannot give an earlier one larger batches.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
+def whole_id(df: DataFrame, id_col: str) -> Column:
+    """The id as bigint; ids that are no whole numbers are refused rather than turned into null."""
+    kind = df.schema[id_col].dataType
+    if not isinstance(kind, T.IntegralType):
+        raise TypeError(f"{id_col} is {kind.simpleString()}; whole numbers are needed")
+    return F.col(id_col).cast("long")
 
 
 def partitions(spark: SparkSession) -> int:
@@ -103,13 +118,18 @@ def unplanes(b: bytes, dtype) -> np.ndarray:
     return np.ascontiguousarray(unpack(b, "u1").reshape(width, -1).T).view(dtype).ravel()
 
 
-#: Ids of at most this many rows (about 16 MB) are broadcast; more are joined by a shuffle.
-BROADCAST_IDS = 2_000_000
+#: Tables of ids of at most this many rows (16 to 32 bytes each) are broadcast; larger ones are joined by a shuffle.
+BROADCAST_IDS = 200_000
 
 
-def by_ids(df: DataFrame, ids: DataFrame, id_col: str, how: str) -> DataFrame:
-    """df joined with distinct ids (semi, anti or with what they bring), sparing df's texts the shuffle while the ids are few.
+def by_ids(df: DataFrame, ids: DataFrame, on: str | list[str], how: str, before_shuffle=None) -> DataFrame:
+    """df joined with a staged table of distinct ids (semi, anti, or left with what they bring).
 
-    ids are made twice, for their count and for the join; they should come from staged tables.
+    While the ids are few, df's texts are spared the shuffle. before_shuffle turns df's rows into what
+    is carried: after the join if ids are broadcast, before it if rows move. A key that holds many of
+    df's rows is split by adaptive execution, the ids' side has one row for it.
     """
-    return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, id_col, how)
+    carried = before_shuffle or (lambda rows: rows)
+    if ids.count() <= BROADCAST_IDS:
+        return carried(df.join(F.broadcast(ids), on, how))
+    return carried(df).join(ids, on, how)

@@ -1,19 +1,20 @@
 """Benchmark decontamination over a stored positional inverted index of the training words.
 
 The index is cut by documents: a row holds the postings of some documents of together about
-BLOCK_BYTES of text, as sorted term hashes, their counts and their positions; rows are written to
+BLOCK_BYTES of text, as terms sorted by hash, their counts and their positions; rows are written to
 the shared folder. Positions count words from the first document on, with one place left free
 between documents, so that no phrase crosses. A phrase search takes, per row, the rarest of its
 terms, shifts that posting list by the term's place in the phrase and intersects with the shifted
 lists of the next rarer terms, all phrases of a pass at once. A proximity search asks for all terms
 inside a span. The benchmark goes to the tasks in passes of at most PASS_BYTES of text.
 
-Words are compared by 64-bit hashes of their bytes.
+Terms are found by 64-bit hashes and confirmed by their bytes, so that different words never meet.
 
 Defined cases: a null text has no words, an item without words has no window and hits nothing; a
 null item id hits but is not listed; repeated documents and ids are judged one by one; items with
-one id count once; whole texts of any length are indexed; only id and text columns are read, so
-names cannot clash; an empty table on either side gives no hits.
+one id count once; whole texts of any length are indexed; document ids are whole numbers, other types
+are refused; only id and text columns are read, so names cannot clash; an empty table on either side
+gives no hits.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taxograph.llm.common import arrow_rows, pack, planes, small_batches, staged, unpack, unplanes
-from taxograph.llm.wordhash import ALNUM, block_words
+from taxograph.llm.common import arrow_rows, pack, planes, small_batches, staged, unpack, unplanes, whole_id
+from taxograph.llm.wordhash import ALNUM, Distinct, Words, matched
 
 WINDOW, BLOCK_BYTES, PASS_BYTES, CANDIDATES = 13, 4 << 20, 16 << 20, 1 << 21
 INDEX = "docs binary, doc_words binary, doc_null binary, terms binary, counts binary, positions binary"
@@ -53,18 +54,17 @@ def build_index(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
     def build(batches):
         for ids, texts in blocks(batches):
-            terms, words = block_words(texts, ALNUM)
-            position = np.arange(len(terms), dtype="u4") + np.repeat(np.arange(len(ids), dtype="u4"), words)
-            order = np.argsort(terms, kind="stable")
-            terms, position = terms[order], position[order]
-            first = np.flatnonzero(np.concatenate([[True], terms[1:] != terms[:-1]])) if len(terms) else np.empty(0, "i8")
+            words = Words(texts, ALNUM)
+            distinct = Distinct(words)
+            position = np.arange(len(distinct.number), dtype="u4") + np.repeat(np.arange(len(ids), dtype="u4"), words.counts)
+            position = position[np.argsort(distinct.number, kind="stable")]
             columns = [
-                pack(np.array([0 if i is None else i for i in ids], dtype="i8")), pack(words.astype("u4")), pack(np.array([i is None for i in ids], dtype="u1")),
-                pack(terms[first]), planes(np.diff(np.append(first, len(terms))).astype("u4")), planes(np.diff(position.astype("i4"), prepend=np.int32(0))),
+                pack(np.array([0 if i is None else i for i in ids], dtype="i8")), pack(words.counts.astype("u4")), pack(np.array([i is None for i in ids], dtype="u1")),
+                pack(np.frombuffer(b" ".join(distinct.strings), dtype="u1")), planes(np.bincount(distinct.number, minlength=len(distinct.strings)).astype("u4")), planes(np.diff(position.astype("i4"), prepend=np.int32(0))),
             ]
             yield pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in columns], [c.split()[0] for c in INDEX.split(", ")])
 
-    return staged(df.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(build, INDEX), "postings")
+    return staged(df.select(whole_id(df, id_col), F.col(text_col)).mapInArrow(build, INDEX), "postings")
 
 
 class Postings:
@@ -72,19 +72,18 @@ class Postings:
 
     def __init__(self, docs: bytes, doc_words: bytes, doc_null: bytes, terms: bytes, counts: bytes, positions: bytes):
         self.docs, self.words, self.null = unpack(docs, "i8"), unpack(doc_words, "u4").astype("i8"), unpack(doc_null, "u1").astype(bool)
-        self.terms, self.counts = unpack(terms, "u8"), unplanes(counts, "u4").astype("i8")
+        held = Words([unpack(terms, "u1").tobytes()], ALNUM)
+        self.terms, self.counts = held.hashes(), unplanes(counts, "u4").astype("i8")
+        self.strings = [held.word(i) for i in range(len(self.terms))]
         self.at = np.cumsum(unplanes(positions, "i4"), dtype="i8")
         self.first = np.cumsum(self.counts) - self.counts
         #: Term rank and position in one number, ascending.
         self.keys = (np.repeat(np.arange(len(self.terms), dtype="i8"), self.counts) << 32) | self.at
         self.doc_start = np.cumsum(self.words + 1) - (self.words + 1)
 
-    def ranks(self, vocabulary: np.ndarray) -> np.ndarray:
-        """The rank of each term here, -1 where it does not occur."""
-        if not len(self.terms):
-            return np.full(len(vocabulary), -1, dtype="i8")
-        at = np.minimum(np.searchsorted(self.terms, vocabulary), len(self.terms) - 1)
-        return np.where(self.terms[at] == vocabulary, at, -1)
+    def ranks(self, windows: Windows) -> np.ndarray:
+        """The rank of each term of the windows here, -1 where it does not occur."""
+        return matched(windows.vocabulary, windows.strings, self.terms, self.strings)
 
     def has(self, rank: np.ndarray, position: np.ndarray) -> np.ndarray:
         key = (rank << 32) | position
@@ -99,7 +98,7 @@ class Postings:
 
     def phrases(self, windows: Windows) -> tuple[np.ndarray, np.ndarray]:
         """(window, first position) of every exact occurrence."""
-        rank = self.ranks(windows.vocabulary)[windows.term]
+        rank = self.ranks(windows)[windows.term]
         used = np.arange(windows.term.shape[1]) < windows.length[:, None]
         alive = np.flatnonzero(((rank >= 0) | ~used).all(axis=1) & (windows.length > 0))
         if not len(alive):
@@ -125,7 +124,7 @@ class Postings:
 
     def proximities(self, windows: Windows, slack: int) -> tuple[np.ndarray, np.ndarray]:
         """(window, first position) of spans of length + slack words that hold all its terms, in any order."""
-        rank = self.ranks(windows.vocabulary)[windows.term]
+        rank = self.ranks(windows)[windows.term]
         used = np.arange(windows.term.shape[1]) < windows.length[:, None]
         alive = np.flatnonzero(((rank >= 0) | ~used).all(axis=1) & (windows.length > 0))
         if not len(alive):
@@ -158,8 +157,9 @@ class Windows:
     """The windows of some benchmark items: terms as numbers of a vocabulary, padded with 0."""
 
     def __init__(self, items: list[tuple], window: int = WINDOW):
-        hashes, words = block_words([t for _, t in items], ALNUM)
-        self.vocabulary, number = np.unique(hashes, return_inverse=True)
+        held = Words([t for _, t in items], ALNUM)
+        distinct, words = Distinct(held), held.counts
+        self.vocabulary, self.strings, number = distinct.terms, distinct.strings, distinct.number
         starts = np.cumsum(words) - words
         item, first, length = [np.empty(0, "i8")], [np.empty(0, "i8")], [np.empty(0, "i8")]
         for k, (s, n) in enumerate(zip(starts.tolist(), words.tolist(), strict=True)):
@@ -169,7 +169,7 @@ class Windows:
         self.item, first, self.length = np.concatenate(item), np.concatenate(first), np.concatenate(length)
         width = np.arange(window)
         if not len(number):
-            self.vocabulary, number = np.zeros(1, "u8"), np.zeros(1, "i8")
+            self.vocabulary, self.strings, number = np.zeros(1, "u8"), [b""], np.zeros(1, "i8")
         self.term = np.where(width < self.length[:, None], number[np.minimum(first[:, None] + width, len(number) - 1)], 0)
         self.ids = [i for i, _ in items]
 
@@ -185,7 +185,7 @@ def passes(benchmark: DataFrame, id_col: str, text_col: str, most: int = PASS_BY
 
 
 def hits(index: DataFrame, benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW, slack: int | None = None) -> DataFrame:
-    """(block, place, id, n_words, spans, items) of every document: spans of hit words, items hit.
+    """(block, place, id, n_words, starts, ends, items) of every document: united spans of hit words, items hit.
 
     slack None: exact phrases; else spans of window + slack words with all the window's words.
     """
@@ -200,6 +200,17 @@ def hits(index: DataFrame, benchmark: DataFrame, id_col: str = "item_id", text_c
     return out
 
 
+def united(doc: np.ndarray, start: np.ndarray, end: np.ndarray, doc_start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, start, end) of the unions of overlapping or touching spans, which come ordered by document and start."""
+    if not len(doc):
+        return doc, start, end
+    offset = doc_start[doc]
+    upto = np.maximum.accumulate(end + offset)
+    first = np.flatnonzero(np.concatenate([[True], (start + offset)[1:] > upto[:-1]]))
+    last = np.append(first[1:], len(doc)) - 1
+    return doc[first], start[first], upto[last] - offset[first]
+
+
 def _search_all(index, benchmark, id_col, text_col, window, slack):
     rows = "block bigint, place int, id bigint, n_words bigint, starts array<bigint>, ends array<bigint>, items array<string>"
     for items in passes(benchmark, id_col, text_col):
@@ -214,13 +225,14 @@ def _search_all(index, benchmark, id_col, text_col, window, slack):
                     doc, place = postings.documents(at)
                     order = np.lexsort((place, doc))
                     doc, place, length, who = doc[order], place[order], length[order], who[order]
-                    cut = np.searchsorted(doc, np.arange(len(postings.docs) + 1))
                     block = int.from_bytes(hashlib.blake2b(row[0] + row[1], digest_size=7).digest())
+                    span_doc, span_start, span_end = united(doc, place, np.minimum(place + length, postings.words[doc]), postings.doc_start)
+                    cut, span_cut = (np.searchsorted(x, np.arange(len(postings.docs) + 1)) for x in (doc, span_doc))
                     starts, ends, listed = [], [], []
                     for k in range(len(postings.docs)):
-                        a, z = cut[k], cut[k + 1]
-                        starts.append(place[a:z]), ends.append(np.minimum(place[a:z] + length[a:z], postings.words[k]))
-                        listed.append(sorted({wanted.ids[i] for i in wanted.item[who[a:z]].tolist()} - {None}) if z > a else [])
+                        starts.append(span_start[span_cut[k] : span_cut[k + 1]]), ends.append(span_end[span_cut[k] : span_cut[k + 1]])
+                        found = np.unique(wanted.item[who[cut[k] : cut[k + 1]]]).tolist()
+                        listed.append(sorted({wanted.ids[i] for i in found} - {None}))
                     ids = pa.array([None if gone else i for i, gone in zip(postings.docs.tolist(), postings.null.tolist(), strict=True)], pa.int64())
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([block] * len(starts)), pa.array(range(len(starts)), pa.int32()), ids, pa.array(postings.words), pa.array(starts, pa.list_(pa.int64())), pa.array(ends, pa.list_(pa.int64())), pa.array(listed, pa.list_(pa.string()))],

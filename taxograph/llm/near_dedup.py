@@ -1,30 +1,33 @@
-"""Near-duplicate detection by a chosen-path set similarity join over MinHash tokens.
+"""Near-duplicate detection by a chosen-path set similarity join over minwise tokens.
 
-A document's set holds its distinct 5-word shingles. Equal sets are one class first. In each of
-TREES independent trees a class follows the path of its minwise tokens, one level at a time: a node
-with at most SMALL members is compared exhaustively, a larger one links its members to a pivot and
-branches by the next token, down to DEPTH levels. Two classes of similarity 0.75 share a node of a
-level in a tree with probability 0.75 to the power of the level: 16 trees miss 2e-10 of such pairs at
-the first level, 2e-6 at the second, 2e-4 at the third and 2e-3 at the fourth.
+A document's set holds its distinct 5-word shingles. Equal sets are one class first. In each of TREES
+independent trees a class goes to the node of its first minwise token. A node of at most SMALL classes
+is compared exhaustively; the members of a larger one meet PIVOTS common partners first. Nodes whose
+members are one component then are done. Of the others, those of at most WHOLE members are compared
+exhaustively, without the pairs inside a component; the larger ones branch: each member goes to BRANCH
+children by as many further tokens, until nodes are small enough, in one component, or DEPTH levels
+deep. What cannot be split further is compared exhaustively as well, in blocks of about PART by PART
+members over many tasks: all members outside the node's main component against all of its members.
 
-What large nodes leave out on the way down is made up for at the end: members of large nodes of the
-first level that hold several components are joined exactly, by a prefix filter over their shingles
-(see across), so that only the first level's misses remain.
+A pair of similarity 0.75 shares a first-level node of a tree with probability 0.75 and each further
+one with 1 - 0.25 ** BRANCH, so that all 16 trees miss it with probability 2e-10 when its nodes are
+small and 2e-7 when they are split down to the last level.
 
 Compared pairs pass when 2-bit sketches of SKETCH minwise tokens agree in LIKELY places at least
 (below that, a pair of similarity 0.75 is lost with probability under 1e-6) and are then confirmed
-on the full sets: each class with its likeliest partner first, then every pair whose ends are not
-yet connected. Links between connected classes cannot change the components and are left out.
+on the full sets, word by word: each class with its likeliest partner first, then every pair whose
+ends are not yet connected. Links inside a component cannot change it and are left out.
 
 Defined cases: null texts and texts without words have an empty set, link with nothing and are kept;
 shorter texts than five words are one shingle; whole texts are used; rows of one id are one document
-for linking (any of its texts may link); a null id has no component and is not kept; an empty table
-gives an empty result; only id and text are read, so names cannot clash.
+for linking (any of its texts may link); a null id has no component and is not kept; ids are whole
+numbers, other types are refused; an empty table gives an empty result; only id and text are read, so
+names cannot clash.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache, reduce
+from functools import reduce
 from hashlib import blake2b
 
 import numpy as np
@@ -33,46 +36,65 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from taxograph.llm.common import arrow_rows, by_ids, small_batches, staged, tasks_for
+from taxograph.llm.common import arrow_rows, by_ids, small_batches, staged, tasks_for, whole_id
 from taxograph.llm.components import components
 from taxograph.llm.decontaminate import blocks
-from taxograph.llm.wordhash import VISIBLE, block_words, mix
+from taxograph.llm.wordhash import VISIBLE, Distinct, Words, mix
 
-WORDS, TREES, DEPTH, SMALL, SKETCH, LIKELY, RUN, SEED = 5, 16, 4, 64, 128, 82, 160, 7
+WORDS, TREES, BRANCH, DEPTH, SMALL, WHOLE, PIVOTS, PART = 5, 16, 2, 4, 64, 1024, 4, 4096
+SKETCH, LIKELY, SEED = 128, 82, 7
 SIMILAR = (75, 100)
-#: Rows of the first level that a task writes.
-ROWS_PER_TASK = 400_000
+#: Rows of the first level that a task writes; characters that are confirmed together.
+ROWS_PER_TASK, TOGETHER = 400_000, 4 << 20
 
 _RNG = np.random.default_rng(SEED)
 FACTORS = (_RNG.integers(0, 1 << 32, SKETCH, dtype="u8") | 1).astype("u4")[:, None]
 OFFSETS = _RNG.integers(0, 1 << 32, SKETCH, dtype="u8").astype("u4")[:, None]
-TURNS = [0, *map(int, _RNG.integers(0, 1 << 62, DEPTH))]
-PLACES = _RNG.integers(0, 1 << 63, WORDS, dtype="u8") | np.uint64(1)
-
-
-def shingle_sets(texts: list[str | None], words: int = WORDS) -> list[np.ndarray]:
-    """The sorted distinct shingle hashes of each text."""
-    hashes, counts = block_words(texts, VISIBLE)
-    starts = np.cumsum(counts) - counts
-    n = max(0, len(hashes) - words + 1)
-    rolled = np.zeros(n, dtype="u8")
-    for k in range(words):
-        rolled += hashes[k : k + n] * PLACES[k]
-    rolled = mix(rolled)
+TURNS = [*map(int, _RNG.integers(0, 1 << 62, PIVOTS))]
+S = [f"s{k}" for k in range(SKETCH // 32)]
+#: The tokens of a tree by level from the second on.
+NEXT = [f"t{level}_{b}" for level in range(2, DEPTH + 1) for b in range(BRANCH)]
+FURTHER = TREES * len(NEXT)
+
+
+def shingles(words: Words, seed: int = 0, size: int = WORDS) -> list[np.ndarray]:
+    """The shingle hashes of each text, in order; a shorter text is one shingle."""
+    hashes, counts = words.hashes(seed), words.counts
+    n = max(0, len(hashes) - size + 1)
+    rolled = np.full(n, size, dtype="u8")
+    for k in range(size):
+        rolled = mix(rolled ^ hashes[k : k + n])
     out = []
-    for s, c in zip(starts.tolist(), counts.tolist(), strict=True):
-        if c >= words:
-            out.append(np.unique(rolled[s : s + c - words + 1]))
-        elif c:
-            out.append(mix(np.array([(hashes[s : s + c] * PLACES[:c]).sum(dtype="u8") + np.uint64(c)], dtype="u8")))
+    for s, c in zip((np.cumsum(counts) - counts).tolist(), counts.tolist(), strict=True):
+        if 0 < c < size:
+            short = np.array([c], dtype="u8")
+            for h in hashes[s : s + c]:
+                short = mix(short ^ h)
+            out.append(short)
         else:
-            out.append(np.empty(0, "u8"))
+            out.append(rolled[s : s + max(0, c - size + 1)])
     return out
 
 
-def minwise(shingles: np.ndarray) -> np.ndarray:
+def exact_sets(texts: list[bytes], size: int = WORDS) -> list[np.ndarray]:
+    """The sorted distinct shingles of each text as numbers; equal numbers are equal words, byte by byte."""
+    words = Words(texts, VISIBLE)
+    number, counts = Distinct(words).number + 1, words.counts
+    starts, ends = np.cumsum(counts) - counts, np.cumsum(counts)
+    number = np.concatenate([number, np.zeros(size, dtype="i8")])
+    owner = np.repeat(np.arange(len(texts)), counts)
+    at = np.arange(len(owner))
+    reach = ends[owner] - at
+    long = np.where(reach >= size, True, (at == starts[owner]))
+    code = np.zeros(len(owner), dtype="i8")
+    for k in range(size):  # pairs of numbers become numbers again, so that nothing is merged
+        code = np.unique(code * (int(number.max(initial=0)) + 1) + np.where(k < reach, number[at + k], 0), return_inverse=True)[1]
+    return [np.unique(code[s:e][long[s:e]]) for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
+
+
+def minwise(tokens: np.ndarray) -> np.ndarray:
     """The minwise token of a set under each of the hash functions."""
-    h, least = (shingles >> np.uint64(32)).astype("u4"), np.full(SKETCH, (1 << 32) - 1, dtype="u4")
+    h, least = (tokens >> np.uint64(32)).astype("u4"), np.full(SKETCH, (1 << 32) - 1, dtype="u4")
     step = (1 << 18) // SKETCH
     for at in range(0, len(h), step):
         least = np.minimum(least, (h[None, at : at + step] * FACTORS + OFFSETS).min(axis=1))
@@ -85,161 +107,204 @@ def sketch(tokens: np.ndarray) -> bytes:
     return np.packbits(bits.ravel()).tobytes()
 
 
-SIGNED = "id bigint, n_shingles bigint, digest binary, path binary, s0 bigint, s1 bigint, s2 bigint, s3 bigint"
+SIGNED = "id bigint, n_shingles bigint, d0 bigint, d1 bigint, first array<int>, further binary, " + ", ".join(f"{s} bigint" for s in S)
 
 
 def signatures(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per document: set size, digest of the set, path tokens and sketch."""
+    """One row per document: set size, digest of the set, minwise tokens and sketch."""
     small_batches(df.sparkSession)
 
     def run(batches):
         for ids, texts in blocks(batches, 1 << 20):
-            n, digests, paths, sketches = [], [], [], []
-            for s in shingle_sets(texts):
-                n.append(len(s))
-                digests.append(blake2b(s.tobytes(), digest_size=16).digest())
-                tokens = minwise(s)
-                paths.append(tokens[: TREES * DEPTH].tobytes())
+            words = Words(texts, VISIBLE)
+            n, digests, first, further, sketches = [], [], [], [], []
+            for own, other in zip(shingles(words), shingles(words, 1), strict=True):
+                held, at = np.unique(own, return_index=True)
+                n.append(len(held))
+                digests.append(blake2b(held.tobytes() + mix(other[at]).sum(dtype="u8").tobytes(), digest_size=16).digest())
+                tokens = minwise(held)
+                first.append(tokens[:TREES].view("i4"))
+                further.append((tokens[TREES : TREES + FURTHER] & 0xFFFF).astype("<u2").tobytes())
                 sketches.append(sketch(tokens))
-            longs = np.frombuffer(b"".join(sketches), dtype="i8").reshape(-1, 4)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(paths, pa.binary()), *(pa.array(np.ascontiguousarray(longs[:, k])) for k in range(4))], [c.split()[0] for c in SIGNED.split(", ")])
+            longs = [np.frombuffer(b"".join(x), dtype="<i8").reshape(len(ids), -1) for x in (digests, sketches)]
+            whole = [pa.array(np.ascontiguousarray(c)) for x in longs for c in x.T]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), *whole[:2], pa.array(first, pa.list_(pa.int32())), pa.array(further, pa.binary()), *whole[2:]], [c.split()[0] for c in SIGNED.split(", ")])
 
-    return staged(df.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, SIGNED), "signatures")
+    return staged(df.select(whole_id(df, id_col), F.col(text_col)).mapInArrow(run, SIGNED), "signatures")
 
 
-BRANCHED = "node bigint, id bigint, s0 bigint, s1 bigint, s2 bigint, s3 bigint, " + ", ".join(f"t{d} int" for d in range(1, DEPTH))
+def likely(a: np.ndarray, b: np.ndarray, least: int = LIKELY) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of a, row of b, agreeing tokens) of all pairs of sketches that agree in `least` places."""
+    found, step = [(np.empty(0, "i8"),) * 3], max(1, (1 << 18) // max(1, len(b)))
+    for at in range(0, len(a), step):
+        differ = np.zeros((len(a[at : at + step]), len(b)), dtype="u1")
+        for k in range(a.shape[1]):
+            x = a[at : at + step, k, None] ^ b[None, :, k]
+            differ += np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(0x5555555555555555))
+        i, j = np.nonzero(differ <= SKETCH - least)
+        found.append((i + at, j, SKETCH - differ[i, j].astype("i8")))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
-def first_level(classes: DataFrame) -> DataFrame:
-    """A row per class and tree: the node of the first token, and the tokens of the further levels."""
+def grouped(rows: DataFrame, keys: list[str], compare) -> DataFrame:
+    """(a, b, agree) that compare(columns by name) finds in each group of rows; groups are bounded.
 
-    def run(batches):
-        for b in batches:
-            tokens = np.frombuffer(b"".join(b.column(1).to_pylist()), dtype="u4").reshape(-1, TREES, DEPTH)
-            node = mix((tokens[:, :, 0].astype("u8") << np.uint64(8)) + np.arange(1, TREES + 1, dtype="u8")).view("i8")
-            repeat = lambda k: pa.array(np.repeat(np.asarray(b.column(k)), TREES))
-            yield pa.RecordBatch.from_arrays([pa.array(node.ravel()), repeat(0), *map(repeat, range(2, 6)), *(pa.array(np.ascontiguousarray(tokens[:, :, d].ravel()).view("i4")) for d in range(1, DEPTH))], [c.split()[0] for c in BRANCHED.split(", ")])
+    The groups of a task come one after another; each is held alone.
+    """
+    names = [*keys, *(c for c in rows.columns if c not in keys)]
 
-    return classes.select("id", "path", "s0", "s1", "s2", "s3").mapInArrow(run, BRANCHED)
+    def run(batches):
+        mark, held = None, []
 
+        def done():
+            a, b, agree = compare({c: np.concatenate([h[c] for h in held]) for c in names})
+            least, most = np.minimum(a, b), np.maximum(a, b)
+            return pa.RecordBatch.from_arrays([pa.array(least, pa.int64()), pa.array(most, pa.int64()), pa.array(agree, pa.int32())], ["a", "b", "agree"])
 
-def agreeing(left: str, right: str) -> Column:
-    """How many two-bit tokens agree between two sets of columns, 32 tokens to a column."""
+        for batch in batches:
+            columns = {c: np.asarray(batch.column(k)) for k, c in enumerate(names)}
+            same = [columns[k][1:] == columns[k][:-1] for k in keys]
+            cuts = np.flatnonzero(~reduce(np.logical_and, same)) + 1
+            for s, e in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
+                if s == e:
+                    continue
+                now = tuple(columns[k][s] for k in keys)
+                if held and now != mark:
+                    yield done()
+                    held = []
+                mark = now
+                held.append({c: v[s:e] for c, v in columns.items()})
+        if held:
+            yield done()
 
-    def differing(k: int) -> Column:
-        x = F.col(f"{left}s{k}").bitwiseXOR(F.col(f"{right}s{k}"))
-        return F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+    return rows.select(names).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a bigint, b bigint, agree int")
 
-    return F.lit(SKETCH) - reduce(lambda a, b: a + b, map(differing, range(SKETCH // 32)))
 
+def _sketches(g: dict[str, np.ndarray], at=slice(None)) -> np.ndarray:
+    return np.stack([g[s][at] for s in S], axis=1).view("u8")
 
-def _pair(x: str, y: str) -> list[Column]:
-    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b"), F.col("agree").cast("int").alias("agree")]
 
+def _exhaustive(g: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The likely pairs of different labels in a node."""
+    x = _sketches(g)
+    i, j, agree = likely(x, x)
+    apart = (i < j) & (g["label"][i] != g["label"][j])
+    return g["id"][i[apart]], g["id"][j[apart]], agree[apart]
 
-def _within(rows: DataFrame, key: list[str]) -> DataFrame:
-    """Likely pairs inside groups whose size is bounded."""
-    right = rows.select(*[F.col(k) for k in key], F.col("id").alias("other"), *[F.col(f"s{k}").alias(f"o_s{k}") for k in range(4)])
-    return rows.join(right, key).filter(F.col("id") < F.col("other")).withColumn("agree", agreeing("", "o_")).filter(F.col("agree") >= LIKELY).select(*_pair("id", "other"))
 
+def _across(g: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The likely pairs of different labels between the two sides of a block."""
+    left, right = (np.flatnonzero(g["side"] == k) for k in (0, 1))
+    i, j, agree = likely(_sketches(g, left), _sketches(g, right))
+    i, j = left[i], right[j]
+    apart = g["label"][i] != g["label"][j]
+    return g["id"][i[apart]], g["id"][j[apart]], agree[apart]
 
-def candidates(classes: DataFrame, tasks: int) -> tuple[DataFrame, DataFrame | None]:
-    """(a, b, agree): the pairs that the trees compare and whose sketches are likely; and the members
-    (node, id) of the nodes that are large on the first level, if any.
 
-    A level's pivots come from one order for all trees, so that trees which hold the same large group
-    link it to the same few pivots.
-    """
-    rows, found, dense = first_level(classes), [], None
-    columns = ["id", "s0", "s1", "s2", "s3"]
-    for level in range(1, DEPTH + 1):
-        # the order of a level's pivots: ids with some bits turned over
-        turned = lambda c, level=level: F.col(c).bitwiseXOR(F.lit(TURNS[level]))
-        nodes = staged(rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min(turned("id")).alias("pivot")).filter("n > 1"), "nodes", tasks)
-        members = staged(rows.join(nodes, "node"), "members", tasks)
-        found.append(_within(members.filter(F.col("n") <= SMALL).select("node", *columns), ["node"]))
-        large = members.filter(F.col("n") > SMALL)
-        if nodes.filter(F.col("n") > SMALL).isEmpty():
-            break
-        pivots = large.filter(turned("id") == F.col("pivot")).dropDuplicates(["node"])
-        pivots = pivots.select("node", F.col("id").alias("other"), *[F.col(f"s{k}").alias(f"o_s{k}") for k in range(4)])
-        starred = large.select("node", *columns).join(pivots, "node").filter("id <> other")
-        found.append(starred.withColumn("agree", agreeing("", "o_")).filter(F.col("agree") >= LIKELY).select(*_pair("id", "other")))
-        if level == 1:
-            dense = large.select("node", "id")
-        if level < DEPTH:
-            rest = [f"t{d}" for d in range(level + 1, DEPTH)]
-            rows = large.select(F.xxhash64("node", f"t{level}").alias("node"), *columns, *rest)
-    pairs = reduce(DataFrame.union, found)
-    return staged(pairs.groupBy("a", "b").agg(F.max("agree").alias("agree")), "candidates", tasks), dense
+def _best(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("a", "b").agg(F.max("agree").alias("agree"))
 
 
-TOKENS = "id bigint, set bigint, n bigint, token bigint"
+def agreeing(left: str, right: str) -> Column:
+    """How many two-bit tokens agree between two sets of columns, 32 tokens to a column."""
 
+    def differing(s: str) -> Column:
+        x = F.col(f"{left}{s}").bitwiseXOR(F.col(f"{right}{s}"))
+        return F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555)))
 
-def tokens_of(df: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """A row per shingle of each text of the wanted ids; set tells the texts of one id apart."""
+    return F.lit(SKETCH) - reduce(lambda a, b: a + b, map(differing, S))
 
-    def run(batches):
-        for held, texts in blocks(batches, 1 << 20):
-            sets = shingle_sets(texts)
-            n = np.array([len(s) for s in sets], dtype="i8")
-            own = np.array([int.from_bytes(blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) for s in sets], dtype="i8")
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(x, n)) for x in (np.array(held, dtype="i8"), own, n)] + [pa.array(np.concatenate(sets).view("i8"))], [c.split()[0] for c in TOKENS.split(", ")])
 
-    small_batches(df.sparkSession)
-    wanted = by_ids(df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), ids, "id", "left_semi")
-    return wanted.mapInArrow(run, TOKENS)
+def first_level(classes: DataFrame, tasks: int) -> tuple[DataFrame, bool]:
+    """(node, n, tree, id, sketch) of the classes in nodes of several members, and whether a node is large."""
+    keys = classes.select(F.posexplode("first").alias("tree", "token"), "id").select(F.xxhash64("tree", "token").alias("node"), "tree", "id")
+    nodes = keys.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("x"), F.max("id").alias("y")).filter("x <> y")
+    nodes = staged(nodes.select("node", "n"), "nodes", tasks)
+    members = keys.join(nodes, "node").join(classes.select("id", *S), "id")
+    members = staged(members.select("node", "n", "tree", "id", F.col("id").alias("label"), *S), "members", tasks)
+    return members, not nodes.filter(F.col("n") > SMALL).isEmpty()
 
 
-def across(df: DataFrame, dense: DataFrame, known: DataFrame, classes: DataFrame, id_col: str, text_col: str, similar: tuple[int, int] = SIMILAR) -> DataFrame:
-    """(a, b, agree): likely pairs of different components among the members of large nodes, all of them.
+def starred(large: DataFrame) -> DataFrame:
+    """(a, b, agree): the likely pairs of members of large nodes with the pivots of their node.
 
-    Nodes whose members are connected already need no further comparison. Of two sets that are similar
-    enough, each has a token of the other among its first n - least overlap + 1 in any common order of
-    the tokens. The order here is: tokens of one component only, which pair nothing and are counted but
-    not kept, then the rarest first. In the group of a token, what is apart from the group's main
-    component meets all members, in parts of about RUN of them.
+    Pivots come from PIVOTS orders common to all nodes, so that trees which hold the same large group
+    link it to the same few pivots.
     """
-    part, whole = similar
-    named = dense.join(known.withColumnRenamed("component", "label"), "id", "left").withColumn("label", F.coalesce("label", "id"))
+    turned = [F.col("id").bitwiseXOR(F.lit(t)) for t in TURNS]
+    least = large.groupBy("node").agg(*[F.min(t).alias(f"p{k}") for k, t in enumerate(turned)])
+    chosen = least.select("node", F.explode(F.array(*[F.col(f"p{k}").bitwiseXOR(F.lit(t)) for k, t in enumerate(TURNS)])).alias("id")).distinct()
+    pivots = large.select("node", "id", *S).join(chosen, ["node", "id"]).dropDuplicates(["node", "id"]).select("node", F.col("id").alias("other"), *[F.col(s).alias(f"o_{s}") for s in S])
+    met = large.join(pivots, "node").filter("id <> other").withColumn("agree", agreeing("", "o_")).filter(F.col("agree") >= LIKELY)
+    return met.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"), F.col("agree").cast("int").alias("agree"))
+
+
+def further_levels(large: DataFrame, known: DataFrame, classes: DataFrame, tasks: int) -> DataFrame:
+    """(a, b, agree): the likely pairs of different components among the members of large nodes."""
+    named = large.select("node", "n", "tree", "id", *S).join(known.withColumnRenamed("component", "label"), "id", "left").withColumn("label", F.coalesce("label", "id"))
     open_ = named.groupBy("node").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("node")
-    labels = staged(named.join(open_, "node", "left_semi").select("id", "label").distinct(), "open")
-    tokens = staged(tokens_of(df, labels.select("id"), id_col, text_col).join(labels, "id"), "tokens")
-    shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("often"), F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("token", "often")
-    firsts = tokens.join(shared, "token").groupBy("id", "set", "n", "label").agg(F.array_sort(F.collect_set(F.struct("often", "token"))).alias("order"))
-    room = F.expr(f"n - (n * {part} + {whole - 1}) div {whole} + 1 - (n - size(order))").cast("int")
-    firsts = firsts.withColumn("room", room).filter("room > 0").select("id", "n", "label", F.explode(F.slice("order", 1, F.col("room"))["token"]).alias("token"))
-    firsts = staged(firsts.distinct(), "firsts")
-    sizes = firsts.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("token").agg(F.sum("n").alias("all"), F.max_by("label", F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("labels"))
-    sizes = sizes.filter("labels > 1").withColumn("parts", F.expr(f"all div {RUN} + 1")).select("token", "main", "parts")
-    rows = staged(firsts.join(sizes, "token").join(classes.select("id", *[f"s{k}" for k in range(4)]), "id"), "rows")
-    apart = rows.filter("label <> main").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    members = rows.select("token", F.pmod(F.xxhash64("id", "token"), F.col("parts")).alias("part"), F.col("id").alias("other"), F.col("label").alias("o_label"), F.col("n").alias("o_n"), *[F.col(f"s{k}").alias(f"o_s{k}") for k in range(4)])
-    once = (F.col("o_label") == F.col("main")) | (F.col("id") < F.col("other"))
-    sized = F.least("n", "o_n") * whole >= F.greatest("n", "o_n") * part
-    met = apart.join(members, ["token", "part"]).filter((F.col("label") != F.col("o_label")) & once & sized)
-    return met.withColumn("agree", agreeing("", "o_")).filter(F.col("agree") >= LIKELY).select(*_pair("id", "other")).groupBy("a", "b").agg(F.max("agree").alias("agree"))
-
-
-@lru_cache(maxsize=256)
-def _opened(squeezed: bytes) -> np.ndarray:
-    return shingle_sets([zstandard.ZstdDecompressor().decompress(squeezed).decode("utf-8", "surrogatepass")])[0]
+    width = 2 * len(NEXT)
+
+    def token(k: int) -> Column:
+        return F.expr(f"substring(further, tree * {width} + {2 * k + 1}, 2)").alias(NEXT[k])
+
+    rows = named.join(open_, "node").join(classes.select("id", "further"), "id")
+    rows = staged(rows.select("node", "n", "id", "label", *S, *map(token, range(len(NEXT)))), "open", tasks)
+    found, level = [], 1
+    while True:
+        found.append(grouped(rows.filter(F.col("n") <= WHOLE).select("node", "id", "label", *S), ["node"], _exhaustive))
+        rows = rows.filter(F.col("n") > WHOLE).drop("n")
+        if rows.isEmpty():
+            break
+        if level == DEPTH:
+            found.append(in_blocks(rows))
+            break
+        now, later = NEXT[BRANCH * (level - 1) : BRANCH * level], NEXT[BRANCH * level :]
+        kids = rows.select(F.explode(F.array(*[F.xxhash64("node", F.lit(b), t) for b, t in enumerate(now)])).alias("node"), "id", "label", *S, *later)
+        nodes = kids.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
+        rows = staged(kids.join(staged(nodes.select("node", "n"), "nodes", tasks), "node"), "open", tasks)
+        level += 1
+    return _best(reduce(DataFrame.union, found))
+
+
+def in_blocks(rows: DataFrame) -> DataFrame:
+    """(a, b, agree): what is outside the main component of a node against all its members, block by block."""
+    sizes = rows.groupBy("node", "label").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.groupBy("node").agg(F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("most"))
+    sizes = sizes.select("node", F.col("most.label").alias("main"), F.expr(f"n div {PART} + 1").alias("parts"), F.expr(f"(n - most.n) div {PART} + 1").alias("rests"))
+    held = rows.select("node", "id", "label", *S).join(sizes, "node")
+    spread = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    dealt = lambda n: F.pmod(F.xxhash64("id", "node"), F.col(n))
+    rest = held.filter("label <> main").select("node", dealt("rests").alias("rest"), F.explode(spread("parts")).alias("part"), F.lit(0).alias("side"), "id", "label", *S)
+    every = held.select("node", F.explode(spread("rests")).alias("rest"), dealt("parts").alias("part"), F.lit(1).alias("side"), "id", "label", *S)
+    return grouped(rest.union(every), ["node", "rest", "part"], _across)
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, tasks: int | None = None, similar: tuple[int, int] = SIMILAR) -> DataFrame:
     """The pairs whose full sets have at least the similarity, as (a, b)."""
     part, whole = similar
 
+    def judged(a, b, left, right):
+        number = {t: k for k, t in enumerate(dict.fromkeys(left + right))}
+        sets = exact_sets([zstandard.ZstdDecompressor().decompress(t) for t in number])
+        keep = []
+        for x, y in ((sets[number[x]], sets[number[y]]) for x, y in zip(left, right, strict=True)):
+            both = len(np.intersect1d(x, y, assume_unique=True)) if min(len(x), len(y)) * whole >= part * max(len(x), len(y)) else 0
+            keep.append(both > 0 and whole * both >= part * (len(x) + len(y) - both))
+        at = np.flatnonzero(keep)
+        return pa.RecordBatch.from_arrays([pa.array(np.array(x, dtype="i8")[at]) for x in (a, b)], ["a", "b"])
+
     def run(batches):
+        held, size = [], 0
         for b in batches:
-            keep = []
-            for left, right in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-                x, y = _opened(left), _opened(right)
-                both = len(np.intersect1d(x, y, assume_unique=True)) if min(len(x), len(y)) * whole >= part * max(len(x), len(y)) else 0
-                keep.append(both > 0 and whole * both >= part * (len(x) + len(y) - both))
-            at = pa.array(np.flatnonzero(keep))
-            yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at)], ["a", "b"])
+            for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                held.append(row)
+                size += sum(zstandard.frame_content_size(t) for t in row[2:])
+                if size >= TOGETHER:
+                    yield judged(*map(list, zip(*held, strict=True)))
+                    held, size = [], 0
+        if held:
+            yield judged(*map(list, zip(*held, strict=True)))
 
     held = texts.select(F.col("id").alias("a"), F.col("text").alias("left")), texts.select(F.col("id").alias("b"), F.col("text").alias("right"))
     both = pairs.select("a", "b").join(held[0], "a").join(held[1], "b").select("a", "b", "left", "right")
@@ -248,7 +313,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, tasks: int | None = None, simi
 
 
 def squeezed_texts(df: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, text) of the wanted ids, texts compressed."""
+    """(id, text) of the wanted ids, a staged table; texts compressed before they move."""
 
     def run(batches):
         press = zstandard.ZstdCompressor(level=3)
@@ -257,27 +322,31 @@ def squeezed_texts(df: DataFrame, ids: DataFrame, id_col: str, text_col: str) ->
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(squeezed, pa.binary())], ["id", "text"])
 
     small_batches(df.sparkSession)
-    wanted = by_ids(df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), ids, "id", "left_semi")
-    return staged(wanted.mapInArrow(run, "id bigint, text binary"), "texts")
+    wanted = by_ids(df.select(whole_id(df, id_col).alias("id"), F.col(text_col).alias("text")), ids, "id", "left_semi", lambda rows: rows.mapInArrow(run, "id bigint, text binary"))
+    return staged(wanted, "texts")
 
 
 def confirmed_links(df: DataFrame, pairs: DataFrame, id_col: str, text_col: str, tasks: int) -> DataFrame:
     """Of the staged pairs (a, b, agree), confirmed ones that connect what all confirmed ones connect."""
-    texts = squeezed_texts(df, pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), id_col, text_col)
+    ids = staged(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "paired", tasks)
+    texts = squeezed_texts(df, ids, id_col, text_col)
     both = pairs.union(pairs.select("b", "a", "agree"))
-    likeliest = both.groupBy("a").agg(F.max_by("b", F.struct("agree", F.xxhash64("b"), "b")).alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    likeliest = both.groupBy("a").agg(F.max(F.struct("agree", F.xxhash64("b"), "b")).alias("x")).select("a", F.col("x.b").alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     sure = confirmed(likeliest, texts, tasks)
     known = components(sure)
     left = pairs.join(known.toDF("a", "c_a"), "a", "left").join(known.toDF("b", "c_b"), "b", "left")
-    return sure.union(confirmed(left.filter(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b"), texts, tasks))
+    left = staged(left.filter(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b"), "left", tasks)
+    return sure if left.isEmpty() else sure.union(confirmed(left, texts, tasks))
 
 
 def links(df: DataFrame, classes: DataFrame, id_col: str, text_col: str, tasks: int) -> DataFrame:
     """Confirmed links (a, b) between class representatives that give the components."""
-    pairs, dense = candidates(classes, tasks)
-    sure = confirmed_links(df, pairs, id_col, text_col, tasks)
-    if dense is not None:
-        apart = staged(across(df, dense, components(sure), classes, id_col, text_col), "apart", tasks)
+    members, any_large = first_level(classes, tasks)
+    found = grouped(members.filter(F.col("n") <= SMALL).select("node", "id", "label", *S), ["node"], _exhaustive)
+    large = members.filter(F.col("n") > SMALL)
+    sure = confirmed_links(df, staged(_best(found.union(starred(large)) if any_large else found), "candidates", tasks), id_col, text_col, tasks)
+    if any_large:
+        apart = staged(further_levels(large, components(sure), classes, tasks), "apart", tasks)
         if not apart.isEmpty():
             sure = sure.union(confirmed_links(df, apart, id_col, text_col, tasks))
     return sure
@@ -287,20 +356,22 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """(id, n_shingles, component_id, kept) of every document."""
     signed = signatures(df, id_col, text_col)
     tasks = tasks_for(signed.count() * TREES, ROWS_PER_TASK)
-    first = lambda c: F.first(c).alias(c)  # noqa: E731  equal sets have equal values
-    classes = staged(signed.filter("n_shingles > 0 and id is not null").groupBy("digest").agg(F.min("id").alias("id"), *map(first, ("path", "s0", "s1", "s2", "s3"))), "classes", tasks)
-    found = components(links(df, classes, id_col, text_col, tasks).union(_same_id(signed)))
-    representative = classes.select("digest", F.col("id").alias("class_id"))
-    named = signed.select("id", "n_shingles", "digest").join(representative, "digest", "left")
-    named = named.join(found.toDF("class_id", "component"), "class_id", "left")
+    sets = signed.filter("n_shingles > 0 and id is not null")
+    # only sets that several ids have need a name; their smallest id is it
+    repeated = sets.groupBy("d0", "d1").agg(F.min("id").alias("class_id"), F.max("id").alias("last")).filter("class_id <> last").drop("last")
+    named = by_ids(signed, staged(repeated, "repeated", tasks), ["d0", "d1"], "left")
+    named = named.withColumn("class_id", F.when(F.col("n_shingles") > 0, F.coalesce("class_id", "id")))
+    classes = staged(named.filter("id = class_id").select("id", "first", "further", *S), "classes", tasks)
+    found = components(links(df, classes, id_col, text_col, tasks).union(_same_id(named)))
+    named = by_ids(named.select("id", "n_shingles", "class_id"), found.toDF("class_id", "component"), "class_id", "left")
     component = F.when(F.col("id").isNull() | (F.col("n_shingles") == 0), F.col("id")).otherwise(F.coalesce("component", "class_id"))
     out = named.select("id", "n_shingles", component.alias("component_id"))
     return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
-def _same_id(signed: DataFrame) -> DataFrame:
+def _same_id(named: DataFrame) -> DataFrame:
     """Links between the classes of texts that share an id."""
-    sets = signed.filter("n_shingles > 0 and id is not null").select("id", "digest")
-    several = sets.groupBy("id").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).filter("x <> y").select("id")
-    classes = sets.groupBy("digest").agg(F.min("id").alias("b"))
-    return sets.join(several, "id").distinct().join(classes, "digest").select(F.col("id").alias("a"), "b")
+    sets = named.filter("class_id is not null")
+    several = sets.groupBy("id").agg(F.min("class_id").alias("a"), F.max("class_id").alias("b"), F.min("d0").alias("x"), F.max("d0").alias("y"))
+    own = sets.join(several.filter("x <> y").select("id"), "id")
+    return own.select(F.col("id").alias("a"), F.col("class_id").alias("b")).distinct()

@@ -36,6 +36,46 @@ def test_word_hashes():
     assert [by_hash[h] for h in hashes.tolist()] == flat and len(by_hash) == len(set(flat))
 
 
+def thue_morse(n):
+    a = "".join("ab"[bin(k).count("1") % 2] for k in range(n))
+    return a, a.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("n", [8, 64, 1024, 4096])
+def test_words_of_a_pattern_differ(n):
+    a, b = thue_morse(n)
+    hashes, _ = wordhash.block_words([a, b], wordhash.VISIBLE)
+    assert hashes[0] != hashes[1]
+
+
+def test_equal_hashes_do_not_merge_words(monkeypatch):
+    monkeypatch.setattr(wordhash.Words, "hashes", lambda self, seed=0: (self.end - self.start).astype("u8") % 3)
+    held = wordhash.Words(["aa bb aa cc", "bb " + "x" * 70 + " " + "y" * 70], wordhash.VISIBLE)
+    distinct = wordhash.Distinct(held)
+    assert [distinct.strings[k] for k in distinct.number] == [b"aa", b"bb", b"aa", b"cc", b"bb", b"x" * 70, b"y" * 70]
+    assert wordhash.matched(distinct.terms, distinct.strings, distinct.terms, distinct.strings).tolist() == list(range(5))
+    assert wordhash.matched(distinct.terms[:1], [b"zz"], distinct.terms, distinct.strings).tolist() == [-1]
+
+
+def test_patterned_words_in_queries(spark):
+    docs = []
+    for n in (1024, 4096):
+        a, b = thue_morse(n)
+        w = sentences(random.Random(n), 8).split()
+        docs += [(n, a), (n + 1, b), (n + 2, " ".join([*w[:4], a, *w[4:]])), (n + 3, " ".join([*w[:4], b, *w[4:]]))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r.doc_id: tuple(r)[1:3] for r in near_dedup.near_duplicates(df).collect()} == plain_components(docs)
+    items = [(1, docs[0][1]), (2, docs[7][1])]
+    got = Counter((r.doc_id, r.n_words, r.n_hit, tuple(r["items"]), r.contaminated) for r in decontaminate.contamination(df, spark.createDataFrame(items, "item_id long, text string")).collect())
+    assert got == plain_contamination(docs, items)
+
+
+def test_many_hits_are_united(spark):
+    docs, items = [(1, "w1 " * 200_000), (2, "w1 w2 w1 w2")], [(1, "w1"), (2, "w2 w1")]
+    rows = decontaminate.hits(decontaminate.build_index(spark.createDataFrame(docs, "doc_id long, text string")), spark.createDataFrame(items, "item_id long, text string")).orderBy("id").collect()
+    assert [(r.starts, r.ends, r["items"]) for r in rows] == [([0], [200_000], ["1"]), ([0], [3], ["1", "2"])]
+
+
 def plain_contamination(docs, items, window=13):
     windows = defaultdict(set)
     for i, t in items:
@@ -151,33 +191,58 @@ def test_near_duplicates(spark):
     assert near_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
-def test_large_groups_of_copies(spark, monkeypatch):
-    monkeypatch.setattr(near_dedup, "SMALL", 4)
-    monkeypatch.setattr(near_dedup, "RUN", 64)
+def linked_pairs(docs):
+    sets = plain_sets(docs)
+    ids = sorted(sets)
+    return [(a, b) for i, a in enumerate(ids) for b in ids[i + 1 :] if (both := len(sets[a] & sets[b])) and 100 * both >= 75 * len(sets[a] | sets[b])]
+
+
+@pytest.mark.parametrize(("small", "whole", "part"), [(4, 8, 16), (4, 1024, 16), (64, 1024, 4096), (2, 2, 5)])
+def test_large_groups_of_copies(spark, monkeypatch, small, whole, part):
+    for name, value in (("SMALL", small), ("WHOLE", whole), ("PART", part)):
+        monkeypatch.setattr(near_dedup, name, value)
     docs = copied_docs(2, 4, [150])
     df = spark.createDataFrame(docs, "doc_id long, text string")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(df).collect()}
-    want = plain_components(docs)
-    assert sum(got[d] != want[d] for d in want) <= 0.01 * len(want)
+    assert got == plain_components(docs)
+    assert all(got[a][1] == got[b][1] for a, b in linked_pairs(docs))
 
 
-def test_no_pair_of_a_large_node_is_left_out(spark, monkeypatch):
-    monkeypatch.setattr(near_dedup, "SMALL", 4)
-    monkeypatch.setattr(near_dedup, "RUN", 4)
+@pytest.mark.parametrize("whole", [8, 1024])
+def test_no_pair_of_a_large_node_is_left_out(spark, monkeypatch, whole):
+    for name, value in (("SMALL", 4), ("WHOLE", whole), ("PART", 16)):
+        monkeypatch.setattr(near_dedup, name, value)
     line = " ".join(f"b{k}" for k in range(144))  # pairs of similarity 0.78 that are 0.74 alike among each other
     docs = [(2 * k + j, " ".join([line, *(f"p{k}x{i}" for i in range(5)), *(f"o{k}x{j}x{i}" for i in range(20))])) for k in range(80) for j in range(2)]
     df = spark.createDataFrame(docs, "doc_id long, text string")
     assert {r.doc_id: r.component_id for r in near_dedup.near_duplicates(df).collect()} == {d: d - d % 2 for d, _ in docs}
 
 
+def test_exact_sets():
+    texts = ["a b c d e f g", "A B c d e f", "a b", "", "a b c d e a b c d e a", "x" * 100 + " b c d e f"]
+    sets = near_dedup.exact_sets([t.encode() for t in texts])
+    want = [*plain_sets(list(enumerate(texts))).values()]
+    assert [len(s) for s in sets] == [len(w) for w in want]
+    assert all(len(np.intersect1d(sets[i], sets[j])) == len(want[i] & want[j]) for i in range(6) for j in range(6))
+
+
+def test_ids_must_be_whole_numbers(spark):
+    df = spark.createDataFrame([("x", "some text")], "doc_id string, text string")
+    for call in (near_dedup.near_duplicates, decontaminate.build_index):
+        with pytest.raises(TypeError):
+            call(df)
+
+
 def test_ids_given_twice(spark):
     a, b = "one two three four five six seven", "completely different words stand in this text"
     df = spark.createDataFrame([(5, a), (5, b), (7, a), (9, b), (11, "other")], "doc_id long, text string")
     assert {(r.doc_id, r.component_id) for r in near_dedup.near_duplicates(df).collect()} == {(5, 5), (7, 5), (9, 5), (11, 11)}
 
 
+@pytest.mark.parametrize("most", [20, components.LINKS_PER_TASK])
 @pytest.mark.parametrize("links", [[(k, k + 1) for k in range(200)], [(0, k) for k in range(1, 100)], [(5, 5)], [], [(1, 2), (3, 4), (2, 9), (7, 4), (100, 3)]])
-def test_components(spark, links):
+def test_components(spark, monkeypatch, links, most):
+    monkeypatch.setattr(components, "LINKS_PER_TASK", most)
     parent = {}
     find = lambda x: x if parent.setdefault(x, x) == x else find(parent[x])
     for a, b in links:
