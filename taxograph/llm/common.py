@@ -9,7 +9,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,12 +52,22 @@ def new_path(spark: SparkSession, name: str) -> str:
 def staged(df: DataFrame, name: str, tasks: int | None = None) -> DataFrame:
     """df written to the shared folder and read back: cuts lineage, survives lost executors.
 
-    tasks: at most so many write it, for results that are small next to what they are made from.
+    tasks: at most so many write it, for results that are small next to what they are made from. The
+    rows are counted while they are written, see rows_in().
     """
-    spark = df.sparkSession
+    spark, seen = df.sparkSession, Observation()
     path = new_path(spark, name)
-    (df if tasks is None else df.coalesce(tasks)).write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    counted = (df if tasks is None else df.coalesce(tasks)).observe(seen, F.count(F.lit(1)).alias("n"))
+    counted.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.rows_written = seen.get["n"]
+    return out
+
+
+def rows_in(df: DataFrame) -> int:
+    """The rows of a staged table, known from its writing, or else counted."""
+    known = df.__dict__.get("rows_written")
+    return df.count() if known is None else known
 
 
 def small_batches(spark: SparkSession, rows: int = 1024) -> None:
@@ -130,6 +140,6 @@ def by_ids(df: DataFrame, ids: DataFrame, on: str | list[str], how: str, before_
     df's rows is split by adaptive execution, the ids' side has one row for it.
     """
     carried = before_shuffle or (lambda rows: rows)
-    if ids.count() <= BROADCAST_IDS:
+    if rows_in(ids) <= BROADCAST_IDS:
         return carried(df.join(F.broadcast(ids), on, how))
     return carried(df).join(ids, on, how)

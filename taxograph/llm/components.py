@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taxograph.llm.common import staged, tasks_for
+from taxograph.llm.common import rows_in, staged, tasks_for
 
 LINKS_PER_TASK = 1_000_000
 
@@ -55,8 +55,8 @@ def components(links: DataFrame) -> DataFrame:
     result.
     """
     edges = links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).filter("a <> b")
-    named, tasks = None, tasks_for(edges.count(), LINKS_PER_TASK)
-    parts = tasks
+    named = None
+    parts = tasks = tasks_for(rows_in(links), LINKS_PER_TASK)
     while True:
         found = staged(edges.repartition(parts).mapInArrow(_local, "v bigint, r bigint"), "stars")
         if parts == 1 and named is None:  # one task has seen all links
@@ -70,7 +70,7 @@ def components(links: DataFrame) -> DataFrame:
         apart = found.join(label, "v").filter("r <> label").select(F.col("label").alias("a"), F.col("r").alias("b"))
         kept = label.join(roots, "v", "left_semi").select(F.col("v").alias("a"), F.col("label").alias("b"))
         edges = staged(apart.union(kept).distinct(), "links", parts)
-        parts = tasks_for(edges.count(), LINKS_PER_TASK)
+        parts = tasks_for(rows_in(edges), LINKS_PER_TASK)
     # a label is the least of its links, and the least vertex of a component labels itself
     own = named.select(F.col("label").alias("v")).distinct().select("v", F.col("v").alias("label"))
     return staged(named.union(own).groupBy("v").agg(F.min("label").alias("component")).select(F.col("v").alias("id"), "component"), "components", tasks)

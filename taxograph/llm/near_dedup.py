@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from taxograph.llm.common import arrow_rows, by_ids, small_batches, staged, tasks_for, whole_id
+from taxograph.llm.common import arrow_rows, by_ids, partitions, rows_in, small_batches, staged, tasks_for, whole_id
 from taxograph.llm.components import components
 from taxograph.llm.decontaminate import blocks
 from taxograph.llm.wordhash import VISIBLE, Distinct, Words, mix
@@ -44,8 +44,8 @@ from taxograph.llm.wordhash import VISIBLE, Distinct, Words, mix
 WORDS, TREES, BRANCH, DEPTH, SMALL, WHOLE, PIVOTS, PART = 5, 16, 2, 4, 64, 1024, 4, 4096
 SKETCH, LIKELY, SEED = 128, 82, 7
 SIMILAR = (75, 100)
-#: Rows of the first level that a task writes; characters that are confirmed together.
-ROWS_PER_TASK, TOGETHER = 400_000, 4 << 20
+#: Rows of the first level that a task writes; bytes of text that are confirmed together; ids of a bucket of pairs.
+ROWS_PER_TASK, TOGETHER, BUCKET = 400_000, 4 << 20, 1024
 
 _RNG = np.random.default_rng(SEED)
 FACTORS = (_RNG.integers(0, 1 << 32, SKETCH, dtype="u8") | 1).astype("u4")[:, None]
@@ -177,7 +177,7 @@ def grouped(rows: DataFrame, keys: list[str], compare) -> DataFrame:
         if held:
             yield done()
 
-    return rows.select(names).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a bigint, b bigint, agree int")
+    return rows.select(names).repartition(partitions(rows.sparkSession), *keys).sortWithinPartitions(*keys).mapInArrow(run, "a bigint, b bigint, agree int")
 
 
 def _sketches(g: dict[str, np.ndarray], at=slice(None)) -> np.ndarray:
@@ -280,36 +280,85 @@ def in_blocks(rows: DataFrame) -> DataFrame:
     return grouped(rest.union(every), ["node", "rest", "part"], _across)
 
 
+def shared_counts(left: np.ndarray, right: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
+    """How many members sets[left[i]] and sets[right[i]] have in common; left comes sorted."""
+    out = np.zeros(len(left), dtype="i8")
+    marked = np.zeros(max((int(s[-1]) for s in sets if len(s)), default=0) + 1, dtype=bool)
+    size = np.array([len(s) for s in sets])
+    cuts = np.flatnonzero(np.diff(left)) + 1
+    for s, e in zip([0, *cuts.tolist()], [*cuts.tolist(), len(left)], strict=True):
+        own = sets[left[s]]
+        marked[own] = True
+        ends = np.cumsum(size[right[s:e]])
+        upto = np.concatenate([[0], np.cumsum(marked[np.concatenate([sets[r] for r in right[s:e]])])])
+        out[s:e] = upto[ends] - upto[ends - size[right[s:e]]]
+        marked[own] = False
+    return out
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, tasks: int | None = None, similar: tuple[int, int] = SIMILAR) -> DataFrame:
-    """The pairs whose full sets have at least the similarity, as (a, b)."""
-    part, whole = similar
+    """The pairs whose full sets have at least the similarity, as (a, b).
 
-    def judged(a, b, left, right):
-        number = {t: k for k, t in enumerate(dict.fromkeys(left + right))}
-        sets = exact_sets([zstandard.ZstdDecompressor().decompress(t) for t in number])
-        keep = []
-        for x, y in ((sets[number[x]], sets[number[y]]) for x, y in zip(left, right, strict=True)):
-            both = len(np.intersect1d(x, y, assume_unique=True)) if min(len(x), len(y)) * whole >= part * max(len(x), len(y)) else 0
-            keep.append(both > 0 and whole * both >= part * (len(x) + len(y) - both))
-        at = np.flatnonzero(keep)
-        return pa.RecordBatch.from_arrays([pa.array(np.array(x, dtype="i8")[at]) for x in (a, b)], ["a", "b"])
+    Ids are dealt to buckets of about BUCKET, pairs to blocks of two buckets; a block gets each of its
+    texts once. Blocks are judged together while their texts are few, and in parts when they are long.
+    """
+    part, whole = similar
+    buckets = rows_in(texts) // BUCKET + 1
+
+    def judged(a, b, held):
+        order = np.lexsort((b, a))
+        a, b = a[order], b[order]
+        found, at = [], 0
+        while at < len(a):
+            size, number, end = 0, {}, at
+            while end < len(a) and (size < TOGETHER or end == at):
+                for i in (int(a[end]), int(b[end])):
+                    if i not in number:
+                        number[i] = len(number)
+                        size += sum(zstandard.frame_content_size(t) for t in held[i])
+                end += 1
+            # an id may have several texts, and any two of them may link
+            owner = [(i, t) for i in number for t in held[i]]
+            sets = exact_sets([zstandard.ZstdDecompressor().decompress(t) for _, t in owner])
+            places: dict[int, list[int]] = {}
+            for k, (i, _) in enumerate(owner):
+                places.setdefault(i, []).append(k)
+            meet = np.array([(k, x, y) for k in range(at, end) for x in places[int(a[k])] for y in places[int(b[k])]], dtype="i8").reshape(-1, 3)
+            meet = meet[np.argsort(meet[:, 1], kind="stable")]
+            n = np.array([len(s) for s in sets], dtype="i8")
+            both = shared_counts(meet[:, 1], meet[:, 2], sets)
+            ok = (both > 0) & (whole * both >= part * (n[meet[:, 1]] + n[meet[:, 2]] - both))
+            found.append(np.unique(meet[ok, 0]))
+            at = end
+        at = np.concatenate(found)
+        return pa.RecordBatch.from_arrays([pa.array(x[at], pa.int64()) for x in (a, b)], ["a", "b"])
 
     def run(batches):
-        held, size = [], 0
-        for b in batches:
-            for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                held.append(row)
-                size += sum(zstandard.frame_content_size(t) for t in row[2:])
-                if size >= TOGETHER:
-                    yield judged(*map(list, zip(*held, strict=True)))
-                    held, size = [], 0
-        if held:
-            yield judged(*map(list, zip(*held, strict=True)))
-
-    held = texts.select(F.col("id").alias("a"), F.col("text").alias("left")), texts.select(F.col("id").alias("b"), F.col("text").alias("right"))
-    both = pairs.select("a", "b").join(held[0], "a").join(held[1], "b").select("a", "b", "left", "right")
+        mark, held, a, b, size = None, {}, [], [], 0
+        for batch in batches:
+            for left, right, id_, other, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (left, right) != mark:
+                    mark = (left, right)
+                    if size >= TOGETHER // 4 and a:
+                        yield judged(np.array(a), np.array(b), held)
+                        held, a, b, size = {}, [], [], 0
+                if other is None:
+                    if text not in held.setdefault(id_, []):
+                        held[id_].append(text)
+                        size += zstandard.frame_content_size(text)
+                else:
+                    a.append(id_), b.append(other)
+        if a:
+            yield judged(np.array(a), np.array(b), held)
+
+    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(buckets))
+    dealt = pairs.select(bucket("a").alias("left"), bucket("b").alias("right"), F.col("a").alias("id"), F.col("b").alias("other"))
+    needed = dealt.select("left", "right", F.explode(F.array("id", "other")).alias("id")).distinct()
+    held = needed.join(texts, "id").select("left", "right", "id", F.lit(None).cast("long").alias("other"), "text")
+    rows = held.union(dealt.withColumn("text", F.lit(None).cast("binary")))
+    met = rows.repartition(partitions(pairs.sparkSession), "left", "right").sortWithinPartitions("left", "right", F.col("other").asc_nulls_first())
     with arrow_rows(pairs.sparkSession, 256):
-        return staged(both.mapInArrow(run, "a bigint, b bigint"), "confirmed", tasks)
+        return staged(met.mapInArrow(run, "a bigint, b bigint"), "confirmed", tasks)
 
 
 def squeezed_texts(df: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -336,7 +385,7 @@ def confirmed_links(df: DataFrame, pairs: DataFrame, id_col: str, text_col: str,
     known = components(sure)
     left = pairs.join(known.toDF("a", "c_a"), "a", "left").join(known.toDF("b", "c_b"), "b", "left")
     left = staged(left.filter(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b"), "left", tasks)
-    return sure if left.isEmpty() else sure.union(confirmed(left, texts, tasks))
+    return confirmed(left, texts, tasks).union(sure) if rows_in(left) else sure
 
 
 def links(df: DataFrame, classes: DataFrame, id_col: str, text_col: str, tasks: int) -> DataFrame:
@@ -347,7 +396,7 @@ def links(df: DataFrame, classes: DataFrame, id_col: str, text_col: str, tasks:
     sure = confirmed_links(df, staged(_best(found.union(starred(large)) if any_large else found), "candidates", tasks), id_col, text_col, tasks)
     if any_large:
         apart = staged(further_levels(large, components(sure), classes, tasks), "apart", tasks)
-        if not apart.isEmpty():
+        if rows_in(apart):
             sure = sure.union(confirmed_links(df, apart, id_col, text_col, tasks))
     return sure
 
@@ -355,7 +404,7 @@ def links(df: DataFrame, classes: DataFrame, id_col: str, text_col: str, tasks:
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id, kept) of every document."""
     signed = signatures(df, id_col, text_col)
-    tasks = tasks_for(signed.count() * TREES, ROWS_PER_TASK)
+    tasks = tasks_for(rows_in(signed) * TREES, ROWS_PER_TASK)
     sets = signed.filter("n_shingles > 0 and id is not null")
     # only sets that several ids have need a name; their smallest id is it
     repeated = sets.groupBy("d0", "d1").agg(F.min("id").alias("class_id"), F.max("id").alias("last")).filter("class_id <> last").drop("last")
