@@ -132,11 +132,20 @@ level AS (
   FROM per),
 common AS (SELECT arg_min(at_level, full_at) AS at_level FROM level WHERE full_at >= at_level),
 targets AS (SELECT source, source_size, least(2.0 * source_size, weight * common.at_level) AS target FROM level, common),
+spans AS (SELECT *, sum(round(target)::HUGEINT) OVER (ORDER BY source NULLS LAST ROWS UNBOUNDED PRECEDING) AS high, round(target)::HUGEINT AS quota FROM targets),
+total AS (SELECT sum(quota) AS words, greatest(least(20, floor(log2(greatest(sum(quota), 1)))), ceil(log2(greatest(sum(quota), 1) / 2048.0 + 1)))::INTEGER AS bits FROM spans),
+points AS (SELECT slot, bits, words, ((list_sum(list_transform(range(bits), lambda b: ((slot >> b) & 1) << (bits - 1 - b)))::HUGEINT * words) >> bits) AS place FROM total, LATERAL (SELECT unnest(range((1::BIGINT << bits))) AS slot)),
+slots AS (SELECT source, slot, row_number() OVER (PARTITION BY source ORDER BY slot) - 1 AS block_no FROM points JOIN spans ON place >= high - quota AND place < high),
+given AS (SELECT source, (count(*)::HUGEINT * any_value(words)) >> any_value(bits) AS words_given FROM slots, total GROUP BY source),
 placed AS (
-  SELECT doc_id, source, size, sum(size) OVER (PARTITION BY source ORDER BY md5(coalesce(doc_id::VARCHAR, '')), doc_id, size ROWS UNBOUNDED PRECEDING) - size AS low FROM sized)
+  SELECT doc_id, source, size, sum(size) OVER (PARTITION BY source ORDER BY md5(coalesce(doc_id::VARCHAR, '')), doc_id, size ROWS UNBOUNDED PRECEDING) - size AS low FROM sized),
+read AS (
+  SELECT placed.*, source_size, target, coalesce(words_given, 0) AS words_given, (((low + 1)::HUGEINT << bits) - 1) // words AS first_block, (((low + source_size + 1)::HUGEINT << bits) - 1) // words AS again_block
+  FROM placed JOIN targets ON placed.source IS NOT DISTINCT FROM targets.source LEFT JOIN given ON placed.source IS NOT DISTINCT FROM given.source, total)
 SELECT doc_id, size, source_size, target,
-       (greatest(0, least(low + size, round(target)::BIGINT) - low) + greatest(0, least(low + source_size + size, round(target)::BIGINT) - low - source_size))::BIGINT AS taken
-FROM placed JOIN targets ON placed.source IS NOT DISTINCT FROM targets.source""",
+       (greatest(0, least(low + size, words_given) - low) + greatest(0, least(low + source_size + size, words_given) - low - source_size))::BIGINT AS taken,
+       (SELECT min(slot) FROM slots WHERE size > 0 AND slots.source IS NOT DISTINCT FROM read.source AND (block_no BETWEEN first_block AND (((low + size)::HUGEINT << bits) - 1) // words OR block_no BETWEEN again_block AND (((low + source_size + size)::HUGEINT << bits) - 1) // words)) AS first_slot
+FROM read, total""",
     "op2_url_filter": r"""
 WITH parsed AS (
   SELECT page_id,

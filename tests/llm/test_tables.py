@@ -101,21 +101,74 @@ def test_mix(spark):
         source[r.source_size, round(r.target, 6)][0] += r.taken
         source[r.source_size, round(r.target, 6)][1] += r["size"]
     for s, n in sizes.items():
-        assert abs(source[n, round(target[s], 6)][0] - target[s]) <= 1
+        assert abs(source[n, round(target[s], 6)][0] - target[s]) <= 2 + sum(target.values()) / 2 ** mixing.slot_bits(round(sum(target.values())))
     again = mixing.mix(df.repartition(7)).collect()
     assert Counter(tuple(r) for r in got) == Counter(tuple(r) for r in again)
     assert mixing.mix(df.limit(0)).count() == 0
 
 
-def test_schedule_has_low_discrepancy(spark):
-    targets = spark.createDataFrame([("sa", 5000, 5000.0, 5000, 0.0, 0.5), ("sb", 3000, 3000.0, 3000, 0.5, 0.8), ("sc", 2000, 2000.0, 2000, 0.8, 1.0)], "key string, source_size long, target double, quota long, low double, high double")
-    rows = mixing.schedule(targets, 1000, 10).orderBy("slot", "key").collect()
-    blocks = defaultdict(set)
-    for r in rows:
-        blocks[r.key].add(r.block_no)
-    assert {k: len(b) for k, b in blocks.items()} == {"sa": 500, "sb": 300, "sc": 200} and all(b == set(range(len(b))) for b in blocks.values())
-    head = Counter(r.key for r in rows[:100])
-    assert abs(head["sa"] - 50) <= 3 and abs(head["sb"] - 30) <= 3
+def plain_schedule(quotas, bits):
+    """Slot by slot: the source of each, and its rank there."""
+    words, rank, out = sum(quotas.values()), Counter(), []
+    for slot in range(1 << bits):
+        place = int(format(slot, f"0{bits}b")[::-1], 2) * words >> bits if bits else 0
+        low = 0
+        for key, quota in quotas.items():
+            if low <= place < low + quota:
+                out.append((slot, key, rank[key]))
+                rank[key] += 1
+            low += quota
+    return out
+
+
+@pytest.mark.parametrize("quotas", [{"sa": 5000, "sb": 3000, "sc": 2000}, {"sa": 1, "sb": 0, "sc": 70_001, "t": 13}])
+def test_schedule_has_low_discrepancy(spark, quotas):
+    rows, low = [], 0
+    for key, q in quotas.items():
+        rows.append((key, q, float(q), q, low, low + q))
+        low += q
+    targets = spark.createDataFrame(rows, "key string, source_size long, target double, quota long, low long, high long")
+    blocks = mixing.Blocks(low, mixing.slot_bits(low))
+    got = sorted((r.slot, r.key, r.block_no) for r in mixing.schedule(targets, blocks).collect())
+    assert got == plain_schedule(quotas, blocks.bits)
+    for n in (16, 100, 1000, 1 << blocks.bits):
+        head = Counter(k for _, k, _ in got[:n])
+        assert all(abs(head[k] - n * q / low) <= 1 + n.bit_length() for k, q in quotas.items())
+
+
+def test_blocks_cut_words_evenly(spark):
+    for words, bits in ((1, 0), (7, 2), (1000, 9), (10**13 + 7, 31), (12_345, 13)):
+        blocks = mixing.Blocks(words, bits)
+        some = sorted({k * words // 5000 for k in range(5000)})
+        rows = spark.createDataFrame([(w,) for w in some], "w long").select("w", blocks.holding(F.col("w")).alias("k")).select("w", "k", blocks.start(F.col("k")).alias("a"), blocks.start(F.col("k") + 1).alias("z")).collect()
+        assert all(r.a <= r.w < r.z and r.a == r.k * words >> bits for r in rows)
+
+
+def test_mix_takes_what_the_slots_give(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [(k, " ".join("w" for _ in range(rng.choice([0, 1, 7, 300]))), f"s{rng.choice([0, 0, 0, 1, 2])}") for k in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    monkeypatch.setattr(mixing, "SLOT_BITS", 7)
+    stream = mixing.mixed_stream(df).orderBy("slot", "from").collect()
+    taken, first = Counter(), {}
+    for r in stream:
+        taken[r.doc_id] += r["to"] - r["from"]
+        first.setdefault(r.doc_id, r.slot)
+    got = mixing.mix(df).collect()
+    assert {r.doc_id: (r.taken, r.first_slot) for r in got} == {k: (taken[k], first.get(k)) for k, *_ in rows}
+    per = Counter()
+    for r in stream:
+        per[r.slot] += r["to"] - r["from"]
+    words = round(sum(r.target for r in {r.source_size: r for r in got}.values()))
+    assert all(n <= words // 128 + 1 for n in per.values())
+    whole = {s: sum(len(t.split()) for _, t, x in rows if x == s) for s in ("s0", "s1", "s2")}
+    wanted = plain_targets(whole)
+    source = Counter()
+    for k, _, s in rows:
+        source[s] += taken[k]
+    assert all(abs(source[s] - wanted[s]) <= words / 128 + 2 for s in whole)
+    monkeypatch.setattr(mixing, "SLOT_BITS", 3)  # other points give other words
+    assert {r.doc_id: r.taken for r in mixing.mix(df).collect()} != {k: taken[k] for k, *_ in rows}
 
 
 def test_hilbert_curve_visits_neighbours(spark):
