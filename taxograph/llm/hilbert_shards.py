@@ -12,7 +12,7 @@ Law "rows": the counts of any two shards differ by one at most.
 Defined cases: null source or language sort last among their values; a null text has size 1 and the
 CRC of no bytes; ties and repeated rows are ordered by id (null last), size and CRC, and equal rows
 are interchangeable; an empty table gives an empty result; other columns are carried only if named
-in `keep`, and may not be called like a result column.
+in `keep`; one that is called like a result column is refused, write_shards renames it.
 """
 
 from __future__ import annotations
@@ -22,12 +22,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from taxograph.llm.common import partitions, staged
+from taxograph.llm.common import partitions, rows_in, staged
 
 BITS, DIMS = 5, 3
 CELLS = 1 << BITS
 #: Cells of at most this many distinct values of a column are broadcast, else joined by a shuffle.
 BROADCAST_VALUES = 100_000
+#: Result columns that come before those kept; kept columns may not have these names.
+RESULT = ("size", "text_crc32", "law", "shard", "slot", "grown_shard", "curve")
 
 
 def gray_tables(n: int) -> tuple[list[int], list[int], list[int]]:
@@ -84,7 +86,7 @@ def _coordinate(df: DataFrame, column: str, name: str) -> DataFrame:
     cells = ranked.select(f"{name}_value", F.floor(F.col("rank") * CELLS / F.greatest(F.col("of"), F.lit(CELLS))).cast("int").alias(name))
     cells = staged(cells, "cells", 1)
     # rows with texts are not shuffled for this while the values are few
-    few = cells.count() <= BROADCAST_VALUES
+    few = rows_in(cells) <= BROADCAST_VALUES
     return df.join(F.broadcast(cells) if few else cells, df[column].eqNullSafe(cells[f"{name}_value"]), "left").drop(f"{name}_value")
 
 
@@ -110,8 +112,9 @@ def hilbert_order(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def hilbert_shards(df: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang", keep: tuple[str, ...] = ()) -> DataFrame:
     """(id, size, text_crc32, law, shard, slot, grown_shard, curve) and the kept columns."""
+    if clash := sorted({*RESULT, id_col} & {*keep}):
+        raise ValueError(f"kept columns have the names of result columns: {clash}")
     ordered = hilbert_order(df, id_col, text_col, source_col, lang_col, keep)
-    shard = F.floor(F.col("position") * shards / F.col("rows"))
     shard = F.expr(f"(position * {shards}) div rows")
     first = F.expr(f"(shard * rows + {shards - 1}) div {shards}")
     return ordered.withColumn("shard", shard).select(
@@ -121,7 +124,14 @@ def hilbert_shards(df: DataFrame, shards: int = 16, id_col: str = "doc_id", text
 
 
 def write_shards(df: DataFrame, path: str, shards: int = 16, **columns) -> None:
-    """Whole rows as Parquet, a folder per shard, sorted along the curve for file pruning."""
-    rest = tuple(c for c in df.columns if c != columns.get("id_col", "doc_id"))
-    out = hilbert_shards(df, shards, keep=rest, **columns)
-    out.repartition(shards, "shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    """Whole rows as Parquet, a folder per shard, sorted along the curve for file pruning.
+
+    Tasks take ranges of (shard, slot), so a shard is written by as many as its rows need. Columns
+    called like a result column get an underscore in front.
+    """
+    rest = [c for c in df.columns if c != columns.get("id_col", "doc_id")]
+    named = {c: "_" + c if c in RESULT else c for c in rest}
+    roles = {k: named.get(v, v) for k, v in ({"text_col": "text", "source_col": "source", "lang_col": "lang"} | columns).items()}
+    out = hilbert_shards(df.withColumnsRenamed(named), shards, keep=tuple(named.values()), **roles)
+    tasks = max(shards, partitions(df.sparkSession))
+    out.repartitionByRange(tasks, "shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
