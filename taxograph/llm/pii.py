@@ -197,18 +197,20 @@ def proposed(text: str, kind: str) -> list[S.Span]:
 
 
 def added_spans(text: str, base: list[S.Span], trees: Trees) -> list[S.Span]:
-    found = []
+    found, held = [], S.Taken(base)
     for kind in GENERATORS:
         if kind == "spelled_email" and not ("at)" in text or "at ]" in text or "at]" in text or "at )" in text):
             continue
-        found += [f for f in proposed(text, kind) if not S.inside(f[1:], base)]
+        found += [f for f in proposed(text, kind) if not held.overlaps(*f[1:])]
     if not found:
         return []
     scores = trees.score(np.array([features(text, *f) for f in found], dtype=float))
     out: list[S.Span] = []
+    won = S.Taken()
     for k in np.lexsort((range(len(found)), -scores)):
-        if scores[k] >= trees.threshold and not S.inside(found[k][1:], out):
+        if scores[k] >= trees.threshold and not won.overlaps(*found[k][1:]):
             out.append(found[k])
+            won.add(*found[k][1:])
     return out
 
 

@@ -62,14 +62,12 @@ def candidates(text: str) -> Iterator[S.Span]:
     direct = [("novel", *m.span(1)) for m in CANDIDATE.finditer(text)]
     yield from direct
     hints = [m.span() for m in HINT.finditer(text)]
-    near = at = 0
+    near, held = 0, S.Taken(direct)
     for m in TOKEN.finditer(text):
         start, end = m.span()
         while near < len(hints) and hints[near][1] + WINDOW < start:
             near += 1
-        while at < len(direct) and direct[at][2] <= start:
-            at += 1
-        if near < len(hints) and hints[near][0] - WINDOW <= end and not S.inside((start, end), direct[at : at + 1]):
+        if near < len(hints) and hints[near][0] - WINDOW <= end and not held.overlaps(start, end):
             yield "novel", start, end
 
 
@@ -79,9 +77,10 @@ def scan(text: str, novelty: Novelty, least: float) -> tuple[list[S.Span], list[
     added: list[S.Span] = []
     if HINT.search(text):
         base += S.assign_spans(text)
+        held = S.Taken(base)
         for span in candidates(text):
             start, end = span[1:]
-            if not S.inside((start, end), base) and novelty(text[max(0, start - CONTEXT) : start], text[start:end], text[end : end + CONTEXT // 4]) >= least:
+            if not held.overlaps(start, end) and novelty(text[max(0, start - CONTEXT) : start], text[start:end], text[end : end + CONTEXT // 4]) >= least:
                 added.append(span)
     return base, added
 

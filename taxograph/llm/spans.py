@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 
 Span = tuple[str, int, int]
 
@@ -94,6 +95,23 @@ def digest(base: list[Span], kinds: dict[str, int]) -> str:
     return hashlib.sha256(joined(base, kinds).encode()).hexdigest()
 
 
-def inside(span: tuple[int, int], others: list[Span]) -> bool:
-    """Whether span overlaps one of the others."""
-    return any(span[0] < e and s < span[1] for _, s, e in others)
+class Taken:
+    """Places of a text that spans hold; each question and each addition searches once."""
+
+    def __init__(self, spans: list[Span] = ()):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for _, s, e in sorted(spans, key=lambda x: x[1:]):
+            if self.ends and s <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], e)
+            else:
+                self.starts.append(s), self.ends.append(e)
+
+    def overlaps(self, start: int, end: int) -> bool:
+        k = bisect_left(self.starts, end)
+        return k > 0 and self.ends[k - 1] > start
+
+    def add(self, start: int, end: int) -> None:
+        """Add a span that overlaps none so far."""
+        k = bisect_left(self.starts, end)
+        self.starts.insert(k, start), self.ends.insert(k, end)

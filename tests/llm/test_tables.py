@@ -146,7 +146,7 @@ def test_blocks_cut_words_evenly(spark):
 
 def test_mix_takes_what_the_slots_give(spark, monkeypatch):
     rng = random.Random(5)
-    rows = [(k, " ".join("w" for _ in range(rng.choice([0, 1, 7, 300]))), f"s{rng.choice([0, 0, 0, 1, 2])}") for k in range(300)]
+    rows = [(k, " ".join("w" for _ in range(rng.choice([0, 1, 7, 300]))), f"s{rng.choice([0] * 8 + [1, 1, 2])}") for k in range(300)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     monkeypatch.setattr(mixing, "SLOT_BITS", 7)
     stream = mixing.mixed_stream(df).orderBy("slot", "from").collect()

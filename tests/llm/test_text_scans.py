@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -165,3 +166,15 @@ def test_span_queries_on_odd_rows(spark):
     red = pii.pii_spans(df.filter("text like 'mail%'"), redact=True).first().redacted
     assert red == "mail <email> and <phone> ééééé"
     assert spans.joined([("phone", 0, 3), ("email", 0, 2)], pii.KINDS) == "email:0:2,phone:0:3"
+
+
+def test_many_spans_take_linear_time():
+    phones = " ".join(f"+49 30 {k:07d}" for k in range(60_000))
+    secrets = "password is " + " ".join(f"q7Xv9ZpR2mKt{k:06d}LwB" for k in range(20)) + " " + " ".join(f"token={k:09d}" for k in range(60_000))
+    trees, _ = pii.train()
+    began = time.perf_counter()
+    base = pii.base_spans(phones)
+    assert len(base) == 60_000 and not pii.added_spans(phones, base, trees)
+    base, _ = secret_scan.scan(secrets, secret_scan.Novelty(), 0.6)
+    assert len(base) == 60_000
+    assert time.perf_counter() - began < 60
