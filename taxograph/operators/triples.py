@@ -62,26 +62,32 @@ def inverse(triples: DataFrame, table: dict[str, str] = V.INVERSE) -> DataFrame:
     return rows.filter("t is not null").select("t.*", "src", "row_id").select(*COLUMNS)
 
 
-def as_set(triples: DataFrame) -> DataFrame:
+def as_set(triples: DataFrame, src: str | None = None) -> DataFrame:
     """Each triple once, with the least row_id; of several sources the least name.
 
-    The keys are the triple and the buffers are numbers and one string, so this is one aggregate with
-    partial results before the exchange.
+    Give src where all triples come from it: the keys then are the triple and the buffer is a number,
+    which is one hash aggregate with partial results before the exchange. Names as buffers need a sort.
     """
-    once = triples.groupBy("s", "p", "o", "o_kind", "o_dtype").agg(F.min("src").alias("src"), F.min("row_id").alias("row_id"))
+    keys = triples.groupBy("s", "p", "o", "o_kind", "o_dtype")
+    if src is None:
+        once = keys.agg(F.min("src").alias("src"), F.min("row_id").alias("row_id"))
+    else:
+        once = keys.agg(F.min("row_id").alias("row_id")).withColumn("src", F.lit(src))
     return once.select(*COLUMNS)
 
 
-def with_inverse(triples: DataFrame, table: dict[str, str] = V.INVERSE) -> DataFrame:
-    """A set of triples and their inverses, the input read once."""
+def with_inverse(triples: DataFrame, table: dict[str, str] = V.INVERSE, src: str | None = None) -> DataFrame:
+    """A set of triples and their inverses, the input read once; src as for as_set."""
     own = F.struct("s", "p", "o", "o_kind", "o_dtype")
     both = triples.select(F.explode(F.array_compact(F.array(own, _inverse_of(own, table)))).alias("t"), "src", "row_id")
-    return as_set(both.select("t.*", "src", "row_id"))
+    return as_set(both.select("t.*", "src", "row_id"), src)
 
 
 def labelled_once(entities: DataFrame, src: str) -> DataFrame:
     """The label of each (iri, label, row_id) that was seen first; one with a null label has none."""
-    first = first_seen(entities.select("iri", "label", "row_id"), "iri", ["label", "row_id"])
+    # equal labels of an entity are one row before any order matters
+    few = entities.groupBy("iri", "label").agg(F.min("row_id").alias("row_id"))
+    first = first_seen(few, "iri", ["label", "row_id"])
     return emitted(first, [literal(F.col("iri"), V.RDFS + "label", F.col("label"))], src)
 
 
@@ -144,7 +150,7 @@ def interaction_triples(records: DataFrame, sexes: DataFrame, entities: DataFram
     labels = [F.struct(F.col(f"__{n}_iri").alias("iri"), F.col(f"__{n}_label").alias("label")) for n in ("type", *(f"{a}{b}" for a, b in slots))]
     named = rows.select(F.explode(F.array(*labels)).alias("e"), "row_id").select("e.iri", "e.label", "row_id")
     out = emitted(rows, made, src).unionByName(labelled_once(named, src)).unionByName(_sexes(rows, sexes, src))
-    return with_inverse(out)
+    return with_inverse(out, src=src)
 
 
 SIDES = ("source", "target")
@@ -189,16 +195,21 @@ def _usable() -> Column:
     return F.col("AccSpeciesName").isNotNull() & F.col("ObservationID").isNotNull()
 
 
+def with_species(records: DataFrame, species: DataFrame, samples: DataFrame | None = None) -> DataFrame:
+    """records left-joined with the taxon of their species; with samples, only those of taxa in it."""
+    rows = records.join(species.select(F.col("TRY_AccSpeciesName").alias("AccSpeciesName"), "WdID"), "AccSpeciesName", "left")
+    if samples is None:
+        return rows
+    return rows.join(samples.select(F.col("wd_taxon_id").alias("WdID")).distinct(), "WdID", "left_semi")
+
+
 def trait_triples(records: DataFrame, species: DataFrame, qudt: DataFrame, emi: DataFrame, samples: DataFrame | None = None, prefix: str = "TRYdb-", src: str = "traits") -> DataFrame:
     """The graph of trait records.
 
     species: (TRY_AccSpeciesName, WdID). qudt, emi: (key, value) unit maps. samples: (wd_taxon_id);
     if given, only records of these taxa.
     """
-    known = species.select(F.col("TRY_AccSpeciesName").alias("AccSpeciesName"), "WdID")
-    rows = records.filter(_usable()).join(known, "AccSpeciesName", "left")
-    if samples is not None:
-        rows = rows.join(samples.select(F.col("wd_taxon_id").alias("WdID")).distinct(), "WdID", "left_semi")
+    rows = with_species(records.filter(_usable()), species, samples)
     for n, (key, table) in enumerate((("OrigUnitStr", qudt), ("UnitName", qudt), ("OrigUnitStr", emi), ("UnitName", emi))):
         rows = rows.join(table.select(F.col("key").alias(key), F.col("value").alias(f"__u{n}")), key, "left")
     value = lambda name: invalid_to_null(F.col(name))
@@ -231,7 +242,7 @@ def trait_triples(records: DataFrame, species: DataFrame, qudt: DataFrame, emi:
         iri(organism, V.EMI + "inTaxon", F.concat(F.lit(V.WD), S.encode_iri(F.col("WdID")))),
         literal(organism, V.DCTERMS + "identifier", F.concat(F.lit(prefix), S.encode_iri(F.col("AccSpeciesID")))),
     ]
-    return with_inverse(emitted(rows, made, src))
+    return with_inverse(emitted(rows, made, src), src=src)
 
 
 def counters(triples: DataFrame, record_type: str = V.EMI + "Interaction") -> DataFrame:

@@ -201,7 +201,7 @@ def name_cascade(spark, sf):
 
 @query("scored_best_match", f"""
 WITH {LINEAGES},
-taxa AS (SELECT p_partkey, p_brand || ' ' || (p_size % 5) AS taxon, upper(split_part(p_type, ' ', 1)) AS family, '' AS class, '' AS "order", 'P' || (p_partkey % 3) AS phylum, '' AS kingdom FROM part WHERE p_partkey % 5 = 0),
+taxa AS (SELECT p_partkey, p_brand || ' ' || (p_size % 5) AS taxon, upper(split_part(p_type, ' ', 1)) AS family, '' AS class, '' AS "order", 'P' || (p_partkey % 3) AS phylum, '' AS kingdom FROM part),
 scored AS (
   SELECT p_partkey, keys.*, row_number() OVER (PARTITION BY p_partkey ORDER BY -((lower(keys.family) = lower(taxa.family))::INT + (lower(keys.phylum) = lower(taxa.phylum))::INT), keys.row_id) AS place
   FROM taxa JOIN keys ON keys.name = taxa.taxon)
@@ -209,7 +209,7 @@ SELECT p_partkey, 'Wikidata:' || wd AS wd, family, class, "order", phylum, kingd
 def scored_best_match(spark, sf):
     aligned = part_lineages(spark, sf).withColumn("WdID", S.short_entity(F.col("WdID")))
     empty = F.lit(None).cast("string")
-    rows = table(spark, sf, "part").filter("p_partkey % 5 = 0").select("p_partkey", F.concat_ws(" ", "p_brand", F.col("p_size") % 5).alias("taxon"), F.upper(F.element_at(F.split("p_type", " "), 1)).alias("family"), empty.alias("class"), empty.alias("order"), F.concat(F.lit("P"), F.col("p_partkey") % 3).alias("phylum"), empty.alias("kingdom"))
+    rows = table(spark, sf, "part").select("p_partkey", F.concat_ws(" ", "p_brand", F.col("p_size") % 5).alias("taxon"), F.upper(F.element_at(F.split("p_type", " "), 1)).alias("family"), empty.alias("class"), empty.alias("order"), F.concat(F.lit("P"), F.col("p_partkey") % 3).alias("phylum"), empty.alias("kingdom"))
     return resolve.best_lineage(rows, lineage.ambiguous_names(aligned), "taxon", "p_partkey")
 
 
@@ -269,30 +269,37 @@ def loaded(spark: SparkSession, df: DataFrame) -> DataFrame:
 
 
 @query("id_then_name", """
-WITH ids AS (SELECT 'S' || s_suppkey AS key, 'Q' || s_suppkey AS wd, s_name AS name FROM supplier WHERE s_suppkey % 2 = 0),
+WITH ids AS (SELECT CASE WHEN s_acctbal < 5000 THEN 'S' ELSE 'X' END || s_suppkey AS key, 'Q' || s_suppkey AS wd, s_name AS name FROM supplier),
 names AS (SELECT p_brand AS key, 'B' || max(p_partkey) AS wd FROM part GROUP BY p_brand),
 rows AS (SELECT DISTINCT l_suppkey, l_partkey, p_brand FROM lineitem JOIN part ON p_partkey = l_partkey)
 SELECT l_suppkey, l_partkey, coalesce(ids.wd, CASE WHEN l_suppkey % 3 = 0 THEN names.wd END) AS source_wd, names.wd AS target_wd
 FROM rows LEFT JOIN ids ON ids.key = 'S' || l_suppkey LEFT JOIN names ON names.key = p_brand
 WHERE coalesce(ids.wd, CASE WHEN l_suppkey % 3 = 0 THEN names.wd END) <> names.wd""")
 def id_then_name(spark, sf):
-    ids = table(spark, sf, "supplier").filter("s_suppkey % 2 = 0").select(F.concat(F.lit("S"), F.col("s_suppkey")).alias("key"), F.concat(F.lit("Q"), F.col("s_suppkey")).alias("wd"), F.col("s_name").alias("name"))
+    ids = table(spark, sf, "supplier").select(F.concat(F.when(F.col("s_acctbal") < 5000, "S").otherwise("X"), F.col("s_suppkey")).alias("key"), F.concat(F.lit("Q"), F.col("s_suppkey")).alias("wd"), F.col("s_name").alias("name"))
     names = table(spark, sf, "part").groupBy(F.col("p_brand").alias("key")).agg(F.concat(F.lit("B"), F.max("p_partkey")).alias("wd"), F.max("p_name").alias("name"))
     rows = table(spark, sf, "lineitem").join(table(spark, sf, "part"), F.col("p_partkey") == F.col("l_partkey")).select("l_suppkey", "l_partkey", "p_brand").distinct()
     records = rows.select("l_suppkey", "l_partkey", F.concat(F.lit("S"), F.col("l_suppkey")).alias("sourceTaxonId"), F.when(F.col("l_suppkey") % 3 == 0, F.col("p_brand")).alias("sourceTaxonName"), F.lit(None).cast("string").alias("targetTaxonId"), F.col("p_brand").alias("targetTaxonName"))
     return resolve.kept_records(resolve.resolve_sides(records, ids, names)).select("l_suppkey", "l_partkey", "source_wd", "target_wd")
 
 
-@query("species_left_join", "SELECT o_orderkey, c_mktsegment FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 2 = 0) ON c_custkey = o_custkey")
+#: Customers in debt answer to another name, so that some orders find no one.
+DEBTORS = "CASE WHEN c_acctbal < 0 THEN 'X' ELSE 'C' END || c_custkey"
+
+
+@query("species_left_join", f"SELECT o_orderkey, c_mktsegment FROM orders LEFT JOIN (SELECT {DEBTORS} AS name, c_mktsegment FROM customer) ON name = 'C' || o_custkey")
 def species_left_join(spark, sf):
-    even = table(spark, sf, "customer").filter("c_custkey % 2 = 0").select("c_custkey", "c_mktsegment")
-    return table(spark, sf, "orders").join(even, F.col("o_custkey").eqNullSafe(F.col("c_custkey")), "left").select("o_orderkey", "c_mktsegment")
+    known = table(spark, sf, "customer").select(F.expr(DEBTORS).alias("TRY_AccSpeciesName"), F.col("c_mktsegment").alias("WdID"))
+    rows = table(spark, sf, "orders").select("o_orderkey", F.concat(F.lit("C"), F.col("o_custkey")).alias("AccSpeciesName"))
+    return triples.with_species(rows, known).select("o_orderkey", F.col("WdID").alias("c_mktsegment"))
 
 
-@query("semi_filter", "SELECT o_orderkey, o_custkey FROM orders WHERE EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_mktsegment = 'BUILDING')")
+@query("semi_filter", f"SELECT o_orderkey, c_mktsegment FROM orders JOIN (SELECT {DEBTORS} AS name, c_mktsegment FROM customer) ON name = 'C' || o_custkey WHERE c_mktsegment IN (SELECT c_mktsegment FROM customer WHERE c_acctbal > 9900)")
 def semi_filter(spark, sf):
-    building = table(spark, sf, "customer").filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
-    return table(spark, sf, "orders").select("o_orderkey", "o_custkey").join(building, "o_custkey", "left_semi")
+    known = table(spark, sf, "customer").select(F.expr(DEBTORS).alias("TRY_AccSpeciesName"), F.col("c_mktsegment").alias("WdID"))
+    rows = table(spark, sf, "orders").select("o_orderkey", F.concat(F.lit("C"), F.col("o_custkey")).alias("AccSpeciesName"))
+    samples = table(spark, sf, "customer").filter("c_acctbal > 9900").select(F.col("c_mktsegment").alias("wd_taxon_id"))
+    return triples.with_species(rows, known, samples).select("o_orderkey", F.col("WdID").alias("c_mktsegment"))
 
 
 # --- scalar functions ---------------------------------------------------------------------------
@@ -602,7 +609,20 @@ def ancestor_closure(spark, sf):
     return closed.unionByName(alone.select("node", F.col("node").alias("ancestor")))
 
 
-@query("turtle_lines")
+def _iri_sql(c: str) -> str:
+    """An IRI as a Turtle term: by the longest prefix that leaves a plain local part."""
+    cases = [f"WHEN starts_with({c}, '{b}') AND regexp_full_match(substr({c}, {len(b) + 1}), '[A-Za-z_][A-Za-z0-9_-]*') THEN '{n}:' || substr({c}, {len(b) + 1})" for n, b in sorted(V.PREFIXES.items(), key=lambda x: -len(x[1]))]
+    return f"CASE {' '.join(cases)} ELSE '<' || regexp_replace({c}, '[\\x00-\\x20<>\"{{}}|^`\\\\]', '_', 'g') || '>' END"
+
+
+_TEXT_SQL = "replace(replace(replace(replace(replace(o, chr(92), chr(92) || chr(92)), chr(34), chr(92) || chr(34)), chr(10), chr(92) || 'n'), chr(13), chr(92) || 'r'), chr(9), chr(92) || 't')"
+
+
+@query("turtle_lines", f"""
+WITH {RECORD_TRIPLES}
+SELECT DISTINCT (CASE WHEN starts_with(s, '_:') THEN s ELSE {_iri_sql('s')} END) || ' ' || (CASE WHEN p = '{V.RDF}type' THEN 'a' ELSE {_iri_sql('p')} END) || ' ' ||
+       (CASE o_kind WHEN 'literal' THEN chr(34) || {_TEXT_SQL} || chr(34) || (CASE WHEN o_dtype IS NOT NULL AND o_dtype <> '{V.XSD}string' THEN '^^' || {_iri_sql('o_dtype')} ELSE '' END) WHEN 'bnode' THEN o ELSE {_iri_sql('o')} END) || ' .' AS value
+FROM triples""")
 def turtle_lines(spark, sf):
     return sinks.turtle_lines(order_triples(spark, sf))
 
@@ -676,14 +696,14 @@ def edge_weights(spark, sf):
 def three_tables(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
     name = lambda c: F.concat(F.lit("k"), F.col(c) % 50)
     a = table(spark, sf, "supplier").select(name("s_suppkey").alias("sourceName"), F.concat(F.lit("t"), F.col("s_nationkey")).alias("tryDataLab"))
-    b = table(spark, sf, "customer").filter("c_custkey % 50 < 35").select(name("c_custkey").alias("sourceName"), F.concat(F.lit("m"), F.col("c_nationkey")).alias("wd_chem"))
-    c = table(spark, sf, "orders").filter("o_orderkey % 3 = 0").select(F.concat(F.lit("k"), F.col("o_orderkey") % 40 + 5).alias("sourceName"), F.concat(F.lit("k"), F.col("o_custkey") % 60).alias("targetName"))
+    b = table(spark, sf, "customer").select(F.concat(F.lit("k"), F.col("c_nationkey") + 20).alias("sourceName"), F.concat(F.lit("m"), F.col("c_nationkey")).alias("wd_chem"))
+    c = table(spark, sf, "orders").select(F.concat(F.lit("k"), F.col("o_orderkey") % 40 + 5).alias("sourceName"), F.concat(F.lit("k"), F.col("o_custkey") % 60).alias("targetName"))
     return a, b, c
 
 
 THREE = """
-a AS (SELECT 'k' || (s_suppkey % 50) AS x, 't' || s_nationkey AS y FROM supplier), b AS (SELECT 'k' || (c_custkey % 50) AS x, 'm' || c_nationkey AS y FROM customer WHERE c_custkey % 50 < 35),
-c AS (SELECT 'k' || (o_orderkey % 40 + 5) AS x, 'k' || (o_custkey % 60) AS y FROM orders WHERE o_orderkey % 3 = 0),
+a AS (SELECT 'k' || (s_suppkey % 50) AS x, 't' || s_nationkey AS y FROM supplier), b AS (SELECT 'k' || (c_nationkey + 20) AS x, 'm' || c_nationkey AS y FROM customer),
+c AS (SELECT 'k' || (o_orderkey % 40 + 5) AS x, 'k' || (o_custkey % 60) AS y FROM orders),
 named AS (SELECT x AS species, 1 AS t FROM a UNION SELECT x, 2 FROM b UNION SELECT x, 3 FROM c UNION SELECT y, 3 FROM c)"""
 
 
@@ -800,11 +820,11 @@ def running_share(spark, sf):
 
 
 @query("diversity_by_strategy", """
-WITH d AS (SELECT user_id % 100 AS k, count(DISTINCT event_type || (event_id % 7)) AS n FROM events GROUP BY 1), s AS (SELECT c_custkey AS k, CASE WHEN c_acctbal < 0 THEN 'low' ELSE 'high' END AS strategy FROM customer WHERE c_custkey < 100)
+WITH d AS (SELECT user_id AS k, count(DISTINCT event_type || (event_id % 7)) AS n FROM events GROUP BY 1), s AS (SELECT c_custkey AS k, CASE WHEN c_acctbal < 0 THEN 'low' ELSE 'high' END AS strategy FROM customer)
 SELECT strategy, round(avg(n), 6) AS mean, round(stddev_samp(n), 6) AS sd, count(*) AS n FROM d JOIN s USING (k) GROUP BY strategy""")
 def diversity_by_strategy(spark, sf):
-    metabolites = table(spark, sf, "events").select((F.col("user_id") % 100).alias("source_wdx"), F.expr("event_type || (event_id % 7)").alias("structure_inchikey"))
-    c = table(spark, sf, "customer").filter("c_custkey < 100")
+    metabolites = table(spark, sf, "events").select(F.col("user_id").alias("source_wdx"), F.expr("event_type || (event_id % 7)").alias("structure_inchikey"))
+    c = table(spark, sf, "customer")
     ids = c.select(F.col("c_custkey").alias("source_wdx"), F.col("c_name").alias("sourceName"))
     scored = c.select(F.col("c_name").alias("sourceName"), F.when(F.col("c_acctbal") < 0, "low").otherwise("high").alias("strategy"))
     return stats.diversity_by_strategy(metabolites, ids, scored)[1].select("strategy", rounded("mean"), rounded("sd"), "n")

@@ -42,14 +42,11 @@ def literal_term(value: Column, dtype: Column) -> Column:
 
 
 def turtle_lines(triples: DataFrame) -> DataFrame:
-    """(value): one Turtle statement per subject, its predicates and objects in order."""
+    """(value): one Turtle statement per triple, prefixed names where possible, so that no subject is gathered."""
     subject = F.when(F.col("s").startswith("_:"), F.col("s")).otherwise(iri_term(F.col("s")))
     predicate = F.when(F.col("p") == V.RDF + "type", F.lit("a")).otherwise(iri_term(F.col("p")))
     object_ = F.when(F.col("o_kind") == "literal", literal_term(F.col("o"), F.col("o_dtype"))).when(F.col("o_kind") == "bnode", F.col("o")).otherwise(iri_term(F.col("o")))
-    terms = triples.select(subject.alias("s"), predicate.alias("p"), object_.alias("o")).distinct()
-    by_predicate = terms.groupBy("s", "p").agg(F.array_join(F.array_sort(F.collect_list("o")), " ,\n        ").alias("o"))
-    by_subject = by_predicate.groupBy("s").agg(F.array_sort(F.collect_list(F.struct((F.col("p") != "a").alias("rest"), F.concat("p", F.lit(" "), "o").alias("po")))).alias("po"))
-    return by_subject.select(F.concat("s", F.lit(" "), F.array_join(F.col("po.po"), " ;\n    "), F.lit(" .\n")).alias("value"))
+    return triples.select(F.concat_ws(" ", subject, predicate, object_, F.lit(".")).alias("value")).distinct()
 
 
 def write_turtle(triples: DataFrame, path: str, gzip: bool = True) -> None:
