@@ -8,6 +8,8 @@ exhaustively, without the pairs inside a component; the larger ones branch: each
 children by as many further tokens, until nodes are small enough, in one component, or DEPTH levels
 deep. What cannot be split further is compared exhaustively as well, in blocks of about PART by PART
 members over many tasks: all members outside the node's main component against all of its members.
+In these larger groups likely pairs are confirmed where they are found, a pair is skipped once its
+ends are connected, and only the links of a spanning forest leave the task.
 
 A pair of similarity 0.75 shares a first-level node of a tree with probability 0.75 and each further
 one with 1 - 0.25 ** BRANCH, so that all 16 trees miss it with probability 2e-10 when its nodes are
@@ -27,6 +29,7 @@ names cannot clash.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 from hashlib import blake2b
 
@@ -37,15 +40,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from taxograph.llm.common import arrow_rows, by_ids, partitions, rows_in, small_batches, staged, tasks_for, whole_id
-from taxograph.llm.components import components
+from taxograph.llm.components import components, stars
 from taxograph.llm.decontaminate import blocks
 from taxograph.llm.wordhash import VISIBLE, Distinct, Words, mix
 
-WORDS, TREES, BRANCH, DEPTH, SMALL, WHOLE, PIVOTS, PART = 5, 16, 2, 4, 64, 1024, 4, 4096
+WORDS, TREES, BRANCH, DEPTH, SMALL, WHOLE, PIVOTS, PART = 5, 16, 2, 4, 64, 1024, 4, 2048
 SKETCH, LIKELY, SEED = 128, 82, 7
 SIMILAR = (75, 100)
 #: Rows of the first level that a task writes; bytes of text that are confirmed together; ids of a bucket of pairs.
-ROWS_PER_TASK, TOGETHER, BUCKET = 400_000, 4 << 20, 1024
+ROWS_PER_TASK, TOGETHER, BUCKET = 100_000, 4 << 20, 1024
 
 _RNG = np.random.default_rng(SEED)
 FACTORS = (_RNG.integers(0, 1 << 32, SKETCH, dtype="u8") | 1).astype("u4")[:, None]
@@ -133,36 +136,35 @@ def signatures(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return staged(df.select(whole_id(df, id_col), F.col(text_col)).mapInArrow(run, SIGNED), "signatures")
 
 
-def likely(a: np.ndarray, b: np.ndarray, least: int = LIKELY) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row of a, row of b, agreeing tokens) of all pairs of sketches that agree in `least` places."""
-    found, step = [(np.empty(0, "i8"),) * 3], max(1, (1 << 18) // max(1, len(b)))
+def likely(a: np.ndarray, b: np.ndarray, least: int = LIKELY) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(row of a, row of b, agreeing tokens) of all pairs of sketches that agree in `least` places, some rows of a at a time."""
+    step = max(1, (1 << 18) // max(1, len(b)))
     for at in range(0, len(a), step):
         differ = np.zeros((len(a[at : at + step]), len(b)), dtype="u1")
         for k in range(a.shape[1]):
             x = a[at : at + step, k, None] ^ b[None, :, k]
             differ += np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(0x5555555555555555))
         i, j = np.nonzero(differ <= SKETCH - least)
-        found.append((i + at, j, SKETCH - differ[i, j].astype("i8")))
-    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+        yield i + at, j, SKETCH - differ[i, j].astype("i8")
 
 
-def grouped(rows: DataFrame, keys: list[str], compare) -> DataFrame:
-    """(a, b, agree) that compare(columns by name) finds in each group of rows; groups are bounded.
+def grouped(rows: DataFrame, keys: list[str], compare, schema: str) -> DataFrame:
+    """The rows that compare(columns by name) makes of each group of rows; groups are bounded.
 
     The groups of a task come one after another; each is held alone.
     """
     names = [*keys, *(c for c in rows.columns if c not in keys)]
+    out = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches):
         mark, held = None, []
 
         def done():
-            a, b, agree = compare({c: np.concatenate([h[c] for h in held]) for c in names})
-            least, most = np.minimum(a, b), np.maximum(a, b)
-            return pa.RecordBatch.from_arrays([pa.array(least, pa.int64()), pa.array(most, pa.int64()), pa.array(agree, pa.int32())], ["a", "b", "agree"])
+            found = compare({c: np.concatenate([h[c] for h in held]) for c in names})
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], out)
 
         for batch in batches:
-            columns = {c: np.asarray(batch.column(k)) for k, c in enumerate(names)}
+            columns = {c: batch.column(k).to_numpy(zero_copy_only=False) for k, c in enumerate(names)}
             same = [columns[k][1:] == columns[k][:-1] for k in keys]
             cuts = np.flatnonzero(~reduce(np.logical_and, same)) + 1
             for s, e in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
@@ -177,7 +179,10 @@ def grouped(rows: DataFrame, keys: list[str], compare) -> DataFrame:
         if held:
             yield done()
 
-    return rows.select(names).repartition(partitions(rows.sparkSession), *keys).sortWithinPartitions(*keys).mapInArrow(run, "a bigint, b bigint, agree int")
+    return rows.select(names).repartition(partitions(rows.sparkSession), *keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+
+
+PAIRS, LINKS = "a bigint, b bigint, agree bigint", "a bigint, b bigint"
 
 
 def _sketches(g: dict[str, np.ndarray], at=slice(None)) -> np.ndarray:
@@ -185,20 +190,56 @@ def _sketches(g: dict[str, np.ndarray], at=slice(None)) -> np.ndarray:
 
 
 def _exhaustive(g: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The likely pairs of different labels in a node."""
+    """The likely pairs of a small node."""
     x = _sketches(g)
-    i, j, agree = likely(x, x)
-    apart = (i < j) & (g["label"][i] != g["label"][j])
-    return g["id"][i[apart]], g["id"][j[apart]], agree[apart]
+    i, j, agree = (np.concatenate(v) for v in zip(*likely(x, x), strict=True))
+    apart = (i < j) & (g["id"][i] != g["id"][j])
+    a, b = g["id"][i[apart]], g["id"][j[apart]]
+    return np.minimum(a, b), np.maximum(a, b), agree[apart]
+
+
+def _parts(texts: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """Places of texts, cut where they get too long to be held together."""
+    if not len(at):
+        return []
+    size = np.cumsum([zstandard.frame_content_size(texts[k]) for k in at])
+    return np.split(at, np.flatnonzero(np.diff(size // TOGETHER)) + 1)
+
+
+def _forest(g: dict[str, np.ndarray], left: np.ndarray, right: np.ndarray | None, similar: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect the components of left and right rows (or of left rows among each other) which confirmed pairs connect."""
+    part, whole = similar
+    label, links_ = g["label"].copy(), [(np.empty(0, "i8"),) * 2]
+    lefts = _parts(g["text"], left)
+    for n, x in enumerate(lefts):
+        for y in lefts[n:] if right is None else _parts(g["text"], right):
+            if label[x[0]] == label[x].min() == label[x].max() == label[y].min() == label[y].max():
+                continue
+            own = np.concatenate([x, y]) if y is not x else x
+            sets = exact_sets([zstandard.ZstdDecompressor().decompress(t) for t in g["text"][own]])
+            size, shift = np.array([len(s) for s in sets]), len(x) if y is not x else 0
+            for i, j, _ in likely(_sketches(g, x), _sketches(g, y)):
+                apart = label[x[i]] != label[y[j]]
+                i, j = i[apart], j[apart] + shift
+                if not len(i):
+                    continue
+                both = shared_counts(i, j, sets)
+                ok = (both > 0) & (whole * both >= part * (size[i] + size[j] - both))
+                vertex, root = stars(label[own[i[ok]]], label[own[j[ok]]])
+                links_.append((vertex, root))
+                order = np.argsort(vertex)
+                if len(vertex):
+                    k = np.minimum(np.searchsorted(vertex[order], label), len(vertex) - 1)
+                    label = np.where(vertex[order][k] == label, root[order][k], label)
+    return tuple(np.concatenate(v) for v in zip(*links_, strict=True))
+
+
+def _within(g: dict[str, np.ndarray], similar: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    return _forest(g, np.arange(len(g["id"])), None, similar)
 
 
-def _across(g: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The likely pairs of different labels between the two sides of a block."""
-    left, right = (np.flatnonzero(g["side"] == k) for k in (0, 1))
-    i, j, agree = likely(_sketches(g, left), _sketches(g, right))
-    i, j = left[i], right[j]
-    apart = g["label"][i] != g["label"][j]
-    return g["id"][i[apart]], g["id"][j[apart]], agree[apart]
+def _across(g: dict[str, np.ndarray], similar: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    return _forest(g, *(np.flatnonzero(g["side"] == k) for k in (0, 1)), similar)
 
 
 def _best(pairs: DataFrame) -> DataFrame:
@@ -236,11 +277,11 @@ def starred(large: DataFrame) -> DataFrame:
     chosen = least.select("node", F.explode(F.array(*[F.col(f"p{k}").bitwiseXOR(F.lit(t)) for k, t in enumerate(TURNS)])).alias("id")).distinct()
     pivots = large.select("node", "id", *S).join(chosen, ["node", "id"]).dropDuplicates(["node", "id"]).select("node", F.col("id").alias("other"), *[F.col(s).alias(f"o_{s}") for s in S])
     met = large.join(pivots, "node").filter("id <> other").withColumn("agree", agreeing("", "o_")).filter(F.col("agree") >= LIKELY)
-    return met.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"), F.col("agree").cast("int").alias("agree"))
+    return met.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"), F.col("agree").cast("long").alias("agree"))
 
 
-def further_levels(large: DataFrame, known: DataFrame, classes: DataFrame, tasks: int) -> DataFrame:
-    """(a, b, agree): the likely pairs of different components among the members of large nodes."""
+def further_levels(df: DataFrame, large: DataFrame, known: DataFrame, classes: DataFrame, id_col: str, text_col: str, tasks: int, similar: tuple[int, int] = SIMILAR) -> DataFrame:
+    """Links (a, b) between components that connect what is still apart among the members of large nodes."""
     named = large.select("node", "n", "tree", "id", *S).join(known.withColumnRenamed("component", "label"), "id", "left").withColumn("label", F.coalesce("label", "id"))
     open_ = named.groupBy("node").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("node")
     width = 2 * len(NEXT)
@@ -250,25 +291,30 @@ def further_levels(large: DataFrame, known: DataFrame, classes: DataFrame, tasks
 
     rows = named.join(open_, "node").join(classes.select("id", "further"), "id")
     rows = staged(rows.select("node", "n", "id", "label", *S, *map(token, range(len(NEXT)))), "open", tasks)
+    if not rows_in(rows):
+        return rows.select(F.col("id").alias("a"), F.col("label").alias("b"))
+    texts = squeezed_texts(df, staged(rows.select("id").distinct(), "open-ids", tasks), id_col, text_col)
     found, level = [], 1
     while True:
-        found.append(grouped(rows.filter(F.col("n") <= WHOLE).select("node", "id", "label", *S), ["node"], _exhaustive))
+        whole = rows.filter(F.col("n") <= WHOLE).select("node", "id", "label", *S).join(texts, "id")
+        found.append(grouped(whole, ["node"], lambda g: _within(g, similar), LINKS))
         rows = rows.filter(F.col("n") > WHOLE).drop("n")
         if rows.isEmpty():
             break
         if level == DEPTH:
-            found.append(in_blocks(rows))
+            found.append(in_blocks(rows, texts, similar))
             break
         now, later = NEXT[BRANCH * (level - 1) : BRANCH * level], NEXT[BRANCH * level :]
         kids = rows.select(F.explode(F.array(*[F.xxhash64("node", F.lit(b), t) for b, t in enumerate(now)])).alias("node"), "id", "label", *S, *later)
         nodes = kids.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
         rows = staged(kids.join(staged(nodes.select("node", "n"), "nodes", tasks), "node"), "open", tasks)
         level += 1
-    return _best(reduce(DataFrame.union, found))
+    with arrow_rows(df.sparkSession, 256):
+        return staged(reduce(DataFrame.union, found).distinct(), "apart", tasks)
 
 
-def in_blocks(rows: DataFrame) -> DataFrame:
-    """(a, b, agree): what is outside the main component of a node against all its members, block by block."""
+def in_blocks(rows: DataFrame, texts: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """Links (a, b): what is outside the main component of a node against all its members, block by block."""
     sizes = rows.groupBy("node", "label").agg(F.count(F.lit(1)).alias("n"))
     sizes = sizes.groupBy("node").agg(F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("most"))
     sizes = sizes.select("node", F.col("most.label").alias("main"), F.expr(f"n div {PART} + 1").alias("parts"), F.expr(f"(n - most.n) div {PART} + 1").alias("rests"))
@@ -277,7 +323,7 @@ def in_blocks(rows: DataFrame) -> DataFrame:
     dealt = lambda n: F.pmod(F.xxhash64("id", "node"), F.col(n))
     rest = held.filter("label <> main").select("node", dealt("rests").alias("rest"), F.explode(spread("parts")).alias("part"), F.lit(0).alias("side"), "id", "label", *S)
     every = held.select("node", F.explode(spread("rests")).alias("rest"), dealt("parts").alias("part"), F.lit(1).alias("side"), "id", "label", *S)
-    return grouped(rest.union(every), ["node", "rest", "part"], _across)
+    return grouped(rest.union(every).join(texts, "id"), ["node", "rest", "part"], lambda g: _across(g, similar), LINKS)
 
 
 def shared_counts(left: np.ndarray, right: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
@@ -391,13 +437,11 @@ def confirmed_links(df: DataFrame, pairs: DataFrame, id_col: str, text_col: str,
 def links(df: DataFrame, classes: DataFrame, id_col: str, text_col: str, tasks: int) -> DataFrame:
     """Confirmed links (a, b) between class representatives that give the components."""
     members, any_large = first_level(classes, tasks)
-    found = grouped(members.filter(F.col("n") <= SMALL).select("node", "id", "label", *S), ["node"], _exhaustive)
+    found = grouped(members.filter(F.col("n") <= SMALL).select("node", "id", "label", *S), ["node"], _exhaustive, PAIRS)
     large = members.filter(F.col("n") > SMALL)
     sure = confirmed_links(df, staged(_best(found.union(starred(large)) if any_large else found), "candidates", tasks), id_col, text_col, tasks)
     if any_large:
-        apart = staged(further_levels(large, components(sure), classes, tasks), "apart", tasks)
-        if rows_in(apart):
-            sure = sure.union(confirmed_links(df, apart, id_col, text_col, tasks))
+        sure = sure.union(further_levels(df, large, components(sure), classes, id_col, text_col, tasks))
     return sure
 
 

@@ -39,7 +39,7 @@ from taxograph.llm.wordhash import mix
 ORDER, BITS, LOW, PRIOR, HELD_OUT, QUANTILE, SLACK = 5, 21, 3, 60, 5, 0.99, 1.0
 BLOCK_ROWS, PIECE, STEP = 4096, 1 << 20, 1000
 #: Grams that a task writes.
-GRAMS_PER_TASK = 1_000_000
+GRAMS_PER_TASK = 100_000
 MASK = (1 << BITS) - 1
 #: (kind, hi, lo): a gram of k characters has kind k; lo holds its last LOW characters, hi those before.
 Keys = tuple[np.ndarray, np.ndarray]
