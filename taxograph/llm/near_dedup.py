@@ -246,14 +246,14 @@ def _best(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.max("agree").alias("agree"))
 
 
-def agreeing(left: str, right: str) -> Column:
-    """How many two-bit tokens agree between two sets of columns, 32 tokens to a column."""
+def agreeing(own: list[Column], other: list[Column]) -> Column:
+    """How many two-bit tokens agree between two sketches, 32 tokens to a column."""
 
-    def differing(s: str) -> Column:
-        x = F.col(f"{left}{s}").bitwiseXOR(F.col(f"{right}{s}"))
-        return F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+    def differing(x: Column, y: Column) -> Column:
+        z = x.bitwiseXOR(y)
+        return F.bit_count(z.bitwiseOR(F.shiftrightunsigned(z, 1)).bitwiseAND(F.lit(0x5555555555555555)))
 
-    return F.lit(SKETCH) - reduce(lambda a, b: a + b, map(differing, S))
+    return F.lit(SKETCH) - reduce(lambda a, b: a + b, map(differing, own, other))
 
 
 def first_level(classes: DataFrame, tasks: int) -> tuple[DataFrame, bool]:
@@ -275,9 +275,14 @@ def starred(large: DataFrame) -> DataFrame:
     turned = [F.col("id").bitwiseXOR(F.lit(t)) for t in TURNS]
     least = large.groupBy("node").agg(*[F.min(t).alias(f"p{k}") for k, t in enumerate(turned)])
     chosen = least.select("node", F.explode(F.array(*[F.col(f"p{k}").bitwiseXOR(F.lit(t)) for k, t in enumerate(TURNS)])).alias("id")).distinct()
-    pivots = large.select("node", "id", *S).join(chosen, ["node", "id"]).dropDuplicates(["node", "id"]).select("node", F.col("id").alias("other"), *[F.col(s).alias(f"o_{s}") for s in S])
-    met = large.join(pivots, "node").filter("id <> other").withColumn("agree", agreeing("", "o_")).filter(F.col("agree") >= LIKELY)
-    return met.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"), F.col("agree").cast("long").alias("agree"))
+    pivots = large.select("node", "id", *S).join(chosen, ["node", "id"]).dropDuplicates(["node", "id"])
+    # one row per node with its few pivots, so that a member is joined once
+    pivots = pivots.groupBy("node").agg(F.collect_list(F.struct("id", *S)).alias("pivots"))
+    agree = lambda p: agreeing([F.col(s) for s in S], [p[s] for s in S]).cast("long")
+    met = large.select("node", "id", *S).join(pivots, "node")
+    near = F.filter(F.transform("pivots", lambda p: F.struct(p["id"].alias("other"), agree(p).alias("agree"))), lambda x: (x["agree"] >= LIKELY) & (x["other"] != F.col("id")))
+    met = met.select("id", F.explode(near).alias("x")).select("id", "x.other", "x.agree")
+    return met.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"), "agree")
 
 
 def further_levels(df: DataFrame, large: DataFrame, known: DataFrame, classes: DataFrame, id_col: str, text_col: str, tasks: int, similar: tuple[int, int] = SIMILAR) -> DataFrame:
