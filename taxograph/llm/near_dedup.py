@@ -4,11 +4,11 @@ A document's set holds its distinct 5-word shingles. Equal sets are one class fi
 independent trees a class goes to the node of its first minwise token. A node of at most SMALL classes
 is compared exhaustively; the members of a larger one meet PIVOTS common partners first. Nodes whose
 members are one component then are done. Of the others, those of at most WHOLE members are compared
-exhaustively, without the pairs inside a component; the larger ones branch: each member goes to BRANCH
-children by as many further tokens, until nodes are small enough, in one component, or DEPTH levels
-deep. What cannot be split further is compared exhaustively as well, in blocks of about PART by PART
-members over many tasks: all members outside the node's main component against all of its members.
-In these larger groups likely pairs are confirmed where they are found, a pair is skipped once its
+exhaustively, without the pairs inside a component. Larger ones are compared exhaustively too, in
+blocks of about PART by PART members over many tasks, all members outside the node's main component
+against all of its members, where this moves fewer rows than branching. The others branch: each member
+goes to BRANCH children by as many further tokens, until nodes are small enough, in one component, or
+DEPTH levels deep; what is still large then is compared in blocks. In these larger groups likely pairs are confirmed where they are found, a pair is skipped once its
 ends are connected, and only the links of a spanning forest leave the task.
 
 A pair of similarity 0.75 shares a first-level node of a tree with probability 0.75 and each further
@@ -44,11 +44,15 @@ from taxograph.llm.components import components, stars
 from taxograph.llm.decontaminate import blocks
 from taxograph.llm.wordhash import VISIBLE, Distinct, Words, mix
 
-WORDS, TREES, BRANCH, DEPTH, SMALL, WHOLE, PIVOTS, PART = 5, 16, 2, 4, 64, 1024, 4, 2048
+#: A block has two sides of PART members, a node compared whole as many in all. Branching down to DEPTH makes
+#: up to 2 + 4 + 8 rows a member; a node is compared in blocks at once where that makes at most EACH.
+WORDS, TREES, BRANCH, DEPTH, SMALL, PIVOTS, PART, EACH = 5, 16, 2, 4, 64, 4, 2048, 8
+WHOLE = 2 * PART
 SKETCH, LIKELY, SEED = 128, 82, 7
 SIMILAR = (75, 100)
 #: Rows of the first level that a task writes; bytes of text that are confirmed together; ids of a bucket of pairs.
-ROWS_PER_TASK, TOGETHER, BUCKET = 100_000, 4 << 20, 1024
+#: Pairs that wait before they are confirmed.
+ROWS_PER_TASK, TOGETHER, BUCKET, PENDING = 100_000, 4 << 20, 1024, 1 << 20
 
 _RNG = np.random.default_rng(SEED)
 FACTORS = (_RNG.integers(0, 1 << 32, SKETCH, dtype="u8") | 1).astype("u4")[:, None]
@@ -198,39 +202,75 @@ def _exhaustive(g: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.nd
     return np.minimum(a, b), np.maximum(a, b), agree[apart]
 
 
-def _parts(texts: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
-    """Places of texts, cut where they get too long to be held together."""
-    if not len(at):
-        return []
-    size = np.cumsum([zstandard.frame_content_size(texts[k]) for k in at])
-    return np.split(at, np.flatnonzero(np.diff(size // TOGETHER)) + 1)
+def _confirm(g: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, label: np.ndarray, sets: list[np.ndarray] | None, similar: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(vertex, root, label): what confirmed ones of the pairs of rows (i, j) connect, and the labels after it.
+
+    sets: those of all rows, if they are held; else texts are read for some of the pairs at a time.
+    """
+    part, whole = similar
+    needed = np.unique(np.concatenate([i, j]))
+    block = np.zeros(len(label), dtype="i8")
+    if sets is None:
+        block[needed] = np.cumsum([zstandard.frame_content_size(t) for t in g["text"][needed]]) // TOGETHER
+    order = np.lexsort((j, i, block[j], block[i]))
+    i, j = i[order], j[order]
+    cuts = np.flatnonzero((np.diff(block[i]) != 0) | (np.diff(block[j]) != 0)) + 1
+    links_ = [(np.empty(0, "i8"),) * 2]
+    for x, y in zip(np.split(i, cuts), np.split(j, cuts), strict=True):
+        apart = label[x] != label[y]
+        x, y = x[apart], y[apart]
+        if not len(x):
+            continue
+        own, a, b = sets, x, y
+        if sets is None:
+            at, places = np.unique(np.concatenate([x, y]), return_inverse=True)
+            own, a, b = exact_sets(plain(g["text"][at])), places[: len(x)], places[len(x) :]
+        n = np.array([len(s) for s in own])
+        both = shared_counts(a, b, own)
+        ok = (both > 0) & (whole * both >= part * (n[a] + n[b] - both))
+        vertex, root = stars(label[x[ok]], label[y[ok]])
+        if len(vertex):
+            links_.append((vertex, root))
+            order = np.argsort(vertex)
+            k = np.minimum(np.searchsorted(vertex[order], label), len(vertex) - 1)
+            label = np.where(vertex[order][k] == label, root[order][k], label)
+    return *(np.concatenate(v) for v in zip(*links_, strict=True)), label
+
+
+def plain(texts) -> list[bytes]:
+    opener = zstandard.ZstdDecompressor()
+    return [opener.decompress(t) for t in texts]
 
 
 def _forest(g: dict[str, np.ndarray], left: np.ndarray, right: np.ndarray | None, similar: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Links that connect the components of left and right rows (or of left rows among each other) which confirmed pairs connect."""
-    part, whole = similar
-    label, links_ = g["label"].copy(), [(np.empty(0, "i8"),) * 2]
-    lefts = _parts(g["text"], left)
-    for n, x in enumerate(lefts):
-        for y in lefts[n:] if right is None else _parts(g["text"], right):
-            if label[x[0]] == label[x].min() == label[x].max() == label[y].min() == label[y].max():
-                continue
-            own = np.concatenate([x, y]) if y is not x else x
-            sets = exact_sets([zstandard.ZstdDecompressor().decompress(t) for t in g["text"][own]])
-            size, shift = np.array([len(s) for s in sets]), len(x) if y is not x else 0
-            for i, j, _ in likely(_sketches(g, x), _sketches(g, y)):
-                apart = label[x[i]] != label[y[j]]
-                i, j = i[apart], j[apart] + shift
-                if not len(i):
-                    continue
-                both = shared_counts(i, j, sets)
-                ok = (both > 0) & (whole * both >= part * (size[i] + size[j] - both))
-                vertex, root = stars(label[own[i[ok]]], label[own[j[ok]]])
-                links_.append((vertex, root))
-                order = np.argsort(vertex)
-                if len(vertex):
-                    k = np.minimum(np.searchsorted(vertex[order], label), len(vertex) - 1)
-                    label = np.where(vertex[order][k] == label, root[order][k], label)
+    """Links that connect the components of left and right rows (or of left rows among each other) which confirmed pairs connect.
+
+    Texts are opened only for likely pairs whose ends are still apart.
+    """
+    label, links_, held, pending, sets = g["label"], [(np.empty(0, "i8"),) * 2], [], 0, None
+    other = left if right is None else right
+    size = sum(zstandard.frame_content_size(t) for t in g["text"])
+    sketches = _sketches(g)
+
+    def confirm():
+        nonlocal label, sets
+        i, j = (np.concatenate(v) for v in zip(*held, strict=True))
+        if sets is None and size <= 4 * TOGETHER and len(i) >= len(label):
+            sets = exact_sets(plain(g["text"]))
+        *found, label = _confirm(g, i, j, label, sets, similar)
+        links_.append(tuple(found))
+
+    for i, j, _ in likely(sketches[left], sketches[other]):
+        i, j = left[i], other[j]
+        apart = (label[i] != label[j]) if right is not None else (label[i] != label[j]) & (i < j)
+        if apart.any():
+            held.append((i[apart], j[apart]))
+            pending += len(held[-1][0])
+        if pending >= PENDING:
+            confirm()
+            held, pending = [], 0
+    if held:
+        confirm()
     return tuple(np.concatenate(v) for v in zip(*links_, strict=True))
 
 
@@ -285,45 +325,52 @@ def starred(large: DataFrame) -> DataFrame:
     return met.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"), "agree")
 
 
+def measured(rows: DataFrame) -> DataFrame:
+    """(node, n, main, parts, rests) of the nodes whose members (node, label) are of several components.
+
+    main is the label of the most; all members make `parts` sides of a block of about PART, those
+    outside main `rests`.
+    """
+    sizes = rows.groupBy("node", "label").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.groupBy("node").agg(F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("most")).filter("n > most.n")
+    return sizes.select("node", "n", F.col("most.label").alias("main"), F.expr(f"n div {PART} + 1").alias("parts"), F.expr(f"(n - most.n) div {PART} + 1").alias("rests"), F.expr(f"(n - most.n) * (n div {PART} + 1) + n * ((n - most.n) div {PART} + 1) <= {EACH} * n").alias("cheap"))
+
+
 def further_levels(df: DataFrame, large: DataFrame, known: DataFrame, classes: DataFrame, id_col: str, text_col: str, tasks: int, similar: tuple[int, int] = SIMILAR) -> DataFrame:
     """Links (a, b) between components that connect what is still apart among the members of large nodes."""
-    named = large.select("node", "n", "tree", "id", *S).join(known.withColumnRenamed("component", "label"), "id", "left").withColumn("label", F.coalesce("label", "id"))
-    open_ = named.groupBy("node").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("node")
+    named = large.select("node", "tree", "id", *S).join(known.withColumnRenamed("component", "label"), "id", "left").withColumn("label", F.coalesce("label", "id"))
     width = 2 * len(NEXT)
 
     def token(k: int) -> Column:
         return F.expr(f"substring(further, tree * {width} + {2 * k + 1}, 2)").alias(NEXT[k])
 
-    rows = named.join(open_, "node").join(classes.select("id", "further"), "id")
-    rows = staged(rows.select("node", "n", "id", "label", *S, *map(token, range(len(NEXT)))), "open", tasks)
+    rows = named.join(staged(measured(named), "nodes", tasks), "node").join(classes.select("id", "further"), "id")
+    rows = staged(rows.select("node", "n", "main", "parts", "rests", "cheap", "id", "label", *S, *map(token, range(len(NEXT)))), "open", tasks)
     if not rows_in(rows):
         return rows.select(F.col("id").alias("a"), F.col("label").alias("b"))
     texts = squeezed_texts(df, staged(rows.select("id").distinct(), "open-ids", tasks), id_col, text_col)
     found, level = [], 1
     while True:
+        at_once = F.col("cheap") if level < DEPTH else F.lit(True)
         whole = rows.filter(F.col("n") <= WHOLE).select("node", "id", "label", *S).join(texts, "id")
         found.append(grouped(whole, ["node"], lambda g: _within(g, similar), LINKS))
-        rows = rows.filter(F.col("n") > WHOLE).drop("n")
+        rows = rows.filter(F.col("n") > WHOLE)
         if rows.isEmpty():
             break
-        if level == DEPTH:
-            found.append(in_blocks(rows, texts, similar))
+        found.append(in_blocks(rows.filter(at_once), texts, similar))
+        rows = rows.filter(~at_once)
+        if level == DEPTH or rows.isEmpty():
             break
         now, later = NEXT[BRANCH * (level - 1) : BRANCH * level], NEXT[BRANCH * level :]
         kids = rows.select(F.explode(F.array(*[F.xxhash64("node", F.lit(b), t) for b, t in enumerate(now)])).alias("node"), "id", "label", *S, *later)
-        nodes = kids.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
-        rows = staged(kids.join(staged(nodes.select("node", "n"), "nodes", tasks), "node"), "open", tasks)
+        rows = staged(kids.join(staged(measured(kids), "nodes", tasks), "node"), "open", tasks)
         level += 1
     with arrow_rows(df.sparkSession, 256):
         return staged(reduce(DataFrame.union, found).distinct(), "apart", tasks)
 
 
-def in_blocks(rows: DataFrame, texts: DataFrame, similar: tuple[int, int]) -> DataFrame:
+def in_blocks(held: DataFrame, texts: DataFrame, similar: tuple[int, int]) -> DataFrame:
     """Links (a, b): what is outside the main component of a node against all its members, block by block."""
-    sizes = rows.groupBy("node", "label").agg(F.count(F.lit(1)).alias("n"))
-    sizes = sizes.groupBy("node").agg(F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("most"))
-    sizes = sizes.select("node", F.col("most.label").alias("main"), F.expr(f"n div {PART} + 1").alias("parts"), F.expr(f"(n - most.n) div {PART} + 1").alias("rests"))
-    held = rows.select("node", "id", "label", *S).join(sizes, "node")
     spread = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
     dealt = lambda n: F.pmod(F.xxhash64("id", "node"), F.col(n))
     rest = held.filter("label <> main").select("node", dealt("rests").alias("rest"), F.explode(spread("parts")).alias("part"), F.lit(0).alias("side"), "id", "label", *S)
