@@ -8,6 +8,7 @@ from pyspark.sql.window import Window as W
 
 from taxograph import vocab as V
 from taxograph.functions import scalars as S
+from taxograph.operators.tables import top
 
 
 def value_counts(df: DataFrame, column: str, k: int | None = None) -> DataFrame:
@@ -102,6 +103,17 @@ def network(traits: DataFrame, metabolites: DataFrame, interactions: DataFrame,
     return edges.groupBy("a", "b").agg(F.max_by("kind", "rank").alias("edge_type"))
 
 
+def top_species(traits: DataFrame, metabolites: DataFrame, interactions: DataFrame, n: int) -> DataFrame:
+    """(species, score): the n species that most of the three tables name; ties by name."""
+    return top(completeness(traits, metabolites, interactions), "score", n, "species")
+
+
+def network_of(species: DataFrame, traits: DataFrame, metabolites: DataFrame, interactions: DataFrame) -> DataFrame:
+    """The network of the given species alone, both ends of an interaction among them."""
+    has = lambda df, c: df.join(species.select(F.col("species").alias(c)), c, "left_semi")
+    return network(has(traits, "sourceName"), has(metabolites, "sourceName"), has(has(interactions, "sourceName"), "targetName"))
+
+
 def network_summary(edges: DataFrame, species: DataFrame) -> DataFrame:
     """(n_nodes, n_species, n_edges, n_trait, n_metabolite, n_interaction)."""
     nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).union(species.select("species")).distinct()

@@ -47,14 +47,16 @@ def delimited(
     keep_na: bool = False,
     row_id: bool = True,
     spread: int = 0,
+    multiline: bool = False,
 ) -> DataFrame:
     """A delimited text file with a header, plain or compressed.
 
     columns: those to keep, checked by name. keep_na: leave textual nulls as they are. row_id adds the
-    order of the scan. spread: number of partitions to deal the rows out to.
+    order of the scan. spread: number of partitions to deal the rows out to. multiline: quoted values may
+    hold line ends; each file is then one task.
     """
     reader = spark.read.option("header", True).option("sep", sep).option("encoding", encoding).option("inferSchema", False)
-    reader = reader.option("quote", '"' if quoting else "").option("escape", '"' if quoting else "").option("multiLine", False)
+    reader = reader.option("quote", '"' if quoting else "").option("escape", '"' if quoting else "").option("multiLine", multiline)
     df = reader.csv(path)
     df = df.toDF(*[S.clean_column_name(c) for c in df.columns])
     if columns:
@@ -93,11 +95,14 @@ def species_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def dictionary(spark: SparkSession, path: str, key: str, value: str, sep: str = ",", quoting: bool = True, lower_key: bool = False) -> DataFrame:
-    """(key, value) of a two-column mapping; of equal keys the last row wins. A missing file gives no rows."""
+    """(key, value) of a two-column mapping; of equal keys the last row wins. A missing file or column gives no rows."""
+    none = spark.createDataFrame([], "key string, value string")
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
-        return spark.createDataFrame([], "key string, value string")
-    df = delimited(spark, path, sep, (key, value), quoting=quoting, keep_na=True)
+        return none
+    df = delimited(spark, path, sep, quoting=quoting, keep_na=True)
+    if not {key, value} <= set(df.columns):
+        return none
     name = F.lower(F.col(key)) if lower_key else F.col(key)
     rows = df.select(name.alias("key"), F.col(value).alias("value"), "row_id").filter("key is not null")
     return rows.groupBy("key").agg(F.max_by("value", "row_id").alias("value"))

@@ -13,9 +13,13 @@ LOG = logging.getLogger("taxograph")
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = ",", gzip: bool = False, mode: str = "overwrite", one_file: bool = False) -> None:
-    """Delimited text with a header; an overwrite is idempotent, so that a run can be repeated."""
+    """Delimited text with a header, white space kept and quotes doubled, as the readers expect them.
+
+    An overwrite is idempotent, so that a run can be repeated.
+    """
     out = df.coalesce(1) if one_file else df
-    out.write.mode(mode).option("header", True).option("sep", sep).option("compression", "gzip" if gzip else "none").option("emptyValue", "").csv(path)
+    options = {"header": True, "sep": sep, "compression": "gzip" if gzip else "none", "emptyValue": "", "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    out.write.mode(mode).options(**options).csv(path)
     LOG.info("wrote %s", path)
 
 

@@ -155,3 +155,22 @@ def test_streamed_graph_equals_batch(spark, tmp_path):
         incremental.stream_triples(incremental.records_stream(spark, land, schema), build, out, str(tmp_path / "cp")).awaitTermination()
     incremental.compacted(spark, out, str(tmp_path / "set"))
     assert {(r.s, r.o) for r in sinks.read_triples(spark, str(tmp_path / "set")).collect()} == {("a", "b"), ("c", "d")}
+
+
+def test_delimited_text_comes_back_as_it_was(spark, tmp_path):
+    rows = [("  a ", 'b "c", d'), ('"', "tab\there"), ("x", None)]
+    df = spark.createDataFrame(rows, "one string, two string")
+    for sep in (",", ";"):
+        sinks.write_delimited(df, str(tmp_path / "t"), sep)
+        back = readers.delimited(spark, str(tmp_path / "t"), sep, row_id=False)
+        assert sorted(map(repr, map(tuple, back.collect()))) == sorted(map(repr, rows))
+
+
+def test_quoted_line_ends(spark, tmp_path):
+    path = put(tmp_path / "lines.csv", 'k,v\n1,"a\nb"\n2,c\n')
+    assert {tuple(r) for r in readers.delimited(spark, path, row_id=False, multiline=True).collect()} == {("1", "a\nb"), ("2", "c")}
+
+
+def test_dictionary_without_its_column_is_empty(spark, tmp_path):
+    path = put(tmp_path / "dict.csv", "a,b\n1,2\n")
+    assert readers.dictionary(spark, path, "a", "c").count() == 0
