@@ -106,7 +106,8 @@ def hilbert_order(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     part = F.shiftright(F.col("at"), 33)
     counts = placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
     before = counts.select("part", (F.sum("n").over(W.orderBy("part")) - F.col("n")).alias("before"), F.sum("n").over(W.partitionBy()).alias("rows"))
-    out = placed.withColumn("part", part).join(before, "part")
+    # a row a task of the range partitioning: without the hint the texts are shuffled again for this join
+    out = placed.withColumn("part", part).join(F.broadcast(before), "part")
     return out.withColumn("position", F.col("before") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))).drop("part", "before", "at")
 
 
