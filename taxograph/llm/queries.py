@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from taxograph.llm import decontaminate, hilbert_shards, mixing, near_dedup, pii, quality_lm, secret_scan, topk_search, url_filter, warc
+from taxograph.llm import decontaminate, hilbert_shards, merkle, mixing, near_dedup, packing, pii, quality_lm, resample, secret_scan, topk_search, url_filter, warc
 
 URL_RULES = [
     ("block", "com", "/en/"),
@@ -70,6 +70,78 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tamper_check(table(spark, sf_dir, "documents"))
+
+
+def resample_sql() -> str:
+    """Features in SQL; CRC-32 byte by byte over the distinct features."""
+    words = r"coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
+    runs = "w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])"
+    return f"""
+WITH {CRC_TABLES},
+dw AS (SELECT row_number() OVER () AS row_id, doc_id, {words} AS w FROM documents),
+df AS (SELECT row_id, unnest({runs}) AS text FROM dw),
+bf AS (SELECT unnest({runs}) AS text FROM (SELECT {words} AS w FROM benchmark)),
+kinds AS MATERIALIZED (SELECT text, {CRC32} % 10000 AS bucket FROM (SELECT text FROM df UNION SELECT text FROM bf), crc),
+d AS MATERIALIZED (SELECT row_id, bucket FROM df JOIN kinds USING (text)),
+s AS (SELECT bucket, count(*) AS s FROM d GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM bf JOIN kinds USING (text) GROUP BY bucket),
+sums AS (SELECT (SELECT coalesce(sum(s), 0) FROM s)::DOUBLE AS all_s, (SELECT coalesce(sum(t), 0) FROM t)::DOUBLE AS all_t),
+gains AS (SELECT bucket, floor(1000 * ln((coalesce(t, 0)::DOUBLE + 1) * (all_s + 10000) / ((s::DOUBLE + 1) * (all_t + 10000))))::BIGINT AS gain FROM s LEFT JOIN t USING (bucket), sums),
+weighed AS (SELECT row_id, count(*) AS n, floor(sum(gain) / count(*))::BIGINT AS weight FROM d JOIN gains USING (bucket) GROUP BY row_id),
+scored AS (
+  SELECT row_id, doc_id, len(w) AS n_words, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('7:' || coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM dw LEFT JOIN weighed USING (row_id)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS place, count(*) OVER (PARTITION BY n_words >= 20) AS eligible FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 25 * eligible // 100 THEN place END AS rank FROM placed"""
+
+
+def merkle_sql(levels: int = 8) -> str:
+    """Both trees level by level, then the path of every document; a tree has `levels` levels at most."""
+    field = lambda c: f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+    leaf = lambda text: "sha256(" + " || ".join(field(text if c == "text" else c) for c in merkle.FIELDS) + ")"
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+    def tree(name: str) -> str:
+        steps = []
+        for k in range(levels):
+            steps.append(f"{name}_runs{k} AS (SELECT src, n, i // 16 AS run, string_agg(d, '' ORDER BY i) AS m FROM {name}{k} WHERE n > 1 GROUP BY src, n, i // 16)")
+            steps.append(f"{name}{k + 1} AS (SELECT src, (n + 15) // 16 AS n, run AS i, sha256(m) AS d FROM {name}_runs{k} UNION ALL SELECT src, n, i, d FROM {name}{k} WHERE n = 1)")
+        return ", ".join(steps)
+
+    def climb(name: str, k: int) -> str:
+        left, right = "m[1:64 * (i % 16)]", "m[64 * (i % 16) + 65:]"
+        return f"""{name}_path{k + 1} AS (
+  SELECT p.* EXCLUDE (i, h, proof), CASE WHEN m IS NULL THEN i ELSE i // 16 END AS i, CASE WHEN m IS NULL THEN h ELSE sha256({left} || h || {right}) END AS h,
+         CASE WHEN m IS NULL THEN proof ELSE proof || {left} || {right} END AS proof
+  FROM {name}_path{k} p LEFT JOIN {name}_runs{k} r ON p.src = r.src AND r.run = p.i // 16)"""
+
+    return f"""
+WITH {CRC_TABLES},
+hashed AS (
+  SELECT doc_id, coalesce('s' || source, '') AS src, {leaf('text')} AS leaf, CASE WHEN {CRC32.replace("coalesce(text, '')", "doc_id::VARCHAR")} % 5 = 0 THEN {leaf(lowered)} END AS tampered
+  FROM documents, crc),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY src) AS n FROM hashed),
+low0 AS (SELECT src, n, i, leaf AS d FROM numbered), {tree('low')},
+groups AS (SELECT src AS source_key, row_number() OVER (ORDER BY src) - 1 AS i, count(*) OVER () AS n, d FROM low{levels}),
+top0 AS (SELECT 0 AS src, n, i, d FROM groups), {tree('top')},
+low_path0 AS (SELECT doc_id, src, leaf, i, coalesce(tampered, leaf) AS h, '' AS proof FROM numbered), {', '.join(climb('low', k) for k in range(levels))},
+top_path0 AS (SELECT doc_id, 0 AS src, leaf, g.d AS subroot, h, proof, g.i FROM low_path{levels} p JOIN groups g ON p.src = g.source_key), {', '.join(climb('top', k) for k in range(levels))}
+SELECT doc_id, leaf, subroot, root.d AS root, sha256(proof) AS proof_sha256, h AS folded_root, h = root.d AS verified FROM top_path{levels}, top{levels} AS root"""
+
+
 def hilbert_sql(shards: int = SHARDS) -> str:
     """The shards in SQL: one common table per bit plane of the curve."""
     bits, n = hilbert_shards.BITS, hilbert_shards.DIMS
@@ -113,6 +185,9 @@ QUERIES = {
     "op8_quality_lm": op8_quality_lm,
     "op9_pii": op9_pii,
     "op10_topk_search": op10_topk_search,
+    "op11_best_fit_packing": op11_best_fit_packing,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_merkle_manifest": op13_merkle_manifest,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -161,6 +236,8 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fit
 """,
 }
 ORACLE["op7_hilbert_shards"] = hilbert_sql()
+ORACLE["op12_importance_resampling"] = resample_sql()
+ORACLE["op13_merkle_manifest"] = merkle_sql()
 ORACLE["op5_decontaminate"] = r"""
 WITH dw AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
 bw AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL),
