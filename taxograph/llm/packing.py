@@ -16,8 +16,8 @@ Either yields runs: "the next pieces of this length go to these sequences, q to
 on". Pieces are ordered by length by a range exchange, numbered from counts per partition, and find
 their run by binary search in a table of a few runs a length. No task or driver sees all pieces.
 
-Tokens: a text is cut at ASCII spaces, tabs and line ends, where the tokenizer of `vocabulary` never
-joins; a chunk is encoded once and kept for the task. Special tokens' strings are what they are to the
+Tokens: a text is cut at ASCII spaces, tabs and line ends and between a Latin letter and a mark, where
+the tokenizer of `vocabulary` never joins; a chunk is encoded once and kept for the worker. Special tokens' strings are what they are to the
 library by default. After a document's ids comes the end id.
 
 Defined cases: a null or empty text is one piece of the end id alone; a document longer than the
@@ -46,9 +46,10 @@ from tokenizers import Tokenizer
 from taxograph.llm.common import partitions, staged
 
 CAPACITY, END = 4096, 1
-#: Chunks of at most so many characters are kept, so many of them at once; longer ones are encoded anew.
-KEPT_CHARS, KEPT = 64, 200_000
-SPACE = re.compile(r"[ \t\r\n]+")
+#: Chunks of at most so many characters are kept, about so many of them; longer ones are encoded anew.
+KEPT_CHARS, KEPT = 64, 1_000_000
+#: Where no token goes on: white space, and between a Latin letter and a mark.
+CUT = re.compile(r"[ \t\r\n]+|(?<=[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F])(?=[.,;:!?])")
 
 
 class Encoder:
@@ -58,20 +59,18 @@ class Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a worker a core
         self.tokenizer, self.known = Tokenizer.from_file(vocabulary), {}
 
-    def _ids(self, chunks: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch(chunks, add_special_tokens=False)]
-
     def __call__(self, text: str) -> bytes:
-        chunks, known = SPACE.split(text), self.known
-        new = [c for c in dict.fromkeys(chunks) if c not in known]
-        if len(known) + len(new) > KEPT:
+        chunks, known = CUT.split(text), self.known
+        if new := list(set(chunks).difference(known)):
+            known.update(zip(new, (np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)), strict=True))
+        out = b"".join(map(known.__getitem__, chunks))
+        if len(known) > KEPT:
             known.clear()
-            new = list(dict.fromkeys(chunks))
-        if not new:
-            return b"".join(map(known.__getitem__, chunks))
-        here = dict(zip(new, self._ids(new), strict=True))
-        known.update((c, b) for c, b in here.items() if len(c) <= KEPT_CHARS)
-        return b"".join(here[c] if c in here else known[c] for c in chunks)
+        else:
+            for c in new:
+                if len(c) > KEPT_CHARS:
+                    del known[c]
+        return out
 
 
 @lru_cache(maxsize=1)
