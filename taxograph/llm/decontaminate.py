@@ -19,7 +19,6 @@ gives no hits.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +31,7 @@ from taxograph.llm.wordhash import ALNUM, Distinct, Words, matched
 
 WINDOW, BLOCK_BYTES, PASS_BYTES, CANDIDATES = 13, 4 << 20, 16 << 20, 1 << 21
 INDEX = "docs binary, doc_words binary, doc_null binary, terms binary, counts binary, positions binary"
+HITS = "block bigint, place int, id bigint, n_words bigint, starts array<bigint>, ends array<bigint>, items array<string>"
 
 
 def blocks(batches, least: int = BLOCK_BYTES) -> Iterator[tuple[list, list]]:
@@ -49,7 +49,7 @@ def blocks(batches, least: int = BLOCK_BYTES) -> Iterator[tuple[list, list]]:
 
 
 def build_index(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The index rows of df, stored in the shared folder. Ids are whole numbers."""
+    """The index rows of df, numbered by `block` and stored in the shared folder. Ids are whole numbers."""
     small_batches(df.sparkSession)
 
     def build(batches):
@@ -64,7 +64,8 @@ def build_index(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
             ]
             yield pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in columns], [c.split()[0] for c in INDEX.split(", ")])
 
-    return staged(df.select(whole_id(df, id_col), F.col(text_col)).mapInArrow(build, INDEX), "postings")
+    rows = df.select(whole_id(df, id_col), F.col(text_col)).mapInArrow(build, INDEX)
+    return staged(rows.withColumn("block", F.monotonically_increasing_id()), "postings")
 
 
 class Postings:
@@ -212,20 +213,18 @@ def united(doc: np.ndarray, start: np.ndarray, end: np.ndarray, doc_start: np.nd
 
 
 def _search_all(index, benchmark, id_col, text_col, window, slack):
-    rows = "block bigint, place int, id bigint, n_words bigint, starts array<bigint>, ends array<bigint>, items array<string>"
     for items in passes(benchmark, id_col, text_col):
         wanted = Windows(items, window)
 
         def search(batches, wanted=wanted):
             for b in batches:
-                for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                for *row, block in zip(*(c.to_pylist() for c in b.columns), strict=True):
                     postings = Postings(*row)
                     who, at = postings.phrases(wanted) if slack is None else postings.proximities(wanted, slack)
                     length = wanted.length[who] + (slack or 0)
                     doc, place = postings.documents(at)
                     order = np.lexsort((place, doc))
                     doc, place, length, who = doc[order], place[order], length[order], who[order]
-                    block = int.from_bytes(hashlib.blake2b(row[0] + row[1], digest_size=7).digest())
                     span_doc, span_start, span_end = united(doc, place, np.minimum(place + length, postings.words[doc]), postings.doc_start)
                     cut, span_cut = (np.searchsorted(x, np.arange(len(postings.docs) + 1)) for x in (doc, span_doc))
                     starts, ends, listed = [], [], []
@@ -240,7 +239,7 @@ def _search_all(index, benchmark, id_col, text_col, window, slack):
                     )
 
         with arrow_rows(index.sparkSession, 8):
-            yield staged(index.mapInArrow(search, rows), "phrase-hits")
+            yield staged(index.mapInArrow(search, HITS), "phrase-hits")
 
 
 def contamination(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, one_in: int = 20) -> DataFrame:

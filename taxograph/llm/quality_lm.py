@@ -11,7 +11,9 @@ A gram is ORDER code points in two columns of 21 bits a character, so that no ch
 and the tables grow with what is written. A document's score is its mean negative log probability per
 character, with PRIOR characters of the language's held-out mean added, so that short texts are not
 judged by chance. A document is rejected beyond its language's threshold: the QUANTILE of the held-out
-scores plus SLACK times the distance from the median to it. Languages without held-out texts use all.
+scores plus SLACK times the distance from the median to it. A language with fewer than LEAST_HELD
+held-out texts cannot tell its own spread: its threshold is that of all languages together or, if it is
+larger, its own quantile plus their distance from the median; without a held-out text it is that of all.
 
 Defined cases: a null or empty text has no perplexity and is kept; without trusted text nothing is
 rejected; null languages are one language; repeated rows are scored one by one; ids are of any type
@@ -36,7 +38,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from taxograph.llm.common import arrow_rows, by_ids, pack, partitions, rows_in, small_batches, staged, tasks_for, unpack
 from taxograph.llm.wordhash import mix
 
-ORDER, BITS, LOW, PRIOR, HELD_OUT, QUANTILE, SLACK = 5, 21, 3, 60, 5, 0.99, 1.0
+ORDER, BITS, LOW, PRIOR, HELD_OUT, QUANTILE, SLACK, LEAST_HELD = 5, 21, 3, 60, 5, 0.99, 1.0, 20
 BLOCK_ROWS, PIECE, STEP = 4096, 1 << 20, 1000
 #: Grams that a task writes.
 GRAMS_PER_TASK = 100_000
@@ -525,9 +527,11 @@ def quality(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", lang_col:
         return held.withColumn("score", (F.col("nll") + PRIOR * F.coalesce("mean", pooled)) / (F.col("n") + PRIOR)).drop("mean")
 
     low = lambda share: F.expr(f"percentile_disc({share}) WITHIN GROUP (ORDER BY ceil(score * {STEP}))") / STEP
-    limits = shrunk(calibration).rollup("key").agg(low(quantile).alias("high"), low(0.5).alias("middle"), F.grouping("key").alias("all"))
-    limits = staged(limits.select("key", "all", (F.col("high") + slack * (F.col("high") - F.col("middle"))).alias("limit")), "limits", 1)
-    common = limits.filter("all = 1").select("limit").first()
+    limits = shrunk(calibration).rollup("key").agg(low(quantile).alias("high"), low(0.5).alias("middle"), F.count(F.lit(1)).alias("held"), F.grouping("key").alias("all"))
+    limits = staged(limits.withColumn("limit", F.col("high") + slack * (F.col("high") - F.col("middle"))), "limits", 1)
+    common = limits.filter("all = 1").first()
+    spread = F.lit(common["limit"] - common["middle"] if common else None).cast("double")
     common = F.lit(common["limit"] if common else None).cast("double")
-    out = shrunk(scored).join(limits.filter("all = 0").drop("all"), "key", "left").withColumn("threshold", F.coalesce("limit", common))
+    own = limits.filter("all = 0").select("key", F.when(F.col("held") >= LEAST_HELD, F.col("limit")).otherwise(F.greatest(common, F.col("high") + spread)).alias("limit"))
+    out = shrunk(scored).join(own, "key", "left").withColumn("threshold", F.coalesce("limit", common))
     return out.select(F.col("id").alias(id_col), "lang", F.exp(F.col("nll") / F.col("n")).alias("perplexity"), "score", "threshold", F.coalesce(F.col("score") <= F.col("threshold"), F.lit(True)).alias("kept"))

@@ -59,7 +59,7 @@ def email_spans(text: str) -> list[Span]:
 
 
 def ip_spans(text: str) -> list[Span]:
-    return [("ip", m.start(), m.end()) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.groups())]
+    return [("ip", m.start(), m.end()) for m in IP.finditer(text) if all(len(q := p.lstrip("0")) <= 3 and int(q or 0) <= 255 for p in m.groups())]
 
 
 def luhn(digits: str) -> bool:

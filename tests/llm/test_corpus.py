@@ -121,6 +121,18 @@ def test_contamination(spark, monkeypatch, pass_bytes):
     assert got == plain_contamination(docs, items)
 
 
+def test_equal_files_under_several_passes(spark, monkeypatch, tmp_path):
+    docs, items = contaminated_docs()
+    monkeypatch.setattr(decontaminate.passes, "__defaults__", (120,))
+    part = spark.createDataFrame(docs[:50], "doc_id long, text string").coalesce(1)
+    for name in "ab":
+        part.write.parquet(str(tmp_path / name))
+    twice = spark.read.parquet(str(tmp_path / "a")).union(spark.read.parquet(str(tmp_path / "b")))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = Counter((r.doc_id, r.n_words, r.n_hit, tuple(r["items"]), r.contaminated) for r in decontaminate.contamination(twice, bench).collect())
+    assert got == plain_contamination(docs[:50] + docs[:50], items)
+
+
 def test_contamination_of_nothing(spark):
     docs, items = contaminated_docs()
     df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
@@ -334,6 +346,23 @@ def test_quality_rejects_junk_and_keeps_clean(spark):
     assert quality_lm.quality(df.limit(0), trusted).count() == 0
 
 
+@pytest.mark.parametrize("few", [0, 1, 5, 40])
+def test_languages_with_few_trusted_texts(spark, few):
+    """A language of the same making keeps its texts, however few of them are held out."""
+    rng = random.Random(few)
+    words = [f"{a}{b}" for a in ("ha", "ri", "gre", "wal", "tre", "mo") for b in ("use", "ver", "en", "ks", "e", "on", "lt")]
+    say = lambda: " ".join(rng.choice(words) for _ in range(rng.randint(10, 60)))
+    rows = [(k, "en", say()) for k in range(400)] + [(1000 + k, "xx", say()) for k in range(100)]
+    junk = [(5000 + k, rng.choice(["en", "xx"]), "".join(rng.choice("#$%&*!|q") for _ in range(150))) for k in range(10)]
+    df = spark.createDataFrame(rows + junk, "doc_id long, lang string, text string")
+    held = {r.doc_id for r in df.filter(quality_lm.held_out(F.col("doc_id"))).collect()}
+    other = [k for k, lang, _ in rows if lang == "xx"]
+    trusted = [k for k, lang, _ in rows[:300]] + [k for k in other if k in held][:few] + [k for k in other if k not in held][:3]
+    got = {r.doc_id: r.kept for r in quality_lm.quality(df, spark.createDataFrame([(k,) for k in trusted], "doc_id long")).collect()}
+    assert sum(not got[k] for k in other) <= 3 and sum(not got[k] for k, lang, _ in rows if lang == "en") <= 12
+    assert not any(got[k] for k, *_ in junk)
+
+
 def test_pipeline(spark, tmp_path):
     rng = random.Random(6)
     good, bad, _ = lm_docs()

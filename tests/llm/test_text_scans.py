@@ -178,3 +178,12 @@ def test_many_spans_take_linear_time():
     base, _ = secret_scan.scan(secrets, secret_scan.Novelty(), 0.6)
     assert len(base) == 60_000
     assert time.perf_counter() - began < 60
+
+
+def test_long_digit_runs_with_dots(spark):
+    zeros = "0" * 5000
+    texts = [f"1.2.3.{zeros}", f"1.2.3.{zeros}7", f"{zeros}1.2.3.4", f"1.2.3.{zeros}256", f"1.2.3.{'9' * 5000}", f"{zeros}.{zeros}.0.255"]
+    found = [spans.ip_spans(t) for t in texts]
+    assert [[x[1:] for x in f] for f in found] == [[(0, len(t))] if k in (0, 1, 2, 5) else [] for k, (f, t) in enumerate(zip(found, texts, strict=True))]
+    rows = pii.pii_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert [sum(s.kind == "ip" for s in r.spans) for r in sorted(rows)] == [1, 1, 1, 0, 0, 1]
