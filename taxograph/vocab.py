@@ -61,16 +61,52 @@ ID_RULES = (
     (r"gbif:", "GBIF:"),
 )
 
-# Compact identifiers of ontology terms; all but QUDT live under OBO.
-CURIES = {p: f"{OBO}{p}_" for p in ("AEO", "CHEBI", "CLYH", "ENVO", "FAO", "FBdv", "HAO", "NCIT", "OMIT", "PATO", "PORO", "RO", "UBERON", "PO")} | {"QUDT": QUDT_INTERACTIONS}
+# Compact identifiers of ontology terms.
+CURIES = {
+    "AEO": OBO + "AEO_",
+    "CHEBI": OBO + "CHEBI_",
+    "CLYH": OBO + "CLYH_",
+    "ENVO": OBO + "ENVO_",
+    "FAO": OBO + "FAO_",
+    "FBdv": OBO + "FBdv_",
+    "HAO": OBO + "HAO_",
+    "NCIT": OBO + "NCIT_",
+    "OMIT": OBO + "OMIT_",
+    "PATO": OBO + "PATO_",
+    "PORO": OBO + "PORO_",
+    "RO": OBO + "RO_",
+    "UBERON": OBO + "UBERON_",
+    "PO": OBO + "PO_",
+    "QUDT": QUDT_INTERACTIONS,
+}
 
 # Inverse predicates; those of dcterms hold one way only, those of sosa both ways.
-_ONE_WAY = (("isPartOf", "hasPart"), ("hasFormat", "isFormatOf"), ("hasVersion", "isVersionOf"), ("references", "isReferencedBy"), ("replaces", "isReplacedBy"), ("requires", "isRequiredBy"))
-_BOTH_WAYS = (
-    ("isActedOnBy", "actsOnProperty"), ("isFeatureOfInterestOf", "hasFeatureOfInterest"), ("isResultOf", "hasResult"), ("isSampleOf", "hasSample"), ("isHostedBy", "hosts"),
-    ("observes", "isObservedBy"), ("madeByActuator", "madeActuation"), ("madeSampling", "madeBySampler"), ("madeObservation", "madeBySensor"),
-)
-INVERSE = {DCTERMS + a: DCTERMS + b for a, b in _ONE_WAY} | {SOSA + x: SOSA + y for a, b in _BOTH_WAYS for x, y in ((a, b), (b, a))}
+INVERSE = {
+    DCTERMS + "isPartOf": DCTERMS + "hasPart",
+    DCTERMS + "hasFormat": DCTERMS + "isFormatOf",
+    DCTERMS + "hasVersion": DCTERMS + "isVersionOf",
+    DCTERMS + "references": DCTERMS + "isReferencedBy",
+    DCTERMS + "replaces": DCTERMS + "isReplacedBy",
+    DCTERMS + "requires": DCTERMS + "isRequiredBy",
+    SOSA + "isActedOnBy": SOSA + "actsOnProperty",
+    SOSA + "actsOnProperty": SOSA + "isActedOnBy",
+    SOSA + "isFeatureOfInterestOf": SOSA + "hasFeatureOfInterest",
+    SOSA + "hasFeatureOfInterest": SOSA + "isFeatureOfInterestOf",
+    SOSA + "isResultOf": SOSA + "hasResult",
+    SOSA + "hasResult": SOSA + "isResultOf",
+    SOSA + "isSampleOf": SOSA + "hasSample",
+    SOSA + "hasSample": SOSA + "isSampleOf",
+    SOSA + "isHostedBy": SOSA + "hosts",
+    SOSA + "hosts": SOSA + "isHostedBy",
+    SOSA + "observes": SOSA + "isObservedBy",
+    SOSA + "isObservedBy": SOSA + "observes",
+    SOSA + "madeByActuator": SOSA + "madeActuation",
+    SOSA + "madeActuation": SOSA + "madeByActuator",
+    SOSA + "madeSampling": SOSA + "madeBySampler",
+    SOSA + "madeBySampler": SOSA + "madeSampling",
+    SOSA + "madeObservation": SOSA + "madeBySensor",
+    SOSA + "madeBySensor": SOSA + "madeObservation",
+}
 
 #: The class that an unknown biological sex counts under, if a map names none.
 UNKNOWN_SEX = EMI_BOX + "unknown"
