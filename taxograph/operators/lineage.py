@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from taxograph import vocab as V
@@ -63,3 +63,31 @@ def ancestor_closure(edges: DataFrame, child: str = "child", parent: str = "pare
         size = grown
     nodes = edges.select(F.col(child).alias("node")).union(edges.select(F.col(parent).alias("node"))).filter("node is not null").distinct()
     return pairs.union(nodes.select("node", F.col("node").alias("ancestor")))
+
+
+def reachable(edges: DataFrame, starts: DataFrame, report: list[int] | None = None) -> DataFrame:
+    """(node, ancestor): all that is reached from the starts over edges (child, parent), themselves included.
+
+    Rounds follow new pairs only, from the starts alone, and end when a round finds none; cycles and
+    several parents are allowed. Each round is written, so that plans stay short and a lost executor
+    costs one round. report: gets the new pairs of each round.
+    """
+    spark = edges.sparkSession
+    root = f"{shared_dir(spark)}/reach-{uuid.uuid4().hex}"
+    steps = edges.toDF("ancestor", "further").filter("ancestor <> further").distinct()
+    steps.write.parquet(f"{root}/edges")
+    steps = spark.read.parquet(f"{root}/edges")
+    first = starts.toDF("node").filter("node is not null").distinct()
+    new, turn, known = first.select("node", F.col("node").alias("ancestor")), 0, None
+    while True:
+        seen = Observation()
+        new.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(f"{root}/new/turn={turn}")
+        found = seen.get["n"]
+        if report is not None:
+            report.append(found)
+        known = spark.read.schema(new.schema).parquet(*[f"{root}/new/turn={k}" for k in range(turn + 1)])
+        if not found:
+            return known
+        last = spark.read.schema(new.schema).parquet(f"{root}/new/turn={turn}")
+        further = last.join(steps, "ancestor").select("node", F.col("further").alias("ancestor")).distinct()
+        new, turn = further.join(known, ["node", "ancestor"], "left_anti"), turn + 1

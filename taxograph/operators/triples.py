@@ -5,6 +5,8 @@ A triple is (s, p, o, o_kind, o_dtype, src, row_id): full IRIs; o_kind is iri, l
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,27 +19,64 @@ COLUMNS = ("s", "p", "o", "o_kind", "o_dtype", "src", "row_id")
 STRING, INTEGER, DOUBLE = (V.XSD + t for t in ("string", "integer", "double"))
 
 
-def iri(s: Column, p: str, o: Column | str) -> Column:
-    return _triple(s, p, F.lit(o) if isinstance(o, str) else o, "iri", F.lit(None))
+@dataclass(frozen=True)
+class Statement:
+    """What a record states: two columns and a predicate; a record without one of the ends states nothing."""
+
+    s: Column
+    p: str
+    o: Column
+    kind: str
+    dtype: Column | str | None = None
 
 
-def literal(s: Column, p: str, o: Column, dtype: Column | str = STRING) -> Column:
-    return _triple(s, p, o, "literal", F.lit(dtype) if isinstance(dtype, str) else dtype)
+def iri(s: Column, p: str, o: Column | str) -> Statement:
+    return Statement(s, p, F.lit(o) if isinstance(o, str) else o, "iri")
 
 
-def bnode(s: Column, p: str, o: Column) -> Column:
-    return _triple(s, p, o, "bnode", F.lit(None))
+def literal(s: Column, p: str, o: Column, dtype: Column | str = STRING) -> Statement:
+    return Statement(s, p, o, "literal", dtype)
 
 
-def _triple(s: Column, p: str, o: Column, kind: str, dtype: Column) -> Column:
-    whole = F.struct(s.alias("s"), F.lit(p).alias("p"), o.cast("string").alias("o"), F.lit(kind).alias("o_kind"), dtype.cast("string").alias("o_dtype"))
-    return F.when(s.isNotNull() & o.isNotNull(), whole)
+def bnode(s: Column, p: str, o: Column) -> Statement:
+    return Statement(s, p, o, "bnode")
 
 
-def emitted(df: DataFrame, triples: list[Column], src: str) -> DataFrame:
-    """A row per triple that has both ends; one pass over df."""
-    rows = df.select(F.explode(F.array_compact(F.array(*triples))).alias("t"), "row_id")
-    return rows.select("t.*", F.lit(src).alias("src"), "row_id").select(*COLUMNS)
+def inverses(statements: list[Statement], table: dict[str, str] = V.INVERSE) -> list[Statement]:
+    """The inverse of each statement with an IRI object whose predicate has one."""
+    return [Statement(x.o, table[x.p], x.s, "iri") for x in statements if x.kind == "iri" and x.p in table]
+
+
+def emitted(df: DataFrame, statements: list[Statement], src: str) -> DataFrame:
+    """A row per triple that has both ends; one pass over df.
+
+    Every column is computed once a record, before the rows are multiplied by a constant table of slots;
+    then a slot only picks its two columns. One expression that makes all triples would be too large a
+    method for the JVM to compile.
+    """
+    ends: dict[int, tuple[str, Column]] = {}
+    for x in statements:
+        for c in (x.s, x.o, x.dtype):
+            if isinstance(c, Column):
+                ends.setdefault(id(c), (f"__v{len(ends)}", c))
+    base = df.select("row_id", *[c.cast("string").alias(n) for n, c in ends.values()])
+    slots = [F.struct(F.lit(k).alias("slot"), F.lit(x.p).alias("p"), F.lit(x.kind).alias("o_kind"), F.lit(x.dtype if isinstance(x.dtype, str) else None).cast("string").alias("fixed")) for k, x in enumerate(statements)]
+    rows = base.withColumn("t", F.explode(F.array(*slots)))
+
+    def picked(of, otherwise: Column) -> Column:
+        used: dict[str, list[int]] = {}
+        for k, x in enumerate(statements):
+            if isinstance(of(x), Column):
+                used.setdefault(ends[id(of(x))][0], []).append(k)
+        out = None
+        for name, which in used.items():
+            here = F.col("t.slot").isin(which)
+            out = F.when(here, F.col(name)) if out is None else out.when(here, F.col(name))
+        return otherwise if out is None else out.otherwise(otherwise)
+
+    none = F.lit(None).cast("string")
+    rows = rows.select(picked(lambda x: x.s, none).alias("s"), F.col("t.p").alias("p"), picked(lambda x: x.o, none).alias("o"), F.col("t.o_kind").alias("o_kind"), picked(lambda x: x.dtype, F.col("t.fixed")).alias("o_dtype"), F.lit(src).alias("src"), "row_id")
+    return rows.filter("s is not null and o is not null").select(*COLUMNS)
 
 
 def invalid_to_null(c: Column) -> Column:
@@ -103,9 +142,11 @@ def numbered(records: DataFrame, batch: int | None = None) -> DataFrame:
     return records.withColumn("rec", own if batch is None else own + F.floor(own / batch) * batch)
 
 
-def interaction_triples(records: DataFrame, sexes: DataFrame, entities: DataFrame | None = None, batch: int | None = None, src: str = "interactions") -> DataFrame:
+def interaction_triples(records: DataFrame, sexes: DataFrame, entities: DataFrame | None = None, batch: int | None = None, src: str = "interactions", once: bool = True) -> DataFrame:
     """The graph of resolved records (source_wd, source_name, target_wd, target_name and the record columns).
 
+    once: as a set; without it triples come as often as they are emitted, for a store, which makes a set of their ids.
+
     sexes: (key, value) map of sex terms. entities: (key, name, iri) map for body parts and life
     stages whose identifier is no IRI.
     """
@@ -149,8 +190,9 @@ def interaction_triples(records: DataFrame, sexes: DataFrame, entities: DataFram
     # two narrow passes besides: first labels, and the counts of sexes
     labels = [F.struct(F.col(f"__{n}_iri").alias("iri"), F.col(f"__{n}_label").alias("label")) for n in ("type", *(f"{a}{b}" for a, b in slots))]
     named = rows.select(F.explode(F.array(*labels)).alias("e"), "row_id").select("e.iri", "e.label", "row_id")
-    out = emitted(rows, made, src).unionByName(labelled_once(named, src)).unionByName(_sexes(rows, sexes, src))
-    return with_inverse(out, src=src)
+    # what labels and sexes state has no inverse
+    out = emitted(rows, made + inverses(made), src).unionByName(labelled_once(named, src)).unionByName(_sexes(rows, sexes, src))
+    return as_set(out, src) if once else out
 
 
 SIDES = ("source", "target")
@@ -242,7 +284,7 @@ def trait_triples(records: DataFrame, species: DataFrame, qudt: DataFrame, emi:
         iri(organism, V.EMI + "inTaxon", F.concat(F.lit(V.WD), S.encode_iri(F.col("WdID")))),
         literal(organism, V.DCTERMS + "identifier", F.concat(F.lit(prefix), S.encode_iri(F.col("AccSpeciesID")))),
     ]
-    return with_inverse(emitted(rows, made, src), src=src)
+    return as_set(emitted(rows, made + inverses(made), src), src)
 
 
 def counters(triples: DataFrame, record_type: str = V.EMI + "Interaction") -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from taxograph import vocab as V
 from taxograph.functions import scalars as S
-from taxograph.operators import analytics, graph, lineage, resolve, semantic, sparql, stats, tables, terms, triples
+from taxograph.operators import analytics, graph, lineage, resolve, semantic, sparql, stars, stats, store, tables, terms, triples
 from taxograph.plans.session import shared_dir
 from taxograph.sources import sinks
 
@@ -261,6 +261,11 @@ def order_triples(spark, sf) -> DataFrame:
     return triples.interaction_triples(resolve.kept_records(order_records(spark, sf)), sex_terms(spark))
 
 
+def order_statements(spark, sf) -> DataFrame:
+    """The same graph, triples stated as often as they are emitted."""
+    return triples.interaction_triples(resolve.kept_records(order_records(spark, sf)), sex_terms(spark), once=False)
+
+
 def loaded(spark: SparkSession, df: DataFrame) -> DataFrame:
     """The triple table as it is queried: written once, a folder per predicate."""
     path = f"{shared_dir(spark)}/triples-{uuid.uuid4().hex}"
@@ -268,6 +273,11 @@ def loaded(spark: SparkSession, df: DataFrame) -> DataFrame:
     return sinks.read_triples(spark, path)
 
 
+def stored(spark: SparkSession, df: DataFrame) -> store.Store:
+    """The triples as a store of numbers."""
+    return store.write_store(df, f"{shared_dir(spark)}/store-{uuid.uuid4().hex}")
+
+
 @query("id_then_name", """
 WITH ids AS (SELECT CASE WHEN s_acctbal < 5000 THEN 'S' ELSE 'X' END || s_suppkey AS key, 'Q' || s_suppkey AS wd, s_name AS name FROM supplier),
 names AS (SELECT p_brand AS key, 'B' || max(p_partkey) AS wd FROM part GROUP BY p_brand),
@@ -485,7 +495,7 @@ def inverse_triples(spark, sf):
 WITH {RECORD_TRIPLES}, labelled AS (SELECT s, count(*) AS n FROM triples WHERE p = '{V.RDFS}label' GROUP BY s)
 SELECT sum(l.n)::BIGINT AS n_records FROM triples c JOIN labelled l ON l.s = c.o WHERE c.p = '{V.EMI}isClassifiedWith'""")
 def bgp_record_count(spark, sf):
-    return graph.record_count(loaded(spark, order_triples(spark, sf)))
+    return graph.record_count(stored(spark, order_statements(spark, sf)))
 
 
 TAXA_SQL = f"""
@@ -496,12 +506,12 @@ JOIN triples t ON t.s = h.o AND t.p = '{V.EMI}inTaxon' WHERE c.p = '{V.EMI}isCla
 
 @query("bgp_distinct_taxa", TAXA_SQL)
 def bgp_distinct_taxa(spark, sf):
-    return graph.distinct_taxa(loaded(spark, order_triples(spark, sf)))
+    return graph.distinct_taxa(stored(spark, order_statements(spark, sf)))
 
 
 @query("sparql_union", TAXA_SQL)
 def sparql_union(spark, sf):
-    return sparql.sparql(loaded(spark, order_triples(spark, sf)), """
+    return sparql.sparql(stored(spark, order_statements(spark, sf)), """
         PREFIX emi: <https://w3id.org/emi#>
         PREFIX rdfs: <http://www.w3.org/2000/01/rdf-schema#>
         SELECT (COUNT(DISTINCT ?wdx) AS ?n_taxa) WHERE {
@@ -513,7 +523,7 @@ def sparql_union(spark, sf):
 
 @query("sparql_group", f"WITH {RECORD_TRIPLES} SELECT o AS type, count(*) AS n FROM triples WHERE p = '{V.EMI}isClassifiedWith' GROUP BY o ORDER BY n DESC, o LIMIT 3")
 def sparql_group(spark, sf):
-    return sparql.sparql(loaded(spark, order_triples(spark, sf)), "SELECT ?type (COUNT(?r) AS ?n) WHERE { ?r a emi:Interaction ; emi:isClassifiedWith ?type } GROUP BY ?type ORDER BY DESC(?n) ?type LIMIT 3")
+    return sparql.sparql(stored(spark, order_statements(spark, sf)), "SELECT ?type (COUNT(?r) AS ?n) WHERE { ?r a emi:Interaction ; emi:isClassifiedWith ?type } GROUP BY ?type ORDER BY DESC(?n) ?type LIMIT 3")
 
 
 #: A trait record per part.
@@ -581,12 +591,12 @@ FROM base LEFT JOIN kinds a ON a.s = data AND a.o = '{V.EMI}Trait' LEFT JOIN kin
 
 @query("optional_type_counts", TYPE_COUNTS)
 def optional_type_counts(spark, sf):
-    return graph.type_counts(loaded(spark, part_triples(spark, sf)))
+    return graph.type_counts(stored(spark, part_triples(spark, sf)))
 
 
 @query("sparql_optional", TYPE_COUNTS)
 def sparql_optional(spark, sf):
-    return sparql.sparql(loaded(spark, part_triples(spark, sf)), """
+    return sparql.sparql(stored(spark, part_triples(spark, sf)), """
         SELECT (COUNT(DISTINCT ?name) AS ?n_species) (COUNT(DISTINCT ?trait) AS ?n_traits) (COUNT(DISTINCT ?other) AS ?n_other) WHERE {
           ?name emi:inTaxon ?wdx .
           ?obs sosa:isSampleOf ?name ; sosa:isFeatureOfInterestOf ?id .
@@ -597,6 +607,49 @@ def sparql_optional(spark, sf):
         }""")
 
 
+#: Customers with a name by market segment, by nation or both, as literals of two predicates; some have neither.
+NAMED_TWICE = """
+SELECT 'http://c/' || c_custkey AS s, 'http://p/in' AS p, 'http://n/' || c_nationkey AS o, 'iri' AS o_kind, CAST(NULL AS {string}) AS o_dtype FROM customer
+UNION ALL SELECT 'http://c/' || c_custkey, 'http://p/first', c_mktsegment, 'literal', 'http://s' FROM customer WHERE c_custkey % 3 = 0
+UNION ALL SELECT 'http://c/' || c_custkey, 'http://p/second', CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment ELSE c_name END, 'literal', 'http://s' FROM customer WHERE c_custkey % 4 < 3
+UNION ALL SELECT 'http://n/' || n_nationkey, 'http://p/label', CASE WHEN n_nationkey % 5 = 0 THEN 'BUILDING' ELSE n_name END, 'literal', 'http://s' FROM nation"""
+
+
+def named_twice(spark, sf) -> DataFrame:
+    for name in ("customer", "nation"):
+        table(spark, sf, name).createOrReplaceTempView(f"taxograph_{name}")
+    return spark.sql(NAMED_TWICE.format(string="STRING").replace("FROM customer", "FROM taxograph_customer").replace("FROM nation", "FROM taxograph_nation"))
+
+
+SHARED_OPTIONAL = """SELECT ?c ?v WHERE { ?c <http://p/in> ?n . OPTIONAL { ?c <http://p/first> ?v } OPTIONAL { ?c <http://p/second> ?v } }"""
+SHARED_OPTIONAL_SQL = f"""
+WITH t AS ({NAMED_TWICE.format(string='VARCHAR')}), c AS (SELECT s FROM t WHERE p = 'http://p/in'), a AS (SELECT s, o FROM t WHERE p = 'http://p/first'), b AS (SELECT s, o FROM t WHERE p = 'http://p/second')
+SELECT c.s AS c, coalesce(a.o, b.o) AS v FROM c LEFT JOIN a ON a.s = c.s LEFT JOIN b ON b.s = c.s AND (a.o IS NULL OR a.o = b.o)"""
+
+
+@query("sparql_shared_optional", SHARED_OPTIONAL_SQL)
+def sparql_shared_optional(spark, sf):
+    return sparql.sparql(loaded(spark, named_twice(spark, sf)), SHARED_OPTIONAL)
+
+
+@query("store_shared_optional", SHARED_OPTIONAL_SQL)
+def store_shared_optional(spark, sf):
+    return sparql.sparql(stored(spark, named_twice(spark, sf)), SHARED_OPTIONAL)
+
+
+@query("sparql_filtered_optional", f"""
+WITH t AS ({NAMED_TWICE.format(string='VARCHAR')})
+SELECT i.s AS c, l.o AS label, f.o AS v FROM t i JOIN t l ON l.s = i.o AND l.p = 'http://p/label' LEFT JOIN t f ON f.s = i.s AND f.p = 'http://p/first' AND l.o = 'BUILDING' AND f.o <> l.o WHERE i.p = 'http://p/in'""")
+def sparql_filtered_optional(spark, sf):
+    return sparql.sparql(stored(spark, named_twice(spark, sf)), """
+        SELECT ?c ?label ?v WHERE { ?c <http://p/in> ?n . ?n <http://p/label> ?label . OPTIONAL { ?c <http://p/first> ?v FILTER(?label = "BUILDING") FILTER(?v != ?label) } }""")
+
+
+@query("store_predicates", f"WITH {RECORD_TRIPLES} SELECT p AS name, count(DISTINCT s || chr(10) || o_kind || chr(10) || o || coalesce(o_dtype, '')) AS triples FROM triples GROUP BY p")
+def store_predicates(spark, sf):
+    return stored(spark, order_statements(spark, sf)).predicates.select("name", "triples")
+
+
 @query("ancestor_closure", """
 WITH RECURSIVE up AS (SELECT p_partkey AS node, p_partkey AS ancestor FROM part UNION SELECT node, ancestor // 2 FROM up WHERE ancestor // 2 >= (SELECT min(p_partkey) FROM part) AND ancestor // 2 > 0)
 SELECT node, ancestor FROM up""")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from taxograph import vocab as V
 from taxograph.functions import scalars as S
-from taxograph.operators import analytics, graph, lineage, resolve, sparql, stats, tables, terms, triples
+from taxograph.operators import analytics, graph, lineage, resolve, sparql, stars, stats, tables, terms, triples
 from taxograph.plans import pipelines
 from taxograph.plans import queries as Q
 from taxograph.plans.queries import query, rounded, table
@@ -275,7 +275,7 @@ def mapping_by_sparql(spark, sf):
     m, taxon = Q.part_mapping(spark, sf), F.col("WdID")
     columns = [triples.literal(taxon, WDT + p, F.col(c)) for c, p in zip(V.ID_COLUMNS, V.ID_PROPERTIES, strict=True)]
     stated = triples.emitted(m, [triples.iri(taxon, WDT + "P31", V.WD + "Q16521"), triples.literal(taxon, WDT + "P225", F.col("WdName")), *columns], "mapping")
-    return sparql.sparql(Q.loaded(spark, stated), sparql_http.mapping_query()).select("WdID", "WdName", "eol", "gbif", "ncbi", "eppo")
+    return sparql.sparql(stars.write_stars(stated.select("s", "p", "o", "o_kind"), place(spark, "stars")), sparql_http.mapping_query()).select("WdID", "WdName", "eol", "gbif", "ncbi", "eppo")
 
 
 @query("lineage_by_sparql", f"""
@@ -289,7 +289,7 @@ def lineage_by_sparql(spark, sf):
     rows = parts.join(known, "up", "left")
     me = entity(F.col("p_partkey"))
     made = [triples.iri(me, WDT + "P31", V.WD + "Q16521"), triples.literal(me, WDT + "P225", F.col("p_name")), triples.iri(me, WDT + "P105", F.concat(F.lit("http://size/"), "p_size")), triples.iri(me, WDT + "P171", F.when(F.col("has_up") & (F.col("up") > 0), entity(F.col("up"))))]
-    return sparql.sparql(Q.loaded(spark, triples.emitted(rows, made, "lineage")), sparql_http.lineage_query())
+    return sparql.sparql(Q.stored(spark, triples.emitted(rows, made, "lineage")), sparql_http.lineage_query())
 
 
 # --- names, networks and statistics -------------------------------------------------------------
