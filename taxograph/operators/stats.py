@@ -36,8 +36,58 @@ def mean_sd(df: DataFrame, group: str, value: str) -> DataFrame:
     return df.groupBy(group).agg(F.avg(value).alias("mean"), F.stddev_samp(value).alias("sd"), F.count(value).alias("n"))
 
 
+#: A round cuts the values that are left into so many bins; as few values as FEW are sorted at once.
+BINS, FEW = 4096, 10_000
+
+
+def kth_values(df: DataFrame, value: str, ranks: list[int]) -> list[float]:
+    """The values at some ranks (from 0) in ascending order; NaN comes last. Null values are left out before.
+
+    Each round counts the values between two bounds by bin and goes on in the bin that holds the rank,
+    between the least and the greatest value in it, so that equal values end it at once. The driver sees
+    BINS rows a round or FEW values, a task no more than its share of the rows.
+    """
+    v = F.col(value)
+    rows = df.select(v.cast("double").alias("v")).filter("v is not null")
+    low_end, high_end = F.lit(float("-inf")), F.lit(float("inf"))
+    ends = rows.agg(F.count_if(F.col("v") == low_end), F.count_if(~F.col("v").isin(float("-inf"), float("inf")) & ~F.isnan("v")), F.count_if(F.col("v") == high_end)).first()
+    finite = rows.filter((F.col("v") > low_end) & (F.col("v") < high_end))
+    return [_kth(finite, k, *ends) for k in ranks]
+
+
+def _kth(finite: DataFrame, k: int, below: int, n: int, above: int) -> float:
+    if not below <= k < below + n:
+        return float("-inf") if k < below else float("inf") if k < below + n + above else float("nan")
+    k -= below
+    low, high = finite.agg(F.min("v"), F.max("v")).first()
+    while low < high:
+        inside = finite.filter((F.col("v") >= low) & (F.col("v") <= high))
+        if n <= FEW:
+            return sorted(r[0] for r in inside.collect())[k]
+        width = high / BINS - low / BINS
+        at = F.least(F.floor((F.col("v") / width) - low / width), F.lit(BINS - 1)) if width > 0 else F.when(F.col("v") > low, 1).otherwise(0)
+        bins = sorted(inside.groupBy(at.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).collect())
+        for one in bins:
+            if k < one["n"]:
+                break
+            k -= one["n"]
+        if (one["low"], one["high"]) == (low, high):  # too close for bins: take the least value off
+            least = inside.filter(F.col("v") == low).count()
+            if k < least:
+                return low
+            k, n = k - least, n - least
+            low = inside.filter(F.col("v") > low).agg(F.min("v")).first()[0]
+        else:
+            low, high, n = one["low"], one["high"], one["n"]
+    return low
+
+
 def median_of(df: DataFrame, value: str) -> DataFrame:
-    return df.agg(F.median(value).alias("median"))
+    """(median): exact, the mean of both middle values of an even number; null without values."""
+    n = df.select(F.count(value)).first()[0]
+    middle = sorted({(n - 1) // 2, n // 2}) if n else []
+    found = kth_values(df, value, middle)
+    return df.sparkSession.createDataFrame([(sum(found) / len(found) if found else None,)], "median double")
 
 
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:

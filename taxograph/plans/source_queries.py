@@ -237,6 +237,37 @@ def streamed_triples(spark, sf):
     return sinks.read_triples(spark, done).select("s", "p", "o")
 
 
+@query("streamed_first", f"""
+SELECT 'http://c/' || c_custkey AS s, '{V.RDF}type' AS p, 'http://segment/' || c_mktsegment AS o FROM customer WHERE c_mktsegment IS NOT NULL
+UNION SELECT 'http://segment/' || c_mktsegment, '{V.RDFS}label', arg_min(c_name, c_custkey) FROM customer WHERE c_mktsegment IS NOT NULL GROUP BY c_mktsegment
+UNION SELECT 'http://segment/' || c_mktsegment, '{V.RDF}type', 'http://segment' FROM customer WHERE c_mktsegment IS NOT NULL""")
+def streamed_first(spark, sf):
+    """Customers in three landings, each followed by a new start of both streams."""
+    rows = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_name", F.col("c_custkey").alias("row_id"))
+    source, landed, out, checkpoint = (place(spark, n) for n in ("landing", "batches", "first", "offsets"))
+    segment = F.concat(F.lit("http://segment/"), "c_mktsegment")
+
+    def build(df):
+        linked = triples.emitted(df, [triples.iri(F.concat(F.lit("http://c/"), "c_custkey"), V.RDF + "type", segment)], "stream")
+        return triples.as_set(linked.unionByName(triples.typed_once(df.select(segment.alias("iri"), F.col("c_name").alias("label"), "row_id"), "http://segment", "stream")), "stream")
+
+    schema, most = rows.schema.simpleString()[7:-1].replace(":", " "), rows.agg(F.max("c_custkey")).first()[0] or 0
+    for k in range(3):
+        rows.filter(f"c_custkey * 3 div {most + 1} = {k}").write.mode("append").parquet(source)
+        incremental.stream_triples(incremental.records_stream(spark, source, schema), build, landed, f"{checkpoint}/records").awaitTermination()
+        for running in incremental.stream_first(spark, landed, out, checkpoint):
+            running.awaitTermination()
+    return incremental.read_first(spark, out).select("s", "p", "o")
+
+
+@query("row_numbers", "SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS row_id, p_partkey::VARCHAR AS p_partkey, p_name FROM part")
+def row_numbers(spark, sf):
+    """Parts in seven files, ordered by key over the files' names."""
+    path = place(spark, "numbered")
+    sinks.write_delimited(table(spark, sf, "part").select("p_partkey", "p_name").repartitionByRange(7, "p_partkey").sortWithinPartitions("p_partkey"), path, gzip=True)
+    return readers.delimited(spark, path).select("row_id", "p_partkey", "p_name")
+
+
 # --- entities and fetched queries ---------------------------------------------------------------
 
 

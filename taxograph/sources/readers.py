@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 from pyspark.sql import types as T
 
 from taxograph import vocab as V
@@ -52,22 +53,41 @@ def delimited(
     """A delimited text file with a header, plain or compressed.
 
     columns: those to keep, checked by name. keep_na: leave textual nulls as they are. row_id adds the
-    order of the scan. spread: number of partitions to deal the rows out to. multiline: quoted values may
+    number of the row, from 0 without gaps over all files in the order of their names. spread: number of partitions to deal the rows out to. multiline: quoted values may
     hold line ends; each file is then one task.
     """
     reader = spark.read.option("header", True).option("sep", sep).option("encoding", encoding).option("inferSchema", False)
     reader = reader.option("quote", '"' if quoting else "").option("escape", '"' if quoting else "").option("multiLine", multiline)
     df = reader.csv(path)
-    df = df.toDF(*[S.clean_column_name(c) for c in df.columns])
+    if row_id:
+        df, numbers = _with_places(df)
+    places = [c for c in PLACES if row_id]
+    df = df.toDF(*[c if c in places else S.clean_column_name(c) for c in df.columns])
     if columns:
-        df = require_columns(df, columns, path).select(*columns)
+        df = require_columns(df, columns, path).select(*columns, *places)
     if not keep_na:
-        df = df.select(*[S.na(F.col(f"`{c}`")).alias(c) for c in df.columns])
+        df = df.select(*[F.col(c) if c in places else S.na(F.col(f"`{c}`")).alias(c) for c in df.columns])
     if row_id:
-        df = df.withColumn("row_id", F.monotonically_increasing_id())
+        df = df.join(numbers, ["__file", "__block"]).withColumn("row_id", F.col("__at") + F.col("__shift")).drop(*PLACES, "__shift")
     return df.repartition(spread) if spread else df
 
 
+PLACES = ("__file", "__block", "__at")
+
+
+def _with_places(scan: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A scan of files with each row's place, and what turns places into row numbers.
+
+    A task reads a range of a file front to back, so that the rows of a range have consecutive ids; ranges
+    are ordered by file and start. Numbers do not depend on how files are cut or dealt to tasks. One task
+    adds up a row a range.
+    """
+    placed = scan.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__at"))
+    ranges = placed.groupBy("__file", "__block").agg(F.count(F.lit(1)).alias("n"), F.min("__at").alias("low"))
+    before = F.sum("n").over(W.orderBy("__file", "__block")) - F.col("n")
+    return placed, ranges.select("__file", "__block", (before - F.col("low")).alias("__shift"))
+
+
 def mapping_table(spark: SparkSession, path: str) -> DataFrame:
     """Entity, its fifteen external identifiers and its name."""
     return delimited(spark, path, columns=MAPPING_COLUMNS)

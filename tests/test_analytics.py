@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 
 import numpy as np
 import pandas as pd
@@ -75,3 +76,16 @@ def test_trait_matrix_and_histogram(spark):
     h = stats.histogram(spark.createDataFrame([(0.0,), (1.0,), (10.0,), (None,)], "v double"), "v", 5).orderBy("bin").collect()
     assert [r.n for r in h] == [2, 0, 0, 0, 1]
     assert stats.histogram(spark.createDataFrame([], "v double"), "v", 5).count() == 0
+
+
+@pytest.mark.parametrize("few", [2, 10_000])
+def test_median_by_refined_bins(spark, monkeypatch, few):
+    monkeypatch.setattr(stats, "FEW", few)
+    rng, inf = random.Random(2), float("inf")
+    cases = [[], [None], [3.0], [1.0, 2.0], [5.0] * 50, [1e308, -1e308, 0.0, 1e-308], [1.0, 1.0 + 2**-52, 1.0 + 2**-51, 7.0], [-inf, -inf, 1.0, 2.0], [inf, inf, 1.0], [rng.gauss(0, 1e6) for _ in range(501)], [float(rng.randrange(5)) for _ in range(200)] + [None] * 7, [rng.lognormvariate(0, 9) for _ in range(300)]]
+    for values in cases:
+        held = sorted(v for v in values if v is not None)
+        expected = None if not held else held[len(held) // 2] if len(held) % 2 else (held[len(held) // 2 - 1] + held[len(held) // 2]) / 2
+        assert stats.median_of(spark.createDataFrame([(v,) for v in values], "v double").repartition(3), "v").first()[0] == expected, values[:5]
+    nan = spark.createDataFrame([(float("nan"),), (1.0,), (2.0,)], "v double")
+    assert stats.kth_values(nan, "v", [0, 1]) == [1.0, 2.0] and stats.kth_values(nan, "v", [2])[0] != stats.kth_values(nan, "v", [2])[0]

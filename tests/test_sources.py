@@ -174,3 +174,32 @@ def test_quoted_line_ends(spark, tmp_path):
 def test_dictionary_without_its_column_is_empty(spark, tmp_path):
     path = put(tmp_path / "dict.csv", "a,b\n1,2\n")
     assert readers.dictionary(spark, path, "a", "c").count() == 0
+
+
+def test_row_numbers_have_no_gaps_however_files_are_cut(spark, tmp_path):
+    (tmp_path / "files").mkdir()
+    for name, n in (("b.csv", 400), ("a.csv", 3), ("c.csv", 0), ("d.csv", 900)):
+        put(tmp_path / "files" / name, "k,v\n" + "".join(f"{name}{k},{'x' * (k % 50)}\n" for k in range(n)))
+    expected = [f"{name}{k}" for name, n in (("a.csv", 3), ("b.csv", 400), ("d.csv", 900)) for k in range(n)]
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    try:
+        for size in ("1000", "5000", before):
+            spark.conf.set(key, size)
+            got = readers.delimited(spark, str(tmp_path / "files")).collect()
+            assert sorted((r.row_id, r.k) for r in got) == list(enumerate(expected))
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_streamed_firsts_outlive_restarts(spark, tmp_path):
+    schema = "s string, o string, name string, row_id long"
+    land, landed, out, checkpoint = (str(tmp_path / n) for n in ("land", "batches", "first", "cp"))
+    build = lambda df: triples.as_set(triples.emitted(df, [triples.iri(F.col("s"), "p", F.col("o"))], "x").unionByName(triples.typed_once(df.select(F.col("o").alias("iri"), F.col("name").alias("label"), "row_id"), "kind", "x")), "x")
+    for part in ([("a", "b", "second", 5), ("c", "b", "first", 2)], [("a", "b", "later", 0), ("d", "e", None, 7)], [("d", "e", "named", 8), ("d", "e", "too late", 9)]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(land)
+        incremental.stream_triples(incremental.records_stream(spark, land, schema), build, landed, checkpoint + "/records").awaitTermination()
+        for running in incremental.stream_first(spark, landed, out, checkpoint):
+            running.awaitTermination()
+    got = sorted((r.s, r.p, r.o) for r in incremental.read_first(spark, out).collect())
+    assert got == sorted([("a", "p", "b"), ("c", "p", "b"), ("d", "p", "e"), ("b", V.RDF + "type", "kind"), ("e", V.RDF + "type", "kind"), ("b", V.RDFS + "label", "first"), ("e", V.RDFS + "label", "named")])
