@@ -212,7 +212,8 @@ def proofs(df: DataFrame, id_col: str = "doc_id", group_col: str = "source", fie
     trees = forest(_with_key(df, group_col, fields, carried), ["id"], fanout)
     crown = forest(trees.roots.select(F.lit("").alias("key"), F.col("root").alias("digest"), F.col("key").alias("group")), ["group"], fanout)
     root = crown.roots.select("root").first()
-    above = paths(crown).select(F.col("group").alias("key"), "path")
+    # stored, so that the plan of the documents' paths does not hold that of the groups'
+    above = staged(paths(crown).select(F.col("group").alias("key"), "path"), "above")
     found = paths(trees, above)
     return found.select(F.col("id").alias(id_col), F.col("digest").alias("leaf"), "altered", F.col("root").alias("subroot"), F.lit(root["root"] if root else None).cast("string").alias("root"), "path")
 
