@@ -6,7 +6,10 @@ The reference model of sentence embeddings is not available offline. HashedTrigr
 
 from __future__ import annotations
 
+import math
+import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -14,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from taxograph.functions import scalars as S
+from taxograph.plans.session import shared_dir
 
 Embedder = Callable[[list[str]], np.ndarray]
 
@@ -57,55 +61,137 @@ def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / F.nullif(F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)), F.lit(0.0))
 
 
-#: A part of the labels holds at most this many vector values in all (128 MB as doubles).
-MOST_VALUES = 1 << 24
+#: Pivots that labels gather around, at most; labels in a block, about; terms in a pack.
+PIVOTS, BLOCK_LABELS, PACK = 1024, 1024, 512
 
 
-def best_matches(terms: DataFrame, labels: DataFrame, keys: list[str], label_columns: list[str], vector: str = "vector", order: str = "label_id", exclude_equal: tuple[str, str] | None = None, decimals: int | None = None) -> DataFrame:
+def _units(vectors: pd.Series) -> np.ndarray:
+    m = np.stack(vectors.to_numpy()).astype("f8")
+    return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
+
+
+def _angles(cosines: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(cosines, -1.0, 1.0))
+
+
+@dataclass
+class Blocks:
+    """Labels stored by block: a pivot and the labels nearest to it, within an angle of it.
+
+    frame: (block, part, ids, bars, matrix), a row a part; about BLOCK_LABELS labels a part. pivots, radius
+    and parts are numbers of the blocks, PIVOTS at most whatever the labels are.
+    """
+
+    frame: DataFrame
+    pivots: np.ndarray
+    ids: list
+    barred: np.ndarray | None
+    radius: np.ndarray
+    parts: np.ndarray
+
+
+def label_blocks(labels: DataFrame, vector: str, order: str, barred: str | None = None) -> Blocks:
+    """Cut labels into blocks around some of them, chosen by hash, and store them in the shared folder."""
+    spark = labels.sparkSession
+    root = f"{shared_dir(spark)}/labels-{uuid.uuid4().hex}"
+    rows = labels.select(F.col(order).alias("id"), F.col(vector).alias("vector"), F.col(barred or order).alias("barred")).filter(F.size("vector") > 0)
+    rows.write.parquet(f"{root}/rows")
+    rows = spark.read.parquet(f"{root}/rows")
+    few = rows.orderBy(F.xxhash64("id"), "id").limit(min(PIVOTS, math.isqrt(rows.count()) + 1)).toPandas()  # PIVOTS rows at most
+    if not len(few):
+        return Blocks(rows, np.empty((0, 0)), [], None, np.empty(0), np.empty(0, "i8"))
+    pivots, kind = _units(few["vector"]), rows.schema["id"].dataType.simpleString()
+
+    def assign(batches):
+        for b in batches:
+            if len(b):
+                c = _units(b["vector"]) @ pivots.T
+                yield pd.DataFrame({"id": b["id"], "vector": b["vector"], "barred": b["barred"], "block": c.argmax(axis=1).astype("i4"), "angle": _angles(c.max(axis=1))})
+
+    rows.mapInPandas(assign, f"id {kind}, vector {rows.schema['vector'].dataType.simpleString()}, barred {rows.schema['barred'].dataType.simpleString()}, block int, angle double").write.parquet(f"{root}/assigned")
+    near = spark.read.parquet(f"{root}/assigned")
+    radius, parts = np.full(len(few), -1.0), np.zeros(len(few), "i8")
+    for r in near.groupBy("block").agg(F.count(F.lit(1)).alias("n"), F.max("angle").alias("radius")).collect():  # a row a pivot
+        radius[r["block"]], parts[r["block"]] = r["radius"], -(-r["n"] // BLOCK_LABELS)
+    of = F.element_at(F.array(*[F.lit(int(n)) for n in parts]), F.col("block") + 1)
+    cut = near.withColumn("part", F.pmod(F.xxhash64("id"), F.greatest(of, F.lit(1))).cast("int"))
+    blocks = cut.groupBy("block", "part").agg(F.array_sort(F.collect_list(F.struct("id", "vector", "barred"))).alias("l"))
+    blocks.select("block", "part", F.col("l.id").alias("ids"), F.col("l.barred").alias("bars"), F.flatten("l.vector").alias("matrix")).write.parquet(f"{root}/blocks")
+    return Blocks(spark.read.parquet(f"{root}/blocks"), pivots, few["id"].tolist(), few["barred"].to_numpy(), radius, parts)
+
+
+def best_matches(terms: DataFrame, labels: DataFrame, keys: list[str], label_columns: list[str], vector: str = "vector", order: str = "label_id", exclude_equal: tuple[str, str] | None = None, decimals: int | None = None, report: dict | None = None) -> DataFrame:
     """(keys..., label columns..., score): for each term the label of highest cosine; of equals the first by order.
 
-    Terms stay where they are and labels come to them in parts of bounded size, a part per pass; each
-    pass multiplies Arrow batches with the part's matrix. The best of the parts is taken at the end.
-    decimals rounds scores before they are compared. exclude_equal: (term column, label column) that
-    must differ.
+    Labels are stored in blocks. A term meets only the blocks that can hold its best label: the angle to
+    a block's pivot less the block's radius bounds every cosine in it, and the best pivot, a label itself,
+    gives a score to beat. Terms go in packs to the blocks that they need by an equi-join, so no side is
+    gathered; the best of a term's blocks is taken at the end. Zero vectors have cosine 0 with all.
+
+    order: unique ids of the labels, numbers. decimals rounds scores before they are compared.
+    exclude_equal: (term column, label column) that must differ. report: gets the pairs of terms and
+    blocks in all and those that met.
     """
-    rows = labels.select(*label_columns, order, vector).filter(F.size(vector) > 0)
-    width, n = rows.agg(F.coalesce(F.max(F.size(vector)), F.lit(1)), F.count(F.lit(1))).first()
-    parts = max(1, -(-n * width // MOST_VALUES))
-    fields = [f for f in labels.schema.fields if f.name in label_columns]
-    own = [f for f in terms.schema.fields if f.name in keys]
-    shape = lambda fs: ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fs)
-    out = None
-    for p in range(parts):
-        part = (rows if parts == 1 else rows.filter(F.pmod(F.xxhash64(order), F.lit(parts)) == p)).orderBy(order).toPandas()
-        matrix = np.array(part[vector].tolist(), dtype="f8").reshape(-1, width)
-        matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-300)
-        barred = None if exclude_equal is None else part[exclude_equal[1]].to_numpy()
-
-        def match(batches, part=part, matrix=matrix, barred=barred):
-            for b in batches:
-                b = b[b[vector].notna()]
-                if not len(b) or not len(part):
-                    continue
-                q = np.array(b[vector].tolist(), dtype="f8")
-                s = q @ matrix.T / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-300)
+    spark = terms.sparkSession
+    blocks = label_blocks(labels, vector, order, exclude_equal and exclude_equal[1])
+    root = f"{shared_dir(spark)}/terms-{uuid.uuid4().hex}"
+    own = terms.select(*keys, F.col(vector).alias("__vector"), (F.col(exclude_equal[0]) if exclude_equal else F.lit(None).cast("long")).alias("__barred")).filter(F.size("__vector") > 0)
+    own.withColumn("__term", F.monotonically_increasing_id()).write.parquet(f"{root}/rows")
+    own = spark.read.parquet(f"{root}/rows")
+    names, kinds = [f.name for f in labels.schema.fields if f.name in label_columns], {f.name: f.dataType.simpleString() for f in own.schema.fields}
+    pivots, radius, parts, pivot_barred = blocks.pivots, blocks.radius, blocks.parts, blocks.barred
+    slack = 1e-9 + (0.0 if decimals is None else 10.0**-decimals)
+
+    def send(batches):
+        for b in batches:
+            if not len(b) or not len(pivots):
+                continue
+            u = _units(b["__vector"])
+            c = u @ pivots.T
+            known = np.where(b["__barred"].to_numpy()[:, None] == pivot_barred[None, :], -2.0, c) if exclude_equal else c
+            beat = known.max(axis=1) - slack
+            needed = (np.cos(np.maximum(_angles(c) - radius[None, :], 0.0)) >= beat[:, None]) & (parts > 0)[None, :]
+            out = []
+            for block in np.flatnonzero(needed.any(axis=0)).tolist():
+                which = np.flatnonzero(needed[:, block])
+                for at in range(0, len(which), PACK):
+                    some = which[at : at + PACK]
+                    for part in range(parts[block]):
+                        out.append((block, part, b["__term"].to_numpy()[some], u[some].astype("f8").tobytes(), b["__barred"].to_numpy()[some]))
+            if out:
+                yield pd.DataFrame(out, columns=["block", "part", "terms", "units", "barred"])
+
+    packs = own.select("__term", "__vector", "__barred").mapInPandas(send, f"block int, part int, terms array<bigint>, units binary, barred array<{kinds['__barred']}>")
+    packs.write.parquet(f"{root}/packs")
+    packs = spark.read.parquet(f"{root}/packs")
+    if report is not None:
+        report |= {"pairs": own.count() * int((parts > 0).sum()), "met": packs.filter("part = 0").agg(F.coalesce(F.sum(F.size("terms")), F.lit(0))).first()[0]}
+
+    def score(batches):
+        for b in batches:
+            found = []
+            for ids, bars, matrix, who, units, barred in zip(*(b[c] for c in ("ids", "bars", "matrix", "terms", "units", "barred")), strict=True):
+                m = np.asarray(matrix, dtype="f8").reshape(len(ids), -1)
+                m = m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
+                s = np.frombuffer(units, "f8").reshape(len(who), -1) @ m.T
                 if decimals is not None:
                     s = np.round(s, decimals)
-                if barred is not None:
-                    s[b[exclude_equal[0]].to_numpy()[:, None] == barred[None, :]] = -np.inf
+                if exclude_equal:
+                    s[np.asarray(barred)[:, None] == np.asarray(bars)[None, :]] = -np.inf
                 at = s.argmax(axis=1)
-                found = part.iloc[at].reset_index(drop=True)
-                made = {k: b[k].to_numpy() for k in keys} | {f.name: found[f.name] for f in fields} | {"score": s[np.arange(len(b)), at], "at": found[order]}
-                made = pd.DataFrame(made)
+                found.append(pd.DataFrame({"__term": who, "at": np.asarray(ids)[at], "score": s[np.arange(len(at)), at]}))
+            if found:
+                made = pd.concat(found)
                 yield made[np.isfinite(made["score"])]
 
-        kind = labels.schema[order].dataType.simpleString()
-        one = terms.select(*keys, vector).mapInPandas(match, f"{shape(own)}, {shape(fields)}, score double, at {kind}")
-        out = one if out is None else out.unionByName(one)
-    names = [f.name for f in fields]
-    if parts > 1:
-        best = out.groupBy(*keys).agg(F.max_by(F.struct(*names, "score"), F.struct("score", -F.col("at"))).alias("__b"))
-        out = best.select(*keys, *[F.col(f"__b.{n}").alias(n) for n in names], F.col("__b.score").alias("score"))
+    kind = labels.schema[order].dataType.simpleString()
+    if not blocks.ids:
+        found = spark.createDataFrame([], f"__term bigint, at {kind}, score double")
+    else:
+        found = packs.join(blocks.frame, ["block", "part"]).mapInPandas(score, f"__term bigint, at {kind}, score double")
+    top = found.groupBy("__term").agg(F.max("score").alias("score"))
+    best = found.join(top, ["__term", "score"]).groupBy("__term", "score").agg(F.min("at").alias(order))
+    out = own.select("__term", *keys).join(best, "__term").join(labels.select(order, *[c for c in names if c != order and c not in keys]), order)
     return out.select(*keys, *names, "score")
 
 
@@ -117,5 +203,7 @@ def match_terms(lines: DataFrame, ontology: DataFrame, embedder: Embedder | None
     embedder = embedder or HashedTrigrams()
     terms = lines.select(F.explode(S.split_terms(F.col("line"))).alias("term"))
     terms = embedded(terms.withColumn("term_id", F.monotonically_increasing_id()), "term", embedder)
-    labels = embedded(ontology.withColumn("label_id", F.monotonically_increasing_id()), "label", embedder)
+    root = f"{shared_dir(lines.sparkSession)}/embedded-{uuid.uuid4().hex}"  # stored, so that labels keep their numbers
+    embedded(ontology.withColumn("label_id", F.monotonically_increasing_id()), "label", embedder).write.parquet(root)
+    labels = lines.sparkSession.read.parquet(root)
     return best_matches(terms, labels, ["term_id", "term"], ["label", "main_label", "uri"]).drop("term_id")

@@ -8,6 +8,7 @@ import threading
 from http.server import BaseHTTPRequestHandler, HTTPServer
 from urllib.parse import parse_qs, urlparse
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -75,10 +76,31 @@ def test_matching_in_parts(spark, monkeypatch):
     v = spark.createDataFrame([(k, [float(k % 5), 1.0, float(k % 3)]) for k in range(40)], "k long, vector array<double>")
     labels = v.select(F.col("k").alias("best"), F.col("k").alias("label_id"), "vector")
     whole = {tuple(r) for r in semantic.best_matches(v, labels, ["k"], ["best"], decimals=9).collect()}
-    monkeypatch.setattr(semantic, "MOST_VALUES", 30)
+    for name, n in (("BLOCK_LABELS", 3), ("PIVOTS", 5), ("PACK", 2)):
+        monkeypatch.setattr(semantic, name, n)
     assert {tuple(r) for r in semantic.best_matches(v, labels, ["k"], ["best"], decimals=9).collect()} == whole
 
 
+def test_blocks_of_labels_are_skipped(spark):
+    """Clustered vectors: the same answers as a full product, most blocks never met."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(30, 16))
+    make = lambda n: [(k, (centres[k % 30] + rng.normal(scale=0.02, size=16)).tolist()) for k in range(n)]
+    labels, terms = make(600) + [(700, [0.0] * 16), (701, None), (702, [])], make(90) + [(91, [0.0] * 16), (92, None)]
+    frame = lambda rows, name: spark.createDataFrame([(k, f"n{k % 7}", v) for k, v in rows], f"{name} long, name string, vector array<double>")
+    for barred in (None, ("name", "tag")):
+        report, lf = {}, frame(labels, "label_id").withColumnRenamed("name", "tag")
+        got = {r.k: (r.label_id, r.tag, r.score) for r in semantic.best_matches(frame(terms, "k"), lf, ["k"], ["label_id", "tag"], exclude_equal=barred, decimals=6, report=report).collect()}
+        unit = lambda v: np.array(v) / max(np.linalg.norm(v), 1e-300)
+        held = [(k, unit(v)) for k, v in labels if v]
+        for k, v in terms:
+            if v:
+                best = max((round(float(unit(v) @ u), 6), -i) for i, u in held if barred is None or i % 7 != k % 7)
+                assert (got[k][0], got[k][1]) == (-best[1], f"n{-best[1] % 7}") and abs(got[k][2] - best[0]) < 2e-6
+        assert len(got) == 91 and report["met"] < report["pairs"] / 3, report
+    assert semantic.best_matches(frame(terms, "k"), frame(labels, "label_id").withColumnRenamed("name", "tag").limit(0), ["k"], ["tag"]).count() == 0
+
+
 class Endpoint(BaseHTTPRequestHandler):
     def do_GET(self):  # noqa: N802
         query = parse_qs(urlparse(self.path).query)["query"][0]
