@@ -12,7 +12,7 @@ predicates (p, name, triples, subjects, objects), others (the terms with odd ids
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,8 +51,9 @@ def write_store(triples: DataFrame, path: str, bits: int = 64) -> Store:
     spark = triples.sparkSession
     triples.select("s", "p", "o", "o_kind", "o_dtype").write.mode("overwrite").parquet(f"{path}/statements")
     triples = spark.read.parquet(f"{path}/statements")
-    subject, predicate, object_ = _ends(bits)
-    terms = triples.select(F.explode(F.array(subject, predicate, object_)).alias("t")).select("t.*").distinct()
+    # each end made distinct on its own columns first: most triples share their ends with others
+    ends = zip((["s"], ["p"], ["o", "o_kind", "o_dtype"]), _ends(bits), strict=True)
+    terms = reduce(DataFrame.union, [triples.select(*columns).distinct().select(end.alias("t")).select("t.*") for columns, end in ends]).distinct()
     terms.write.mode("overwrite").parquet(f"{path}/hashed")
     terms = spark.read.parquet(f"{path}/hashed")
     shared = terms.groupBy("id").count().filter("count > 1").select("id")
