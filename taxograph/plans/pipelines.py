@@ -14,18 +14,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from taxograph.operators import lineage, resolve, semantic, terms, triples
-from taxograph.sources import readers, sinks, sparql_http
+from taxograph.sources import landing, readers, sinks, sparql_http
 
 LOG = logging.getLogger("taxograph")
 
 
-def fetch(spark: SparkSession, endpoint: str, out: str) -> dict[str, str]:
-    """Fetch the mapping and the lineages, align the lineages and find ambiguous names; the paths written."""
+def fetch(spark: SparkSession, endpoint: str, out: str, page_rows: int | None = None) -> dict[str, str]:
+    """Fetch the mapping and the lineages, align the lineages and find ambiguous names; the paths written.
+
+    With page_rows the answers land in ordered pages under `out`, and a repeated call fetches only the missing ones.
+    """
     spark.dataSource.register(sparql_http.SparqlSource)
-    load = lambda q: spark.read.format("sparql").option("endpoint", endpoint).option("query", q).load()
+
+    def load(q: str, name: str) -> DataFrame:
+        if page_rows is None:
+            return spark.read.format("sparql").option("endpoint", endpoint).option("query", q).load()
+        ordered = f"{q}\nORDER BY {' '.join('?' + v for v in sparql_http.variables(q))}"
+        return landing.land(spark, endpoint, ordered, f"{out}/landed/{name}", int(page_rows)).drop("row_id")
+
     paths = {k: f"{out}/{k}" for k in ("mapping", "lineage_long", "lineage", "repeats")}
-    sinks.write_delimited(load(sparql_http.mapping_query()), paths["mapping"], gzip=True)
-    sinks.write_delimited(load(sparql_http.lineage_query()), paths["lineage_long"], gzip=True)
+    sinks.write_delimited(load(sparql_http.mapping_query(), "mapping"), paths["mapping"], gzip=True)
+    sinks.write_delimited(load(sparql_http.lineage_query(), "lineage"), paths["lineage_long"], gzip=True)
     shape(spark, paths["lineage_long"], paths["lineage"], paths["repeats"])
     return paths
 

@@ -17,7 +17,7 @@ from taxograph.plans import pipelines
 from taxograph.plans import queries as Q
 from taxograph.plans.queries import query, rounded, table
 from taxograph.plans.session import shared_dir
-from taxograph.sources import readers, sinks, sparql_http
+from taxograph.sources import diagrams, readers, sinks, sparql_http
 from taxograph.streaming import incremental
 
 
@@ -337,6 +337,28 @@ def curie_links(spark, sf):
     return table(spark, sf, "part").select("p_partkey", S.link_curies(text).alias("markup"))
 
 
+#: Labels by key: an entity, one with inner markup, a linked one, none that is known.
+LABELS = """CASE p_partkey % 4 WHEN 0 THEN '<b>emi:Part_' || p_partkey || ' (optional)</b>' WHEN 1 THEN p_name || ' & <font color="#1"><i>sosa:Sample (emi:Y)</i></font> "' WHEN 2 THEN '<a href="x">emi:A</a> <b>emi:B</b>' ELSE 'emi:Bare <div>none:' || p_partkey || '</div>' END"""
+
+
+@query("diagram_links", f"""
+SELECT 'c' || p_partkey AS id, CASE p_partkey % 4 WHEN 0 THEN '<b><a href="{V.EMI}Part_' || p_partkey || '">emi:Part_' || p_partkey || ' (optional)</a></b>'
+WHEN 1 THEN p_name || ' & <font color="#1"><a href="{V.SOSA}Sample"><i>sosa:Sample (emi:Y)</i></a></font> "' WHEN 2 THEN '<a href="x">emi:A</a> <b>emi:B</b>' ELSE 'emi:Bare <div>none:' || p_partkey || '</div>' END AS value,
+CASE WHEN p_partkey % 3 = 0 THEN 'value=''no''' END AS style FROM part
+UNION ALL SELECT DISTINCT 'root' || p_partkey // 40, NULL, NULL FROM part""")
+def diagram_links(spark, sf):
+    """Parts as the cells of diagrams of forty, written, linked, written again and read as cells."""
+    rows = table(spark, sf, "part").select("p_partkey", F.expr("p_partkey div 40").alias("diagram"), F.expr(LABELS).alias("label"))
+    style = F.when(F.col("p_partkey") % 3 == 0, " style=\"value='no'\"").otherwise("")
+    cell = F.concat(F.lit('<mxCell id="c'), "p_partkey", F.lit('"'), style, F.lit(' value="'), diagrams.escaped(F.col("label")), F.lit('" vertex="1">\n<mxGeometry as="geometry"/></mxCell>'))
+    cells = rows.select("diagram", F.struct("p_partkey", cell.alias("text")).alias("cell")).groupBy("diagram").agg(F.sort_array(F.collect_list("cell"))["text"].alias("texts"))
+    document = F.concat(F.lit('<mxfile><diagram><mxGraphModel><root><mxCell id="root'), "diagram", F.lit('"/>'), F.array_join("texts", "\n"), F.lit("</root></mxGraphModel></diagram></mxfile>"))
+    drawn, linked = place(spark, "drawn"), place(spark, "linked")
+    diagrams.write_documents(cells.select(F.col("diagram").cast("string").alias("name"), document.alias("document")), drawn)
+    diagrams.write_documents(diagrams.link_cells(diagrams.read_documents(spark, drawn)), linked)
+    return diagrams.read_cells(spark, linked).select("id", "value", "style")
+
+
 @query("columns_in_order", "SELECT n_name AS name, CAST(NULL AS VARCHAR) AS rank, n_regionkey AS region FROM nation")
 def columns_in_order(spark, sf):
     rows = table(spark, sf, "nation").select(F.col("n_regionkey").alias("region"), F.col("n_name").alias("name"), "n_nationkey")

@@ -5,7 +5,8 @@ from __future__ import annotations
 import gzip
 import json
 import threading
-from http.server import BaseHTTPRequestHandler, HTTPServer
+from collections import Counter
+from http.server import BaseHTTPRequestHandler, HTTPServer, ThreadingHTTPServer
 from urllib.parse import parse_qs, urlparse
 
 import numpy as np
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from taxograph import vocab as V
 from taxograph.operators import semantic, triples
 from taxograph.plans import pipelines
-from taxograph.sources import readers, sinks, sparql_http
+from taxograph.sources import diagrams, landing, readers, sinks, sparql_http
 from taxograph.streaming import incremental
 
 
@@ -130,6 +131,98 @@ def test_sparql_source(spark):
     assert len(sparql_http.variables(sparql_http.mapping_query())) == 17 and "wdt:P171*" in sparql_http.lineage_query()
 
 
+class Breaking(BaseHTTPRequestHandler):
+    """Forty rows in pages; some answers break off, some fail."""
+
+    asked: list[int] = []
+    broken: dict[int, int] = {}
+
+    def do_GET(self):  # noqa: N802
+        query = parse_qs(urlparse(self.path).query)["query"][0]
+        size, offset = (int(query.rpartition(w)[2].split()[0]) for w in ("LIMIT ", "OFFSET "))
+        page, rows = offset // size, range(40)[offset : offset + size]
+        self.asked.append(page)
+        left = self.broken[page] = self.broken.get(page, 0) - 1
+        if left >= 0 and page == 1:
+            self.send_error(500)
+            return
+        if "json" in self.headers["Accept"]:
+            found = [{"a": {"value": str(k)}, "b": {"value": f'"], é{k}'}} if k % 2 else {"a": {"value": str(k)}} for k in rows]
+            body = json.dumps({"head": {"vars": ["a", "b"]}, "results": {"bindings": found}}, ensure_ascii=False).encode()
+        else:
+            body = ("a,b\r\n" + "".join(f'{k},"x ""y"",\r\né{k}"\r\n' if k % 2 else f"{k},\r\n" for k in rows)).encode()
+        self.send_response(200)
+        self.send_header("Content-Length", str(len(body)))
+        self.end_headers()
+        self.wfile.write(body[: len(body) // 2] if left >= 0 else body)
+
+    def log_message(self, *args):
+        pass
+
+
+@pytest.mark.parametrize("accept", ["text/csv", "application/sparql-results+json"])
+def test_landing_fetches_broken_pages_again_alone(spark, tmp_path, accept):
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Breaking)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    url, query, to = f"http://127.0.0.1:{server.server_port}/", "SELECT ?a ?b WHERE { ?a <p> ?b } ORDER BY ?a", str(tmp_path / "landed")
+    land = lambda: landing.land(spark, url, query, to, page_rows=6, wave=4, attempts=2, accept=accept)
+    Breaking.asked.clear()
+    Breaking.broken = {0: 1, 1: 1, 3: 9}
+    with pytest.raises(RuntimeError, match="3.*Error"):
+        land()
+    asked = Counter(Breaking.asked)
+    assert asked[0] == asked[1] == asked[3] == 2 and asked[2] == 1
+    Breaking.asked.clear()
+    Breaking.broken = {}
+    text = (lambda k: f'"], é{k}') if "json" in accept else (lambda k: f'x "y",\r\né{k}')
+    assert sorted(map(tuple, land().select("row_id", "a", "b").collect())) == [(k, str(k), text(k) if k % 2 else None) for k in range(40)]
+    assert not {0, 1, 2} & set(Breaking.asked) and 3 in Breaking.asked
+    Breaking.asked.clear()
+    assert land().count() == 40 and not Breaking.asked
+    Breaking.broken = {0: 9}
+    with pytest.raises(Exception, match="bytes came|broke off"):
+        spark.read.format("sparql").options(endpoint=url, query=query, page_rows="6", pages="0", accept=accept).load().collect()
+    server.shutdown()
+    with pytest.raises(ValueError, match="row_id"):
+        landing.landed(spark, "SELECT ?row_id WHERE { ?row_id ?p ?o }", to, 6)
+
+
+@pytest.mark.parametrize("size", [1, 2, 7, 1000])
+def test_bindings_come_whole_from_any_blocks(size):
+    found = [{"a": {"value": '}], "bindings": ['}}, {}, {"b": {"value": "\\u00e9 é"}}]
+    text = json.dumps({"head": {"vars": ["bindings", "b"]}, "results": {"distinct": False, "bindings": found}})
+    cut = lambda t: [t[k : k + size] for k in range(0, len(t), size)]
+    assert list(sparql_http.bindings_rows(cut(text), ["a", "b"])) == [('}], "bindings": [', None), (None, None), (None, "\\u00e9 é")]
+    assert list(sparql_http.bindings_rows(cut('{"results": {"bindings": []}}'), ["a"])) == []
+    for k in (5, text.index("[{") + 10, len(text) - 4):
+        with pytest.raises(EOFError):
+            list(sparql_http.bindings_rows(cut(text[:k]), ["a"]))
+    assert list(sparql_http.lines_of(cut("a\r\n b\n\nc"))) == ["a\r\n", " b\n", "\n", "c"]
+
+
+def test_diagrams_keep_all_but_linked_labels(spark, tmp_path):
+    known = {"emi": "http://e/"}
+    cases = {
+        None: None, "": "", "emi:A": "emi:A", "<b></b>": "<b></b>", "<b>http://emi:A</b>": "<b>http://emi:A</b>", "<b>no:A</b>": "<b>no:A</b>", "<b>emi:A</i>": "<b>emi:A</i>",
+        "<b> emi : A </b>": '<b><a href="http://e/A">emi : A</a></b>', "<DIV x='1'>emi:A:B</div>t": "<DIV x='1'><a href=\"http://e/A:B\">emi:A:B</a></DIV>t",
+        "<b>emi:A</b>,<i> emi:B(c)\n</i>": '<b><a href="http://e/A">emi:A</a></b>,<i><a href="http://e/B">emi:B(c)</a></i>',
+        "<span>emi:<u>A</u></span>": '<span><a href="http://e/A">emi:<u>A</u></a></span>', '<b>emi:A</b><a href="x">y</a>': '<b>emi:A</b><a href="x">y</a>', "<b>emi:A$1\\2</b>": '<b><a href="http://e/A$1\\2">emi:A$1\\2</a></b>',
+    }
+    rows = spark.createDataFrame([(v,) for v in cases], "v string").coalesce(1)
+    assert [r[0] for r in rows.select(diagrams.link_wrapped(F.col("v"), known)).collect()] == list(cases.values())
+    whole = """<?xml version="1.0"?>\n<mxfile><!-- &lt;b&gt;emi:A --><root><mxCell id="0"/>\n<mxCell style="a value='&lt;b&gt;emi:A&lt;/b&gt;'" value='&lt;b&gt;emi:A&#10;&lt;/b&gt; &quot;é&quot; &amp;amp;'  id="1"><g/></mxCell><mxCellX value="&lt;b&gt;emi:A&lt;/b&gt;"/></root></mxfile>\n"""
+    folder = tmp_path / "d"
+    folder.mkdir()
+    put(folder / "one.drawio.xml", whole)
+    put(folder / "two.xml", "")
+    got = {r.name: r.document for r in diagrams.link_cells(diagrams.read_documents(spark, str(folder)), known).collect()}
+    old, new = "'&lt;b&gt;emi:A&#10;&lt;/b&gt; &quot;é&quot; &amp;amp;'", '"&lt;b&gt;&lt;a href=&quot;http://e/A&quot;&gt;emi:A&lt;/a&gt;&lt;/b&gt; &quot;é&quot; &amp;amp;"'
+    assert got["one.drawio"] == whole.replace(old, new) and got.get("two", "") == ""
+    held = spark.createDataFrame([(n, whole) for n in ("007", "a=b/c é")], "name string, document string").coalesce(1)
+    diagrams.write_documents(held, str(tmp_path / "written"))
+    assert sorted(map(tuple, diagrams.read_documents(spark, str(tmp_path / "written")).collect())) == [(n, whole + "\n") for n in ("007", "a=b/c é")]
+
+
 @pytest.fixture
 def files(tmp_path):
     """Sources of a small world: two taxa, one interaction, one trait."""
