@@ -212,6 +212,15 @@ def turtle_file(spark, sf):
     return spark.read.text(f"{path}/1-statements")
 
 
+@query("turtle_document", f"""
+SELECT value, 'document.ttl.gz' AS file, false AS head FROM ({Q.ORACLE["turtle_lines"].replace(Q.RECORD_TRIPLES, Q.TRAIT_TRIPLES)}) AS statements
+UNION ALL SELECT '@prefix ' || prefix || ': <' || namespace || '> .', 'document.ttl.gz', true FROM (VALUES {PREFIX_ROWS}) AS p(prefix, namespace) UNION ALL SELECT '', 'document.ttl.gz', true""")
+def turtle_document(spark, sf):
+    """The lines of the document; what is declared first is its head, as one gzip file is one task."""
+    lines = spark.read.text(sinks.write_turtle_document(Q.part_triples(spark, sf), place(spark, "document")))
+    return lines.select("value", F.col("_metadata.file_name").alias("file"), (F.monotonically_increasing_id() <= len(V.PREFIXES)).alias("head"))
+
+
 @query("prefix_pairs", f"SELECT * FROM (VALUES {PREFIX_ROWS}) AS p(prefix, namespace)")
 def prefix_pairs(spark, sf):
     path = place(spark, "turtle")

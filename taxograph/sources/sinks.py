@@ -62,6 +62,41 @@ def write_turtle(triples: DataFrame, path: str, gzip: bool = True) -> None:
     turtle_lines(triples).write.mode("overwrite").options(**option).text(f"{path}/1-statements")
 
 
+def _fs(spark: SparkSession, path: str):
+    """The file system of a path, and a maker of its paths."""
+    make = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+
+
+def write_turtle_document(triples: DataFrame, path: str, gzip: bool = True) -> str:
+    """One Turtle document, `path`/document.ttl(.gz): the prefix block once, then the statements; returns its name.
+
+    The parts are written by all tasks. A file system that can join files appends them behind the prefixes as they
+    are (gzip members make one gzip file), so no bytes move; elsewhere one task copies the lines. The document
+    takes its name last, so that a run that died leaves none; an overwrite can be repeated.
+    """
+    spark, parts, out = triples.sparkSession, f"{path}/_parts", f"{path}/document.ttl{'.gz' if gzip else ''}"
+    fs, make = _fs(spark, path)
+    fs.delete(make(path), True)
+    write_turtle(triples, parts, gzip)
+    if fs.hasPathCapability(make(path), "fs.capability.paths.concat"):
+        listed = lambda folder: sorted(f"{folder}/{s.getPath().getName()}" for s in fs.listStatus(make(folder)) if s.getPath().getName().startswith("part-") and s.getLen())
+        (head,), more = listed(f"{parts}/0-prefixes"), listed(f"{parts}/1-statements")
+        if more:
+            joined = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Path, len(more))
+            for k, name in enumerate(more):
+                joined[k] = make(name)
+            fs.concat(make(head), joined)
+    else:
+        lines = spark.read.text(f"{parts}/0-prefixes").withColumn("block", F.lit(0)).unionByName(spark.read.text(f"{parts}/1-statements").withColumn("block", F.lit(1)))
+        lines.repartition(1).sortWithinPartitions("block", F.when(F.col("block") == 0, F.col("value") == "")).select("value").write.options(compression="gzip" if gzip else "none").text(f"{parts}/2-document")
+        (head,) = (f"{parts}/2-document/{s.getPath().getName()}" for s in fs.listStatus(make(f"{parts}/2-document")) if s.getPath().getName().startswith("part-"))
+    if not fs.rename(make(head), make(out)):
+        raise OSError(f"{head} could not be named {out}")
+    fs.delete(make(parts), True)
+    return out
+
+
 def write_triples(triples: DataFrame, path: str) -> None:
     """The triple table, a folder per predicate, so that a pattern with a predicate reads one folder."""
     # a rebalance by predicate splits what is too large for one task, as a common predicate is

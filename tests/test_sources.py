@@ -7,6 +7,7 @@ import json
 import threading
 from collections import Counter
 from http.server import BaseHTTPRequestHandler, HTTPServer, ThreadingHTTPServer
+from pathlib import Path
 from urllib.parse import parse_qs, urlparse
 
 import numpy as np
@@ -318,3 +319,39 @@ def test_streamed_firsts_outlive_restarts(spark, tmp_path):
             running.awaitTermination()
     got = sorted((r.s, r.p, r.o) for r in incremental.read_first(spark, out).collect())
     assert got == sorted([("a", "p", "b"), ("c", "p", "b"), ("d", "p", "e"), ("b", V.RDF + "type", "kind"), ("e", V.RDF + "type", "kind"), ("b", V.RDFS + "label", "first"), ("e", V.RDFS + "label", "named")])
+
+
+class Joining:
+    """The local file system with a concat that appends to its first argument, as distributed ones do."""
+
+    def __init__(self, real):
+        self.real = real
+
+    def __getattr__(self, name):
+        return getattr(self.real, name)
+
+    def hasPathCapability(self, *args):  # noqa: N802
+        return True
+
+    def concat(self, head, more):
+        with open(urlparse(head.toString()).path, "ab") as out:
+            for part in more:
+                out.write(Path(urlparse(part.toString()).path).read_bytes())
+
+
+@pytest.mark.parametrize("packed", [True, False])
+@pytest.mark.parametrize("joins", [True, False])
+def test_one_turtle_document(spark, tmp_path, packed, joins, monkeypatch):
+    if joins:
+        fs, make = sinks._fs(spark, f"file://{tmp_path}")
+        monkeypatch.setattr(sinks, "_fs", lambda *_: (Joining(fs), make))
+    rows = [(f"{V.EMI}s{k}", V.RDFS + "label", f'a "{k}"\n', "literal", None) for k in range(50)]
+    frame = spark.createDataFrame(rows, "s string, p string, o string, o_kind string, o_dtype string").repartition(7)
+    for given in (frame, frame.limit(0), frame):  # the last one overwrites
+        out = sinks.write_turtle_document(given, f"file://{tmp_path}/ttl", packed)
+        (only,) = [f for f in (tmp_path / "ttl").iterdir() if not f.name.endswith(".crc")]
+        assert out.endswith(only.name)
+        text = (gzip.decompress(only.read_bytes()) if packed else only.read_bytes()).decode()
+        head, _, body = text.partition("\n\n")
+        assert sorted(head.split("\n")) == sorted(f"@prefix {n}: <{b}> ." for n, b in V.PREFIXES.items())
+        assert sorted(body.splitlines()) == sorted(f'emi:s{k} rdfs:label "a \\"{k}\\"\\n" .' for k in range(50 if given is frame else 0))
