@@ -49,7 +49,7 @@ def land(spark: SparkSession, endpoint: str, query: str, to: str, page_rows: int
 
     The query should have an ORDER BY, or its pages may overlap. Pages are asked for in waves until one is short.
     Landed pages are not asked for again, in this run or a later one; a page that breaks `attempts` times
-    in one run raises, and leaves the others landed. The driver keeps a number a page.
+    in one run raises, and leaves the others landed; rows beyond a short page raise too. The driver keeps a number a page.
     """
     spark.dataSource.register(sparql_http.SparqlSource)
     spark.createDataFrame([], "fetch_page int, fetch_seq long, fetch_mark string").write.mode("overwrite").parquet(f"{to}/fetch_run=r")
@@ -58,6 +58,8 @@ def land(spark: SparkSession, endpoint: str, query: str, to: str, page_rows: int
         tried_pages = manifest(spark, query, to).select("fetch_page", "rows", "fetch_mark").collect()
         ended = {r.fetch_page: r.rows for r in tried_pages if r.fetch_mark == "ended"}
         last = min((p for p, n in ended.items() if n < page_rows), default=None)
+        if beyond := sorted(p for p, n in ended.items() if last is not None and p > last and n):
+            raise RuntimeError(f"page {last} was short, but {len(beyond)} later pages hold rows: the endpoint cuts answers below page_rows, or its data changed")
         until = last if last is not None else max(ended, default=-1) + 1 + wave
         todo = [p for p in range(until) if p not in ended][:wave]
         if not todo:
