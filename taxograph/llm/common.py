@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
 from contextlib import contextmanager
 
 import numpy as np
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -81,6 +83,22 @@ def small_batches(spark: SparkSession, rows: int = 1024) -> None:
         spark.conf.set(key, str(rows))
 
 
+def tidy(run):
+    """run, a function over batches, that gives memory back to the machine when its task ends.
+
+    Spark keeps Python workers for later tasks; what they have freed would stay with them otherwise.
+    """
+
+    def done(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            getattr(ctypes.CDLL(None), "malloc_trim", int)(0)  # glibc alone has it
+
+    return done
+
+
 def whole_id(df: DataFrame, id_col: str) -> Column:
     """The id as bigint; ids that are no whole numbers are refused rather than turned into null."""
     kind = df.schema[id_col].dataType

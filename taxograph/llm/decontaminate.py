@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taxograph.llm.common import arrow_rows, pack, planes, small_batches, staged, unpack, unplanes, whole_id
+from taxograph.llm.common import arrow_rows, pack, planes, small_batches, staged, tidy, unpack, unplanes, whole_id
 from taxograph.llm.wordhash import ALNUM, Distinct, Words, matched
 
 WINDOW, BLOCK_BYTES, PASS_BYTES, CANDIDATES = 13, 4 << 20, 16 << 20, 1 << 21
@@ -64,7 +64,7 @@ def build_index(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
             ]
             yield pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in columns], [c.split()[0] for c in INDEX.split(", ")])
 
-    rows = df.select(whole_id(df, id_col), F.col(text_col)).mapInArrow(build, INDEX)
+    rows = df.select(whole_id(df, id_col), F.col(text_col)).mapInArrow(tidy(build), INDEX)
     return staged(rows.withColumn("block", F.monotonically_increasing_id()), "postings")
 
 
@@ -239,7 +239,7 @@ def _search_all(index, benchmark, id_col, text_col, window, slack):
                     )
 
         with arrow_rows(index.sparkSession, 8):
-            yield staged(index.mapInArrow(search, HITS), "phrase-hits")
+            yield staged(index.mapInArrow(tidy(search), HITS), "phrase-hits")
 
 
 def contamination(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, one_in: int = 20) -> DataFrame:

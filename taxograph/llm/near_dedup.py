@@ -39,7 +39,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from taxograph.llm.common import arrow_rows, by_ids, partitions, rows_in, small_batches, staged, tasks_for, whole_id
+from taxograph.llm.common import arrow_rows, by_ids, partitions, rows_in, small_batches, staged, tasks_for, tidy, whole_id
 from taxograph.llm.components import components, stars
 from taxograph.llm.decontaminate import blocks
 from taxograph.llm.wordhash import VISIBLE, Distinct, Words, mix
@@ -137,7 +137,7 @@ def signatures(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
             whole = [pa.array(np.ascontiguousarray(c)) for x in longs for c in x.T]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), *whole[:2], pa.array(first, pa.list_(pa.int32())), pa.array(further, pa.binary()), *whole[2:]], [c.split()[0] for c in SIGNED.split(", ")])
 
-    return staged(df.select(whole_id(df, id_col), F.col(text_col)).mapInArrow(run, SIGNED), "signatures")
+    return staged(df.select(whole_id(df, id_col), F.col(text_col)).mapInArrow(tidy(run), SIGNED), "signatures")
 
 
 def likely(a: np.ndarray, b: np.ndarray, least: int = LIKELY) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -183,7 +183,7 @@ def grouped(rows: DataFrame, keys: list[str], compare, schema: str) -> DataFrame
         if held:
             yield done()
 
-    return rows.select(names).repartition(partitions(rows.sparkSession), *keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+    return rows.select(names).repartition(partitions(rows.sparkSession), *keys).sortWithinPartitions(*keys).mapInArrow(tidy(run), schema)
 
 
 PAIRS, LINKS = "a bigint, b bigint, agree bigint", "a bigint, b bigint"
@@ -456,7 +456,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, tasks: int | None = None, simi
     rows = held.union(dealt.withColumn("text", F.lit(None).cast("binary")))
     met = rows.repartition(partitions(pairs.sparkSession), "left", "right").sortWithinPartitions("left", "right", F.col("other").asc_nulls_first())
     with arrow_rows(pairs.sparkSession, 256):
-        return staged(met.mapInArrow(run, "a bigint, b bigint"), "confirmed", tasks)
+        return staged(met.mapInArrow(tidy(run), "a bigint, b bigint"), "confirmed", tasks)
 
 
 def squeezed_texts(df: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -469,7 +469,7 @@ def squeezed_texts(df: DataFrame, ids: DataFrame, id_col: str, text_col: str) ->
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(squeezed, pa.binary())], ["id", "text"])
 
     small_batches(df.sparkSession)
-    wanted = by_ids(df.select(whole_id(df, id_col).alias("id"), F.col(text_col).alias("text")), ids, "id", "left_semi", lambda rows: rows.mapInArrow(run, "id bigint, text binary"))
+    wanted = by_ids(df.select(whole_id(df, id_col).alias("id"), F.col(text_col).alias("text")), ids, "id", "left_semi", lambda rows: rows.mapInArrow(tidy(run), "id bigint, text binary"))
     return staged(wanted, "texts")
 
 

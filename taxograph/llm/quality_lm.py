@@ -35,11 +35,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from taxograph.llm.common import arrow_rows, by_ids, pack, partitions, rows_in, small_batches, staged, tasks_for, unpack
+from taxograph.llm.common import arrow_rows, by_ids, pack, partitions, rows_in, small_batches, staged, tasks_for, tidy, unpack
 from taxograph.llm.wordhash import mix
 
 ORDER, BITS, LOW, PRIOR, HELD_OUT, QUANTILE, SLACK, LEAST_HELD = 5, 21, 3, 60, 5, 0.99, 1.0, 20
 BLOCK_ROWS, PIECE, STEP = 4096, 1 << 20, 1000
+#: Grams that are looked up at once.
+LOOKED_UP = 1 << 16
 #: Grams that a task writes.
 GRAMS_PER_TASK = 100_000
 MASK = (1 << BITS) - 1
@@ -195,7 +197,7 @@ def gram_counts(texts: DataFrame) -> DataFrame:
         yield rows()
 
     small_batches(texts.sparkSession)
-    return texts.mapInArrow(run, "hi bigint, lo bigint, n bigint").groupBy("hi", "lo").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(tidy(run), "hi bigint, lo bigint, n bigint").groupBy("hi", "lo").agg(F.sum("n").alias("n"))
 
 
 def _suffix_columns(k: int) -> list[Column]:
@@ -354,7 +356,7 @@ def _requests(rows: DataFrame, shards: int) -> DataFrame:
         if block is not None:
             yield done()
 
-    return rows.select("block", "text").mapInArrow(run, "shard int, block bigint, kinds binary, his binary, los binary")
+    return rows.select("block", "text").mapInArrow(tidy(run), "shard int, block bigint, kinds binary, his binary, los binary")
 
 
 def _answers(requests: DataFrame, table: DataFrame, shards: int) -> DataFrame:
@@ -367,7 +369,7 @@ def _answers(requests: DataFrame, table: DataFrame, shards: int) -> DataFrame:
 
     names, binary = ["kind", "hi", "lo", "n", "total", "mass"], ["kinds", "his", "los"]
     null = lambda names, kind: [F.lit(None).cast(kind).alias(n) for n in names]
-    known = table.mapInArrow(dealt, "shard int, kind int, hi bigint, lo bigint, n bigint, total bigint, mass double")
+    known = table.mapInArrow(tidy(dealt), "shard int, kind int, hi bigint, lo bigint, n bigint, total bigint, mass double")
     known = known.select("shard", F.lit(None).cast("long").alias("block"), *names, *null(binary, "binary"))
     asks = requests.select("shard", "block", *null(["kind"], "int"), *null(["hi", "lo", "n", "total"], "long"), *null(["mass"], "double"), *binary)
 
@@ -405,7 +407,7 @@ def _answers(requests: DataFrame, table: DataFrame, shards: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64() if k == 0 else pa.binary()) for k in range(6)], ["block", *binary, "counts", "masses"])
 
     met = known.union(asks).repartition(shards, "shard").sortWithinPartitions("shard", F.col("block").asc_nulls_first())
-    return met.mapInArrow(run, "block bigint, kinds binary, his binary, los binary, counts binary, masses binary")
+    return met.mapInArrow(tidy(run), "block bigint, kinds binary, his binary, los binary, counts binary, masses binary")
 
 
 def _known(rows: list[list[np.ndarray]]) -> Answers:
@@ -432,14 +434,15 @@ def _squeezed(rows: DataFrame) -> DataFrame:
             lengths = pack(np.array([len(r) for r in raw], dtype="i8"))
             yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([ids], pa.list_(to_arrow_type(kind))), pa.array([langs], pa.list_(pa.string())), pa.array([lengths], pa.binary()), pa.array([press.compress(b"".join(raw))], pa.binary())], ["block", "ids", "langs", "lengths", "text"])
 
-    return rows.mapInArrow(run, f"block bigint, ids array<{kind.simpleString()}>, langs array<string>, lengths binary, text binary")
+    return rows.mapInArrow(tidy(run), f"block bigint, ids array<{kind.simpleString()}>, langs array<string>, lengths binary, text binary")
 
 
 def summed(texts: list[str], answers: Answers, base: tuple) -> np.ndarray:
     """The negative log probability of each text."""
     held = [(piece.keys, piece.place.astype("i4"), piece.sizes, owner) for piece, owner in pieces(texts)]
     keys, _, where = added_up([(k, np.zeros(len(k[0]))) for k, *_ in held])
-    logp, out = answers.log_probabilities(keys, base), np.zeros(len(texts))
+    parts = [answers.log_probabilities(tuple(k[at : at + LOOKED_UP] for k in keys), base) for at in range(0, len(keys[0]), LOOKED_UP)]
+    logp, out = np.concatenate([np.empty(0), *parts]), np.zeros(len(texts))
     for (_, place, sizes, owner), at in zip(held, where, strict=True):
         upto = np.concatenate([[0.0], np.cumsum(logp[at][place])])
         ends = np.cumsum(sizes)
@@ -499,7 +502,7 @@ def perplexities(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", lang
                 yield pa.RecordBatch.from_arrays([pa.array(ids, to_arrow_type(kind)), pa.array(langs, pa.string()), pa.array([len(t) for t in held], pa.int64()), pa.array(nll, pa.float64())], ["id", "lang", "n", "nll"])
 
     with arrow_rows(spark, 64):
-        return staged(met.mapInArrow(run, f"id {kind.simpleString()}, lang string, n bigint, nll double"), "perplexities")
+        return staged(met.mapInArrow(tidy(run), f"id {kind.simpleString()}, lang string, n bigint, nll double"), "perplexities")
 
 
 def held_out(id_column: Column) -> Column:
