@@ -40,6 +40,8 @@ from taxograph.llm.wordhash import mix
 
 ORDER, BITS, LOW, PRIOR, HELD_OUT, QUANTILE, SLACK, LEAST_HELD = 5, 21, 3, 60, 5, 0.99, 1.0, 20
 BLOCK_ROWS, PIECE, STEP = 4096, 1 << 20, 1000
+#: What a context keeps at least of each gram for those it was not seen with.
+LEAST_DISCOUNT = 0.1
 #: Grams that are looked up at once.
 LOOKED_UP = 1 << 16
 #: Grams that a task writes.
@@ -239,10 +241,15 @@ class Model:
 
 
 def discounts(tally: dict[int, int]) -> tuple[float, float, float]:
-    """The three discounts of modified Kneser-Ney from the numbers of grams seen 1, 2, 3 and 4 times."""
+    """The three discounts of modified Kneser-Ney from the numbers of grams seen 1, 2, 3 and 4 times.
+
+    Few or uneven numbers can estimate a discount of nothing or less. It is LEAST_DISCOUNT then, so that every
+    context keeps mass for what it was not seen with and no text has the probability zero: one such text in a
+    language's calibration would make its mean infinite and reject the whole language.
+    """
     n = [tally.get(k, 0) for k in range(5)]
     y = n[1] / max(1, n[1] + 2 * n[2])
-    return tuple(min(float(k), max(0.0, k - (k + 1) * y * n[k + 1] / max(1, n[k]))) for k in (1, 2, 3))
+    return tuple(min(float(k), max(LEAST_DISCOUNT, k - (k + 1) * y * n[k + 1] / max(1, n[k]))) for k in (1, 2, 3))
 
 
 def asked(keys: Keys) -> tuple[np.ndarray, Keys]:

@@ -391,3 +391,12 @@ def test_pipeline(spark, tmp_path):
     assert seen[4] == seen[3] and at.select("shard", "slot").distinct().count() == at.count()
     assert np.ptp([r["count"] for r in at.groupBy("shard").count().collect()]) <= 1
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == at.count()
+
+
+def test_no_text_is_impossible(spark):
+    """A context whose grams all are of a number that estimates no discount keeps mass for others."""
+    assert all(0 < d <= k for tally in ({1: 37, 2: 1, 3: 10}, {1: 9, 3: 5, 4: 9}, {}) for k, d in enumerate(quality_lm.discounts(tally), 1))
+    seen = [f"{p}{b}{b.upper()}" for b in "bcdfghijkl" for p in "mno"] + ["aQx", "eQx"]
+    held = {r.id for r in spark.range(200).filter(quality_lm.held_out(F.col("id"))).collect()}
+    df = spark.createDataFrame([(k, "en", "aQy" if k in held else seen[k % len(seen)]) for k in range(200)], "doc_id long, lang string, text string")
+    assert held and quality_lm.quality(df, df.select("doc_id")).filter("not kept or score = 'Infinity'").count() == 0
