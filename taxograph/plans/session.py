@@ -1,8 +1,9 @@
-"""The session's shared folder."""
+"""The session's shared folder and its Arrow batches."""
 
 from __future__ import annotations
 
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -19,3 +20,15 @@ def shared_dir(spark: SparkSession) -> str:
     if "dir" not in _LOCAL:
         _LOCAL["dir"] = "file://" + tempfile.mkdtemp(prefix="taxograph-")
     return _LOCAL["dir"]
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """At most so many rows in an Arrow batch for the actions inside, so that wide rows do not fill a Python worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

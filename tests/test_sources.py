@@ -83,6 +83,35 @@ def test_matching_in_parts(spark, monkeypatch):
     assert {tuple(r) for r in semantic.best_matches(v, labels, ["k"], ["best"], decimals=9).collect()} == whole
 
 
+def test_matching_in_groups_of_blocks(spark, monkeypatch):
+    """A task holds one group of blocks, terms are sent once a group, and Arrow batches of wide rows are small."""
+    v = spark.createDataFrame([(k, [float(k % 7), 1.0, float(k % 5)]) for k in range(60)], "k long, vector array<double>")
+    labels = v.select(F.col("k").alias("best"), F.col("k").alias("label_id"), "vector")
+    run = lambda: {tuple(r) for r in semantic.best_matches(v, labels, ["k"], ["best"], exclude_equal=("k", "best"), decimals=9).collect()}
+    whole, kept = run(), spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for name, n in (("BLOCK_LABELS", 4), ("GROUP_BYTES", 3 * 8 * 10), ("PACK", 3), ("PACK_ROWS", 2), ("VECTOR_ROWS", 7)):
+        monkeypatch.setattr(semantic, name, n)
+    blocks = semantic.label_blocks(labels, "vector", "label_id")
+    groups = blocks.groups()
+    assert len(groups) > 2 and sorted(x for g in groups for x in g) == [(b, p) for b, n in enumerate(blocks.parts) for p in range(n)]
+    assert run() == whole and spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == kept
+
+
+def test_equal_terms_are_embedded_once(spark, tmp_path):
+    counted = tmp_path / "texts"
+
+    def embedder(texts):
+        with open(counted, "a") as f:
+            f.writelines(f"{t}\n" for t in texts)
+        return semantic.HashedTrigrams()(texts)
+
+    ontology = spark.createDataFrame([("leaf", "u1", "leaf"), ("stem", "u2", "stem")], "label string, uri string, main_label string")
+    lines = spark.createDataFrame([("leaf/ stem",)] * 200, "line string")
+    assert semantic.match_terms(lines, ontology, embedder).groupBy("term", "uri").count().count() == 2
+    assert semantic.match_terms(lines, ontology, embedder).count() == 400
+    assert len(counted.read_text().split()) == 8
+
+
 def test_blocks_of_labels_are_skipped(spark):
     """Clustered vectors: the same answers as a full product, most blocks never met."""
     rng = np.random.default_rng(4)
