@@ -142,6 +142,20 @@ def numbered(records: DataFrame, batch: int | None = None) -> DataFrame:
     return records.withColumn("rec", own if batch is None else own + F.floor(own / batch) * batch)
 
 
+#: Records that a task turns into triples, of which a record makes dozens.
+RECORDS_PER_TASK = 20_000
+
+
+def dealt(rows: DataFrame, records: DataFrame) -> DataFrame:
+    """rows, one a record, dealt to tasks of about RECORDS_PER_TASK and to all partitions at least.
+
+    Records are small in files, so that few tasks read many of them; each task holds the triples of its
+    records while it makes them distinct.
+    """
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(n if rows.isStreaming else max(n, -(-records.count() // RECORDS_PER_TASK)), "row_id")
+
+
 def interaction_triples(records: DataFrame, sexes: DataFrame, entities: DataFrame | None = None, batch: int | None = None, src: str = "interactions", once: bool = True) -> DataFrame:
     """The graph of resolved records (source_wd, source_name, target_wd, target_name and the record columns).
 
@@ -151,6 +165,8 @@ def interaction_triples(records: DataFrame, sexes: DataFrame, entities: DataFram
     stages whose identifier is no IRI.
     """
     rows = numbered(records, batch)
+    if entities is None:  # no join below deals the rows anew
+        rows = dealt(rows, records)
     rec = box(F.concat(F.lit("inRec"), F.col("rec").cast("string")))
     rows = rows.withColumn("__rec", rec)
     for side in SIDES:
@@ -162,6 +178,8 @@ def interaction_triples(records: DataFrame, sexes: DataFrame, entities: DataFram
     slots = [(side, part) for part in PARTS for side in SIDES]
     for side, part in slots:
         rows = _entity(rows, f"{side}{part}", entities)
+    if entities is not None:
+        rows = dealt(rows, records)
     r = F.col("__rec")
     made = [
         iri(r, V.RDF + "type", V.EMI + "Interaction"),
@@ -254,6 +272,7 @@ def trait_triples(records: DataFrame, species: DataFrame, qudt: DataFrame, emi:
     rows = with_species(records.filter(_usable()), species, samples)
     for n, (key, table) in enumerate((("OrigUnitStr", qudt), ("UnitName", qudt), ("OrigUnitStr", emi), ("UnitName", emi))):
         rows = rows.join(table.select(F.col("key").alias(key), F.col("value").alias(f"__u{n}")), key, "left")
+    rows = dealt(rows, records)  # joined by species, of which there may be few
     value = lambda name: invalid_to_null(F.col(name))
     coded = lambda name: F.concat(F.lit(prefix), S.encode_iri(value(name)))
     name, has = F.col("AccSpeciesName"), S.valid(F.col("Dataset"))

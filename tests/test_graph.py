@@ -156,3 +156,10 @@ def test_triples_by_predicate(spark, one_interaction, tmp_path):
     assert back.count() == 24 and graph.record_count(back).first()[0] == 1
     plan = back.filter(F.col("p") == V.RDFS + "label")._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(p" in plan
+
+
+def test_records_are_dealt_before_they_are_multiplied(spark, monkeypatch):
+    monkeypatch.setattr(triples, "RECORDS_PER_TASK", 10)
+    few = spark.range(95).withColumnRenamed("id", "row_id").coalesce(1)
+    assert triples.dealt(few, few).rdd.getNumPartitions() == 10 and triples.dealt(few, few).count() == 95
+    assert triples.dealt(few.limit(3), few.limit(3)).rdd.getNumPartitions() == 4
