@@ -39,28 +39,32 @@ def ambiguous_names(aligned: DataFrame) -> DataFrame:
 def ancestor_closure(edges: DataFrame, child: str = "child", parent: str = "parent", checkpoint: str | None = None) -> DataFrame:
     """(node, ancestor): the reflexive and transitive closure of a parent relation, cycles allowed.
 
-    The paths double in length each round until a round finds no new pair. Rounds are written to the
-    checkpoint folder, so that plans stay short and lost executors cost one round.
+    The paths double in length each round until a round finds no new pair: paths of exactly 2^k steps are
+    followed by all of up to 2^k, so that a tree gives each pair once. Rounds are written to the checkpoint
+    folder, so that plans stay short and lost executors cost one round. Pairs are dealt by their ends before
+    they are made distinct: small files hold many pairs, and a task would gather all that it reads.
     """
     spark = edges.sparkSession
     root = f"{(checkpoint or shared_dir(spark)).rstrip('/')}/closure-{uuid.uuid4().hex}"
 
-    def kept(df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{root}/{name}")
-        return spark.read.parquet(f"{root}/{name}")
+    def kept(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+        seen = Observation()
+        df.repartition("node", "ancestor").distinct().observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(f"{root}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{root}/{name}"), seen.get["n"]
+
+    def further(steps: DataFrame, more: DataFrame) -> DataFrame:
+        ends = more.select(F.col("node").alias("ancestor"), F.col("ancestor").alias("further"))
+        return steps.join(ends, "ancestor").select("node", F.col("further").alias("ancestor")).filter("node <> ancestor")
 
-    pairs = edges.select(F.col(child).alias("node"), F.col(parent).alias("ancestor")).filter("node is not null and ancestor is not null and node <> ancestor").distinct()
-    pairs = kept(pairs, "0")
-    size, turn = pairs.count(), 0
+    pairs = edges.select(F.col(child).alias("node"), F.col(parent).alias("ancestor")).filter("node is not null and ancestor is not null and node <> ancestor")
+    pairs, size = kept(pairs, "0")
+    exact, turn = pairs, 0
     while True:
         turn += 1
-        step = pairs.select(F.col("node").alias("ancestor"), F.col("ancestor").alias("further"))
-        longer = pairs.join(step, "ancestor").select("node", F.col("further").alias("ancestor")).filter("node <> ancestor")
-        pairs = kept(pairs.union(longer).distinct(), str(turn))
-        grown = pairs.count()
+        pairs, grown = kept(pairs.union(further(exact, pairs)), str(turn))
         if grown == size:
             break
-        size = grown
+        exact, size = kept(further(exact, exact), f"exact-{turn}")[0], grown
     nodes = edges.select(F.col(child).alias("node")).union(edges.select(F.col(parent).alias("node"))).filter("node is not null").distinct()
     return pairs.union(nodes.select("node", F.col("node").alias("ancestor")))
 
@@ -89,5 +93,5 @@ def reachable(edges: DataFrame, starts: DataFrame, report: list[int] | None = No
         if not found:
             return known
         last = spark.read.schema(new.schema).parquet(f"{root}/new/turn={turn}")
-        further = last.join(steps, "ancestor").select("node", F.col("further").alias("ancestor")).distinct()
+        further = last.join(steps, "ancestor").select("node", F.col("further").alias("ancestor")).repartition("node", "ancestor").distinct()
         new, turn = further.join(known, ["node", "ancestor"], "left_anti"), turn + 1
