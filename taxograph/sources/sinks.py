@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,10 +54,15 @@ def turtle_lines(triples: DataFrame) -> DataFrame:
     return triples.select(F.concat_ws(" ", subject, predicate, object_, F.lit(".")).alias("value")).distinct()
 
 
+def _prefix_lines() -> list[str]:
+    """The prefix block, an empty line last."""
+    return [*(f"@prefix {n}: <{b}> ." for n, b in V.PREFIXES.items()), ""]
+
+
 def write_turtle(triples: DataFrame, path: str, gzip: bool = True) -> None:
     """A folder of Turtle parts: the prefixes first, then statements; the parts concatenate to one document."""
     spark = triples.sparkSession
-    head = spark.createDataFrame([("\n".join(f"@prefix {n}: <{b}> ." for n, b in V.PREFIXES.items()) + "\n",)], "value string").coalesce(1)
+    head = spark.createDataFrame([("\n".join(_prefix_lines()),)], "value string").coalesce(1)
     option = {"compression": "gzip" if gzip else "none"}
     head.write.mode("overwrite").options(**option).text(f"{path}/0-prefixes")
     turtle_lines(triples).write.mode("overwrite").options(**option).text(f"{path}/1-statements")
@@ -88,8 +94,16 @@ def write_turtle_document(triples: DataFrame, path: str, gzip: bool = True) -> s
                 joined[k] = make(name)
             fs.concat(make(head), joined)
     else:
-        lines = spark.read.text(f"{parts}/0-prefixes").withColumn("block", F.lit(0)).unionByName(spark.read.text(f"{parts}/1-statements").withColumn("block", F.lit(1)))
-        lines.repartition(1).sortWithinPartitions("block", F.when(F.col("block") == 0, F.col("value") == "")).select("value").write.options(compression="gzip" if gzip else "none").text(f"{parts}/2-document")
+        head = _prefix_lines()
+
+        def behind_head(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(head, pa.string())], ["value"])
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.string())], ["value"])
+
+        # passed on batch by batch: a sort would hold the whole document in its task
+        lines = spark.read.text(f"{parts}/1-statements").coalesce(1).mapInArrow(behind_head, "value string")
+        lines.write.options(compression="gzip" if gzip else "none").text(f"{parts}/2-document")
         (head,) = (f"{parts}/2-document/{s.getPath().getName()}" for s in fs.listStatus(make(f"{parts}/2-document")) if s.getPath().getName().startswith("part-"))
     if not fs.rename(make(head), make(out)):
         raise OSError(f"{head} could not be named {out}")
