@@ -19,9 +19,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from taxograph.operators.lineage import reachable
+from taxograph.plans.session import split_bytes
 
 #: Literals of at most so many data types are found by hash, else by a scan of the dictionary.
 DTYPES = 1000
+#: What a task reads of statements and terms, which it holds while it makes them distinct.
+SPLIT_MB = 16
 
 
 def term_hash(kind: Column, value: Column, dtype: Column, bits: int = 64) -> Column:
@@ -48,8 +51,13 @@ def write_store(triples: DataFrame, path: str, bits: int = 64) -> Store:
 
     They are stored as texts first, since the dictionary and the ids each need a pass over them.
     """
-    spark = triples.sparkSession
     triples.select("s", "p", "o", "o_kind", "o_dtype").write.mode("overwrite").parquet(f"{path}/statements")
+    with split_bytes(triples.sparkSession, SPLIT_MB):
+        return _encoded(triples.sparkSession, path, bits)
+
+
+def _encoded(spark: SparkSession, path: str, bits: int) -> Store:
+    """The store of the statements in a folder."""
     triples = spark.read.parquet(f"{path}/statements")
     # each end made distinct on its own columns first: most triples share their ends with others
     ends = zip((["s"], ["p"], ["o", "o_kind", "o_dtype"]), _ends(bits), strict=True)
@@ -78,9 +86,10 @@ def write_store(triples: DataFrame, path: str, bits: int = 64) -> Store:
 
     ids = spark.read.parquet(f"{path}/triples")
     counts = ids.groupBy("p").agg(F.count(F.lit(1)).alias("triples"), F.approx_count_distinct("s").alias("subjects"), F.approx_count_distinct("o").alias("objects"))
-    names = spark.read.parquet(f"{path}/terms").select(F.col("id").alias("p"), F.col("value").alias("name"))
-    counts.join(names, "p").coalesce(1).write.mode("overwrite").parquet(f"{path}/predicates")
-    spark.read.parquet(f"{path}/terms").filter("kind = 'literal'").select("dtype").distinct().coalesce(1).write.mode("overwrite").parquet(f"{path}/dtypes")
+    names = spark.read.parquet(f"{path}/terms").filter("kind = 'iri'").select(F.col("id").alias("p"), F.col("value").alias("name"))
+    # a row a predicate, of which there are few; shuffled, since coalesce would make one task read the dictionary
+    names.join(F.broadcast(counts), "p").select("p", "triples", "subjects", "objects", "name").repartition(1).write.mode("overwrite").parquet(f"{path}/predicates")
+    spark.read.parquet(f"{path}/terms").filter("kind = 'literal'").select("dtype").distinct().repartition(1).write.mode("overwrite").parquet(f"{path}/dtypes")
     return Store(spark, path, bits)
 
 

@@ -23,12 +23,21 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 @contextmanager
-def arrow_rows(spark: SparkSession, rows: int):
-    """At most so many rows in an Arrow batch for the actions inside, so that wide rows do not fill a Python worker."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+def setting(spark: SparkSession, key: str, value: str):
+    """A setting of the session for the actions inside."""
     before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
+    spark.conf.set(key, value)
     try:
         yield
     finally:
         spark.conf.set(key, before)
+
+
+def arrow_rows(spark: SparkSession, rows: int):
+    """At most so many rows in an Arrow batch for the actions inside, so that wide rows do not fill a Python worker."""
+    return setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def split_bytes(spark: SparkSession, megabytes: int):
+    """Tasks read about so much of files in the actions inside; packed triples are many rows in few bytes."""
+    return setting(spark, "spark.sql.files.maxPartitionBytes", f"{megabytes}m")

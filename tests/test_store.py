@@ -148,3 +148,37 @@ def test_paths_start_from_what_is_bound(spark, tmp_path):
     for source in sources(spark, rows, tmp_path):
         assert rows_of(sparql.sparql(source, "SELECT ?a ?b WHERE { ?a <up>* ?b . ?a <is> <x> }")) == [("n9", f"n{k}") for k in (10, 11, 12)] + [("n9", "n9")]
         assert len(rows_of(sparql.sparql(source, "SELECT ?b WHERE { <n4> <up>* ?b }"))) == 13
+
+
+def test_store_reads_small_splits(spark, tmp_path, monkeypatch):
+    """What tasks hold while they make terms distinct follows from small splits; the setting is put back."""
+    key, seen = "spark.sql.files.maxPartitionBytes", []
+    before, make = spark.conf.get(key), store._encoded
+    monkeypatch.setattr(store, "_encoded", lambda s, *rest: seen.append(s.conf.get(key)) or make(s, *rest))
+    rows = [(f"s{k}", f"p{k % 3}", f"o{k % 5}", "iri", None) for k in range(30)]
+    held = store.write_store(spark.createDataFrame(rows, SCHEMA), str(tmp_path / "s"))
+    assert seen == ["16m"] and spark.conf.get(key) == before
+    assert {(r.name, r.triples) for r in held.predicates.collect()} == {(f"p{k}", 10) for k in range(3)}
+
+
+def test_no_single_task_reads_the_dictionary(spark, tmp_path, monkeypatch):
+    """Small tables of the store are gathered by a shuffle; a coalesce would run the join with the dictionary in one task."""
+    monkeypatch.setattr(type(spark.range(0)), "coalesce", lambda *_: pytest.fail("coalesced"))
+    rows = [(f"s{k}", f"p{k % 3}", str(k), "literal", XSD + "string") for k in range(30)]
+    assert store.write_store(spark.createDataFrame(rows, SCHEMA), str(tmp_path / "s")).predicates.count() == 3
+
+
+def test_closure_of_a_tree_gives_each_pair_once(spark, monkeypatch):
+    """Rounds of a chain make no pair twice: what is joined in all is what is new."""
+    made, join = [], type(spark.range(0)).join
+
+    def counted(self, *args):
+        out = join(self, *args)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(type(spark.range(0)), "join", counted)
+    edges = spark.createDataFrame([(f"n{k}", f"n{k + 1}") for k in range(16)], "child string, parent string")
+    assert lineage.ancestor_closure(edges).count() == 17 * 18 // 2
+    # pairs of 2..16 steps, each once, and those of exactly 2, 4, 8 and 16
+    assert sum(made) == sum(17 - n for n in range(2, 17)) + sum(17 - n for n in (2, 4, 8, 16))
