@@ -39,6 +39,12 @@ def landed_lines(df: DataFrame, name: str) -> str:
     return path
 
 
+def in_order(df: DataFrame, each: int = 100_000) -> DataFrame:
+    """df in the order of row_id, dealt to all partitions: text is written, and gzip read, by a task a file."""
+    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // each))
+    return df.repartitionByRange(n, "row_id").sortWithinPartitions("row_id")
+
+
 # --- delimited text -----------------------------------------------------------------------------
 
 
@@ -56,7 +62,7 @@ def csv_line_ends(spark, sf):
 
 @query("mapping_file", f"SELECT '{V.WD}Q' || p_partkey AS entity, p_size::VARCHAR AS eol, p_partkey::VARCHAR AS gbif, CASE WHEN p_partkey % 3 = 0 THEN p_brand || '\"' END AS ncbi, CAST(NULL AS VARCHAR) AS eppo, p_name AS name FROM part")
 def mapping_file(spark, sf):
-    path = landed(Q.part_mapping(spark, sf).drop("row_id"), "mapping", gzip=True)
+    path = landed(in_order(Q.part_mapping(spark, sf)).drop("row_id"), "mapping", gzip=True)
     return readers.mapping_table(spark, path).select(F.col("WdID").alias("entity"), "eol", "gbif", "ncbi", "eppo", F.col("WdName").alias("name"))
 
 
@@ -82,7 +88,7 @@ def lineage_files(spark, sf):
 def records_file(spark, sf) -> str:
     """The order records as tab-separated text, with paths of names and ranks."""
     paths = [F.lit(v).alias(f"{side}TaxonPath{c}") for side in ("source", "target") for c, v in (("Names", "Animalia | Chordata"), ("RankNames", "kingdom | phylum"))]
-    return landed(Q.order_records(spark, sf).select("*", *paths).select(*readers.TAXON_COLUMNS, *readers.RECORD_COLUMNS), "records", sep="\t", gzip=True)
+    return landed(in_order(Q.order_records(spark, sf)).select("*", *paths).select(*readers.TAXON_COLUMNS, *readers.RECORD_COLUMNS), "records", sep="\t", gzip=True)
 
 
 @query("records_tsv", f"SELECT sourceTaxonId, targetTaxonName, 'Animalia | Chordata' AS sourceTaxonPathNames, interactionTypeName, nullif(localityName, '') AS localityName, referenceDoi, decimalLatitude, sourceBodyPartId, sourceSexName, targetSexName FROM ({Q.RECORDS_SQL})")
@@ -168,7 +174,7 @@ taxa AS (SELECT sourceTaxonId AS id, sourceTaxonName AS name FROM r UNION SELECT
 SELECT id, name, CASE WHEN p.wd IS NOT NULL THEN 'Wikidata:' || p.wd END AS wd, CASE WHEN p.wd IS NOT NULL THEN 'ID-MATCHED-BY-NAME-direct' ELSE 'ID-NOT-FOUND' END AS status
 FROM taxa LEFT JOIN (SELECT n_name AS n, 'Q' || n_nationkey AS wd FROM nation) p ON n = name""")
 def matched_taxa_file(spark, sf):
-    mapping = landed(Q.part_mapping(spark, sf).drop("row_id"), "mapping", gzip=True)
+    mapping = landed(in_order(Q.part_mapping(spark, sf)).drop("row_id"), "mapping", gzip=True)
     names = table(spark, sf, "nation").select(F.concat(F.lit(V.WD + "Q"), "n_nationkey").alias("WdID"), F.col("n_name").alias("WdName"), *[F.lit(None).cast("string").alias(r) for r in V.RANKS])
     aligned, repeats, out = landed(names, "aligned"), landed(names.limit(0), "repeats"), place(spark, "matched")
     pipelines.match_interactions(spark, records_file(spark, sf), mapping, aligned, repeats, out)
@@ -184,15 +190,22 @@ def split_term_lines(spark, sf):
     return readers.term_lines(spark, landed_lines(lines, "lines")).select(F.explode(S.split_terms(F.col("line"))).alias("term"))
 
 
+#: Classes in a document.
+PARTS_EACH = 50_000
+
+
 @query("ontology_file", "SELECT unnest([p_name, p_type, p_brand] || CASE WHEN p_partkey % 2 = 0 THEN ['size ' || p_size] ELSE [] END) AS label, 'http://o/' || p_partkey AS uri, p_name AS main_label FROM part")
 def ontology_file(spark, sf):
-    lines = table(spark, sf, "part").select(F.expr("""
+    lines = table(spark, sf, "part").select(F.expr(f"p_partkey div {PARTS_EACH}").alias("document"), F.expr("""
         '<owl:Class rdf:about="http://o/' || p_partkey || '"><rdfs:label>' || p_name || '</rdfs:label><oboInOwl:hasExactSynonym>' || p_type || '</oboInOwl:hasExactSynonym><oboInOwl:hasExactSynonym>' || p_brand || '</oboInOwl:hasExactSynonym>'
         || CASE WHEN p_partkey % 2 = 0 THEN '<oboInOwl:hasRelatedSynonym>size ' || p_size || '</oboInOwl:hasRelatedSynonym>' ELSE '' END || '</owl:Class>'""").alias("value"))
-    line = lambda text: spark.createDataFrame([(text,)], "value string")
     names = " ".join(f'xmlns:{n}="http://{n}#"' for n in ("rdf", "rdfs", "owl", "oboInOwl"))
-    document = line(f"<rdf:RDF {names}>").unionByName(lines).unionByName(line("</rdf:RDF>")).coalesce(1)
-    return readers.ontology_terms(spark, landed_lines(document, "ontology"))
+    # documents of PARTS_EACH classes, a file each: one file would be written by one task
+    ends = lines.select("document").distinct().select("document", F.explode(F.expr(f"array(struct(0 AS at, '<rdf:RDF {names}>' AS value), struct(2 AS at, '</rdf:RDF>' AS value))")).alias("e"))
+    whole = lines.select("document", F.lit(1).alias("at"), "value").union(ends.select("document", "e.at", "e.value"))
+    path = place(spark, "ontology")
+    whole.repartition("document").sortWithinPartitions("document", "at").select("document", "value").write.partitionBy("document").text(path)
+    return readers.ontology_terms(spark, path)
 
 
 PREFIX_ROWS = ", ".join(f"('{n}', '{b}')" for n, b in V.PREFIXES.items())
@@ -329,7 +342,7 @@ def lineage_by_sparql(spark, sf):
     rows = parts.join(known, "up", "left")
     me = entity(F.col("p_partkey"))
     made = [triples.iri(me, WDT + "P31", V.WD + "Q16521"), triples.literal(me, WDT + "P225", F.col("p_name")), triples.iri(me, WDT + "P105", F.concat(F.lit("http://size/"), "p_size")), triples.iri(me, WDT + "P171", F.when(F.col("has_up") & (F.col("up") > 0), entity(F.col("up"))))]
-    return sparql.sparql(Q.stored(spark, triples.emitted(rows, made, "lineage")), sparql_http.lineage_query())
+    return sparql.sparql(Q.stored(spark, triples.emitted(triples.dealt(rows, parts), made, "lineage")), sparql_http.lineage_query())
 
 
 # --- names, networks and statistics -------------------------------------------------------------

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from taxograph import vocab as V
 from taxograph.operators import semantic, triples
-from taxograph.plans import pipelines
+from taxograph.plans import pipelines, source_queries
 from taxograph.sources import diagrams, landing, readers, sinks, sparql_http
 from taxograph.streaming import incremental
 
@@ -398,3 +398,19 @@ def test_one_turtle_document(spark, tmp_path, packed, joins, monkeypatch):
         head, _, body = text.partition("\n\n")
         assert sorted(head.split("\n")) == sorted(f"@prefix {n}: <{b}> ." for n, b in V.PREFIXES.items())
         assert sorted(body.splitlines()) == sorted(f'emi:s{k} rdfs:label "a \\"{k}\\"\\n" .' for k in range(50 if given is frame else 0))
+
+
+def test_document_is_passed_on_without_a_sort(spark, tmp_path, monkeypatch):
+    """Without a file system that joins files one task copies the lines, and holds no more than a batch."""
+    monkeypatch.setattr(type(spark.range(0)), "sortWithinPartitions", lambda *_: pytest.fail("sorted"))
+    table = spark.createDataFrame([(f"http://x/{k}", V.RDF + "type", "http://x/t", "iri", None) for k in range(50)], "s string, p string, o string, o_kind string, o_dtype string")
+    with gzip.open(Path(sinks.write_turtle_document(table, str(tmp_path / "d"))), "rt") as f:
+        lines = f.read().splitlines()
+    assert lines[: len(V.PREFIXES) + 1] == [*(f"@prefix {n}: <{b}> ." for n, b in V.PREFIXES.items()), ""] and len(lines) == len(V.PREFIXES) + 51
+
+
+def test_landed_rows_keep_their_order(spark, tmp_path):
+    rows = spark.range(1000).selectExpr("id * 7919 % 1000 AS row_id").coalesce(1)
+    sinks.write_delimited(source_queries.in_order(rows, 100).selectExpr("row_id AS n"), str(tmp_path / "rows"), gzip=True)
+    assert len(list((tmp_path / "rows").glob("part-*"))) > 4
+    assert all(int(r.n) == r.row_id for r in readers.delimited(spark, str(tmp_path / "rows")).collect())
