@@ -47,10 +47,11 @@ def any_in(df: DataFrame, allowed: dict[str, list[str]]) -> DataFrame:
 def duplicate_groups(df: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
     """All members of groups with several rows of one non-null key, sorted by it.
 
-    The groups are found by an aggregate and joined back, so that no task sorts a hot group's rows.
+    The groups are found by an aggregate and joined back, so that no task sorts a hot group's rows. It is
+    a semi join, of which Spark never broadcasts the rows' side, however small their files are.
     """
     several = df.groupBy(key).count().filter(F.col(key).isNotNull() & (F.col("count") > 1)).select(key)
-    return df.join(several, key).select(*df.columns).orderBy(key, *(order or []))
+    return df.join(several, key, "left_semi").select(*df.columns).orderBy(key, *(order or []))
 
 
 def with_columns_in_order(df: DataFrame, columns: list[str]) -> DataFrame:

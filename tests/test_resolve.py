@@ -116,3 +116,23 @@ def test_rows_of_one_name_and_ranks_meet_its_lineages_once(spark, monkeypatch):
     monkeypatch.setattr(type(spark.range(0)), "join", counted)
     got = {r.k: r.wd for r in resolve.best_lineage(rows, repeats, "name", "k").collect()}
     assert got == {k: f"Q{k % 2}" for k in range(500)} and made == [2 * 20, 500]
+
+
+def joins_of(df):
+    """The joins of the plan that ran, the last one first."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return [line for line in plan.splitlines() if "Join" in line]
+
+
+def test_rows_of_small_files_are_not_broadcast(spark, tmp_path):
+    ranks = [F.lit(None).cast("string").alias(r) for r in resolve.COMPARED]
+    name = F.concat(F.lit("n"), F.when(F.col("id") % 2 == 0, F.col("id") % 50).otherwise(F.col("id")))
+    spark.range(100_000).select(F.col("id").cast("string").alias("WdID"), name.alias("WdName"), *ranks, F.col("id").alias("row_id")).coalesce(1).write.parquet(f"{tmp_path}/lineages")
+    aligned = spark.read.parquet(f"{tmp_path}/lineages")
+    repeats = lineage.ambiguous_names(aligned)
+    assert all("BuildLeft" not in j for j in joins_of(repeats))
+    assert repeats.columns == aligned.columns and repeats.count() == 50_000
+    best = resolve.best_lineage(aligned, repeats, "WdName", "row_id")
+    assert "BuildLeft" not in joins_of(best)[0]
+    assert {(r.row_id, r.wd) for r in best.collect()} == {(k, str(k % 50)) for k in range(0, 100_000, 2)}
