@@ -41,6 +41,10 @@ def exploded_terms(df: DataFrame, text: str, keys: list[str]) -> DataFrame:
     return words.select(*keys, S.normalise_term(F.col("__w.word")).alias("term"), F.col("__w.count").alias("count"))
 
 
+#: A map of so many terms is sent to all tasks, so that what is counted stays where it is.
+FEW_TERMS = 10_000
+
+
 def count_terms(df: DataFrame, text: str, keys: list[str], terms: DataFrame, unknown: str = V.UNKNOWN_SEX) -> DataFrame:
     """(keys..., iri, n): summed counts of each mapped term; terms without a mapping count as `unknown`.
 
@@ -48,9 +52,11 @@ def count_terms(df: DataFrame, text: str, keys: list[str], terms: DataFrame, unk
     """
     words = exploded_terms(df, text, keys).withColumn("__c", S.normalise_term(S.without_affixes(F.col("term"))))
     table = terms.select(S.normalise_term(F.col("key")).alias("key"), "value").groupBy("key").agg(F.max("value").alias("value"))
+    table = F.broadcast(table) if terms.limit(FEW_TERMS + 1).count() <= FEW_TERMS else table
     named = table.filter("key = 'unknown'").agg(F.max("value").alias("unknown"))
-    out = words.join(table.select(F.col("key").alias("term"), F.col("value").alias("__a")), "term", "left")
-    out = out.join(table.select(F.col("key").alias("__c"), F.col("value").alias("__b")), "__c", "left")
+    table_of = lambda key, value: table.select(F.col("key").alias(key), F.col("value").alias(value))
+    out = words.join(table_of("term", "__a"), "term", "left")
+    out = out.join(table_of("__c", "__b"), "__c", "left")
     out = out.join(F.broadcast(named))  # one row
     iri = F.coalesce("__a", "__b", "unknown", F.lit(unknown))
     return out.groupBy(*keys, iri.alias("iri")).agg(F.sum("count").alias("n")).filter("n <> 0")

@@ -5,10 +5,13 @@ A triple is (s, p, o, o_kind, o_dtype, src, row_id): full IRIs; o_kind is iri, l
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T_
 
 from taxograph import vocab as V
 from taxograph.functions import scalars as S
@@ -16,6 +19,7 @@ from taxograph.operators import terms as T
 from taxograph.operators.tables import first_seen
 
 COLUMNS = ("s", "p", "o", "o_kind", "o_dtype", "src", "row_id")
+NEWS = ("s_new", "o_new")
 STRING, INTEGER, DOUBLE = (V.XSD + t for t in ("string", "integer", "double"))
 
 
@@ -28,6 +32,12 @@ class Statement:
     o: Column
     kind: str
     dtype: Column | str | None = None
+    #: How it introduces its ends to a dictionary of terms: NOT, if another statement does; ALONE, if no other does.
+    s_new: int = 2
+    o_new: int = 2
+
+
+NOT, ALONE, AMONG_OTHERS = 0, 1, 2
 
 
 def iri(s: Column, p: str, o: Column | str) -> Statement:
@@ -44,11 +54,11 @@ def bnode(s: Column, p: str, o: Column) -> Statement:
 
 def inverses(statements: list[Statement], table: dict[str, str] = V.INVERSE) -> list[Statement]:
     """The inverse of each statement with an IRI object whose predicate has one."""
-    return [Statement(x.o, table[x.p], x.s, "iri") for x in statements if x.kind == "iri" and x.p in table]
+    return [Statement(x.o, table[x.p], x.s, "iri", None, NOT, NOT) for x in statements if x.kind == "iri" and x.p in table]
 
 
-def emitted(df: DataFrame, statements: list[Statement], src: str) -> DataFrame:
-    """A row per triple that has both ends; one pass over df.
+def emitted(df: DataFrame, statements: list[Statement], src: str, news: bool = False) -> DataFrame:
+    """A row per triple that has both ends; one pass over df. news: with s_new and o_new of the statements.
 
     Every column is computed once a record, before the rows are multiplied by a constant table of slots;
     then a slot only picks its two columns. One expression that makes all triples would be too large a
@@ -60,7 +70,7 @@ def emitted(df: DataFrame, statements: list[Statement], src: str) -> DataFrame:
             if isinstance(c, Column):
                 ends.setdefault(id(c), (f"__v{len(ends)}", c))
     base = df.select("row_id", *[c.cast("string").alias(n) for n, c in ends.values()])
-    slots = [F.struct(F.lit(k).alias("slot"), F.lit(x.p).alias("p"), F.lit(x.kind).alias("o_kind"), F.lit(x.dtype if isinstance(x.dtype, str) else None).cast("string").alias("fixed")) for k, x in enumerate(statements)]
+    slots = [F.struct(F.lit(k).alias("slot"), F.lit(x.p).alias("p"), F.lit(x.kind).alias("o_kind"), F.lit(x.dtype if isinstance(x.dtype, str) else None).cast("string").alias("fixed"), F.lit(x.s_new).alias("s_new"), F.lit(x.o_new).alias("o_new")) for k, x in enumerate(statements)]
     rows = base.withColumn("t", F.explode(F.array(*slots)))
 
     def picked(of, otherwise: Column) -> Column:
@@ -75,8 +85,8 @@ def emitted(df: DataFrame, statements: list[Statement], src: str) -> DataFrame:
         return otherwise if out is None else out.otherwise(otherwise)
 
     none = F.lit(None).cast("string")
-    rows = rows.select(picked(lambda x: x.s, none).alias("s"), F.col("t.p").alias("p"), picked(lambda x: x.o, none).alias("o"), F.col("t.o_kind").alias("o_kind"), picked(lambda x: x.dtype, F.col("t.fixed")).alias("o_dtype"), F.lit(src).alias("src"), "row_id")
-    return rows.filter("s is not null and o is not null").select(*COLUMNS)
+    rows = rows.select(picked(lambda x: x.s, none).alias("s"), F.col("t.p").alias("p"), picked(lambda x: x.o, none).alias("o"), F.col("t.o_kind").alias("o_kind"), picked(lambda x: x.dtype, F.col("t.fixed")).alias("o_dtype"), F.lit(src).alias("src"), "row_id", "t.s_new", "t.o_new")
+    return rows.filter("s is not null and o is not null").select(*COLUMNS, *(NEWS if news else ()))
 
 
 def invalid_to_null(c: Column) -> Column:
@@ -146,45 +156,67 @@ def numbered(records: DataFrame, batch: int | None = None) -> DataFrame:
 RECORDS_PER_TASK = 20_000
 
 
-def dealt(rows: DataFrame, records: DataFrame) -> DataFrame:
-    """rows, one a record, dealt to tasks of about RECORDS_PER_TASK and to all partitions at least.
+def dealt(rows: DataFrame, records: DataFrame, count: int | None = None) -> DataFrame:
+    """rows, one a record, dealt to tasks of about RECORDS_PER_TASK and to all partitions at least; count: of the records, if it is known.
 
     Records are small in files, so that few tasks read many of them; each task holds the triples of its
     records while it makes them distinct.
     """
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(n if rows.isStreaming else max(n, -(-records.count() // RECORDS_PER_TASK)), "row_id")
+    return rows.repartition(n if rows.isStreaming else max(n, -(-(records.count() if count is None else count) // RECORDS_PER_TASK)), "row_id")
+
+
+@dataclass(frozen=True)
+class Graph:
+    """Statements in tables that share no triple, repeated as they were emitted, with s_new and o_new.
+
+    own: dealt to tasks by row_id; records of different row_ids have no triple of these in common, so each task makes its
+    own distinct and no triple is shuffled. shared: the few that many records state.
+    """
+
+    own: list[DataFrame]
+    shared: DataFrame
+    src: str
 
+    def as_set(self) -> DataFrame:
+        """Each triple once, with the least row_id."""
+        keys = [c for c in COLUMNS if c != "src"]
+        own = [x.select(*keys).distinct().withColumn("src", F.lit(self.src)).select(*COLUMNS) for x in self.own]
+        return reduce(DataFrame.unionByName, [*own, as_set(self.shared, self.src)])
 
-def interaction_triples(records: DataFrame, sexes: DataFrame, entities: DataFrame | None = None, batch: int | None = None, src: str = "interactions", once: bool = True) -> DataFrame:
-    """The graph of resolved records (source_wd, source_name, target_wd, target_name and the record columns).
+    def statements(self) -> DataFrame:
+        """Each triple once, with how it introduces its ends: (s, p, o, o_kind, o_dtype, s_new, o_new)."""
+        keys, news = ["s", "p", "o", "o_kind", "o_dtype"], [F.max(c).alias(c) for c in NEWS]
+        parts = [x.groupBy("row_id", *keys).agg(*news) for x in self.own] + [self.shared.groupBy(*keys).agg(*news)]
+        return reduce(DataFrame.union, [x.select(*keys, *NEWS) for x in parts])
 
-    once: as a set; without it triples come as often as they are emitted, for a store, which makes a set of their ids.
+
+def interaction_triples(records: DataFrame, sexes: DataFrame, entities: DataFrame | None = None, batch: int | None = None, src: str = "interactions") -> DataFrame:
+    """The graph of resolved records (source_wd, source_name, target_wd, target_name and the record columns), as a set.
 
     sexes: (key, value) map of sex terms. entities: (key, name, iri) map for body parts and life
     stages whose identifier is no IRI.
     """
+    return interaction_graph(records, sexes, entities, batch, src).as_set()
+
+
+def interaction_graph(records: DataFrame, sexes: DataFrame, entities: DataFrame | None = None, batch: int | None = None, src: str = "interactions", spelled: Callable[[list[Statement]], list[Statement]] = list) -> Graph:
+    """The same graph in parts; spelled may write the statements' ends in another way, still a column a record."""
     rows = numbered(records, batch)
-    if entities is None:  # no join below deals the rows anew
-        rows = dealt(rows, records)
-    rec = box(F.concat(F.lit("inRec"), F.col("rec").cast("string")))
-    rows = rows.withColumn("__rec", rec)
-    for side in SIDES:
-        rows = rows.withColumn(f"__{side}", box("SAMPLE-", S.encode_iri(F.col(f"{side}_wd")), "-inRec", F.col("rec").cast("string")))
-    value = lambda name: invalid_to_null(F.col(name))
-    type_id, type_name = value("interactionTypeId"), value("interactionTypeName")
-    by_id, by_name = F.when(type_name.isNotNull(), type_id), F.when(type_id.isNull(), box(S.encode_iri(type_name)))
-    rows = rows.withColumn("__type_iri", F.coalesce(by_id, by_name)).withColumn("__type_label", F.when(by_id.isNotNull(), type_name))
+    plain = _with_ends(rows, entities)
+    r, samples = F.col("__rec"), [F.col(f"__{side}") for side in SIDES]
     slots = [(side, part) for part in PARTS for side in SIDES]
-    for side, part in slots:
-        rows = _entity(rows, f"{side}{part}", entities)
-    if entities is not None:
-        rows = dealt(rows, records)
-    r = F.col("__rec")
+    shared_iris = [F.col(f"__{n}_iri") for n in ("type", *(f"{a}{b}" for a, b in slots))]
+    # a sample's IRI holds its record's number, so only records of one row_id state its triples; not so without a
+    # sample, or where the data name a sample, whose label then is stated apart
+    odd = reduce(lambda x, y: x | y, [*(c.isNull() for c in samples), *(F.coalesce(c.startswith(V.EMI_BOX + "SAMPLE-"), F.lit(False)) for c in shared_iris)])
+    seen = plain.agg(F.count(F.lit(1)).alias("n"), F.count_if(odd).alias("odd")).first()
+    # joined entities are dealt after their joins
+    rows = _with_ends(dealt(rows, records, seen["n"]), None) if entities is None else dealt(plain, records, seen["n"])
+    value = lambda name: invalid_to_null(F.col(name))
     made = [
-        iri(r, V.RDF + "type", V.EMI + "Interaction"),
+        replace(iri(r, V.RDF + "type", V.EMI + "Interaction"), s_new=ALONE),
         iri(r, V.EMI + "isClassifiedWith", F.col("__type_iri")),
-        iri(F.col("__type_iri"), V.RDF + "type", V.EMI + "InteractionType"),
         literal(r, V.PROV + "atLocation", value("localityName")),
         literal(r, V.DCTERMS + "bibliographicCitation", value("referenceDoi")),
         literal(r, V.DCTERMS + "bibliographicCitation", value("sourceDOI")),
@@ -195,22 +227,54 @@ def interaction_triples(records: DataFrame, sexes: DataFrame, entities: DataFram
         sample, name, wd = F.col(f"__{side}"), value(f"{side}_name"), value(f"{side}_wd")
         named = F.when(name.isNotNull(), sample)
         made += [
-            iri(r, V.EMI + link, sample),
+            replace(iri(r, V.EMI + link, sample), o_new=ALONE),
             iri(named, V.RDF + "type", V.SOSA + "Sample"),
             literal(named, V.RDFS + "label", name),
             iri(named, V.SOSA + "isSampleOf", box("ORGANISM-", S.encode_iri(name))),
             iri(sample, V.EMI + "inTaxon", F.concat(F.lit(V.WD), wd)),
         ]
-    for side, part in slots:
-        link, kind = PARTS[part]
-        entity = F.col(f"__{side}{part}_iri")
-        made += [iri(F.col(f"__{side}"), V.EMI + link, entity), iri(entity, V.RDF + "type", V.EMI + kind)]
-    # two narrow passes besides: first labels, and the counts of sexes
-    labels = [F.struct(F.col(f"__{n}_iri").alias("iri"), F.col(f"__{n}_label").alias("label")) for n in ("type", *(f"{a}{b}" for a, b in slots))]
-    named = rows.select(F.explode(F.array(*labels)).alias("e"), "row_id").select("e.iri", "e.label", "row_id")
+    made += [iri(F.col(f"__{side}"), V.EMI + PARTS[part][0], F.col(f"__{side}{part}_iri")) for side, part in slots]
+    made = [x if x.s_new == ALONE else replace(x, s_new=NOT) for x in made]
+    # classes and first labels: what many records state, found without dealing them
+    kinds = {"type": "InteractionType"} | {f"{a}{b}": PARTS[b][1] for a, b in slots}
+    found = [F.struct(F.col(f"__{n}_iri").alias("iri"), F.col(f"__{n}_label").alias("label"), F.lit(V.EMI + k).alias("kind")) for n, k in kinds.items()]
+    found = plain.select(F.explode(F.array(*found)).alias("e"), "row_id").select("e.*", "row_id").filter("iri is not null")
+    # equal ones are one row before any order matters
+    few = found.groupBy("iri", "label", "kind").agg(F.min("row_id").alias("row_id"))
+    first = first_seen(few, "iri", ["label", "row_id"])
+    counted = _counted_sexes(rows, sexes)
+    n, of = F.col("node"), F.col("iri")
+    sexed = [
+        replace(bnode(F.col("sample"), V.EMI + "hasSex", n), s_new=NOT, o_new=NOT),
+        replace(iri(n, V.QUDT_INTERACTIONS + "quantityKind", of), s_new=ALONE),
+        replace(literal(n, V.QUDT_INTERACTIONS + "numericValue", F.col("n"), INTEGER), s_new=NOT),
+    ]
+    emit = lambda df, statements: emitted(df, spelled(statements), src, news=True)
     # what labels and sexes state has no inverse
-    out = emitted(rows, made + inverses(made), src).unionByName(labelled_once(named, src)).unionByName(_sexes(rows, sexes, src))
-    return as_set(out, src) if once else out
+    own = [emit(rows, made + inverses(made)), emit(counted, sexed)]
+    shared = [
+        emit(few, [iri(F.col("iri"), V.RDF + "type", F.col("kind"))]),
+        emit(first, [literal(F.col("iri"), V.RDFS + "label", F.col("label"))]),
+        emit(counted, [iri(of, V.RDF + "type", V.EMI + "BiologicalSex")]),
+    ]
+    if seen["odd"] or records.schema["row_id"].dataType not in (T_.IntegerType(), T_.LongType()):
+        own, shared = [], own + shared
+    return Graph(own, reduce(DataFrame.unionByName, shared), src)
+
+
+def _with_ends(rows: DataFrame, entities: DataFrame | None) -> DataFrame:
+    """Numbered records with the IRIs of record, samples, type and entities, and the labels of the last two."""
+    rows = rows.withColumn("__rec", box(F.concat(F.lit("inRec"), F.col("rec").cast("string"))))
+    for side in SIDES:
+        rows = rows.withColumn(f"__{side}", box("SAMPLE-", S.encode_iri(F.col(f"{side}_wd")), "-inRec", F.col("rec").cast("string")))
+    value = lambda name: invalid_to_null(F.col(name))
+    type_id, type_name = value("interactionTypeId"), value("interactionTypeName")
+    by_id, by_name = F.when(type_name.isNotNull(), type_id), F.when(type_id.isNull(), box(S.encode_iri(type_name)))
+    rows = rows.withColumn("__type_iri", F.coalesce(by_id, by_name)).withColumn("__type_label", F.when(by_id.isNotNull(), type_name))
+    for part in PARTS:
+        for side in SIDES:
+            rows = _entity(rows, f"{side}{part}", entities)
+    return rows
 
 
 SIDES = ("source", "target")
@@ -228,15 +292,12 @@ def _entity(rows: DataFrame, slot: str, entities: DataFrame | None) -> DataFrame
     return found.withColumn(f"__{slot}_iri", F.coalesce(own, "entity_iri")).drop("__name", "entity_iri", "entity_name")
 
 
-def _sexes(rows: DataFrame, sexes: DataFrame, src: str) -> DataFrame:
-    """Counts per sex on a blank node whose name follows from sample and sex."""
+def _counted_sexes(rows: DataFrame, sexes: DataFrame) -> DataFrame:
+    """(sample, row_id, iri, n, node): counts per sex, with a blank node whose name follows from sample and sex."""
     sides = F.array(*[F.struct(F.col(f"__{side}").alias("sample"), F.col(f"{side}SexName").alias("sex")) for side in SIDES])
     own = rows.select(F.explode(sides).alias("e"), "row_id").select("e.sample", "e.sex", "row_id")
     counted = T.count_terms(own, "sex", ["sample", "row_id"], sexes)
-    counted = counted.withColumn("node", F.concat(F.lit("_:b"), F.substring(F.sha2(F.concat_ws("\n", "sample", "iri"), 256), 1, 32)))
-    n, of = F.col("node"), F.col("iri")
-    made = [bnode(F.col("sample"), V.EMI + "hasSex", n), iri(n, V.QUDT_INTERACTIONS + "quantityKind", of), literal(n, V.QUDT_INTERACTIONS + "numericValue", F.col("n"), INTEGER), iri(of, V.RDF + "type", V.EMI + "BiologicalSex")]
-    return emitted(counted, made, src)
+    return counted.withColumn("node", F.concat(F.lit("_:b"), F.substring(F.sha2(F.concat_ws("\n", "sample", "iri"), 256), 1, 32)))
 
 
 def term_entities(df: DataFrame, text: str, subject: str, link: str, kind: str, entities: DataFrame, src: str = "terms") -> DataFrame:

@@ -258,12 +258,12 @@ def sex_terms(spark) -> DataFrame:
 
 
 def order_triples(spark, sf) -> DataFrame:
-    return triples.interaction_triples(resolve.kept_records(order_records(spark, sf)), sex_terms(spark))
+    return order_graph(spark, sf).as_set()
 
 
-def order_statements(spark, sf) -> DataFrame:
-    """The same graph, triples stated as often as they are emitted."""
-    return triples.interaction_triples(resolve.kept_records(order_records(spark, sf)), sex_terms(spark), once=False)
+def order_graph(spark, sf, spelled=list) -> triples.Graph:
+    """The same graph in parts, triples stated as often as they are emitted."""
+    return triples.interaction_graph(resolve.kept_records(order_records(spark, sf)), sex_terms(spark), spelled=spelled)
 
 
 def loaded(spark: SparkSession, df: DataFrame) -> DataFrame:
@@ -273,7 +273,7 @@ def loaded(spark: SparkSession, df: DataFrame) -> DataFrame:
     return sinks.read_triples(spark, path)
 
 
-def stored(spark: SparkSession, df: DataFrame) -> store.Store:
+def stored(spark: SparkSession, df: DataFrame | triples.Graph) -> store.Store:
     """The triples as a store of numbers."""
     return store.write_store(df, f"{shared_dir(spark)}/store-{uuid.uuid4().hex}")
 
@@ -495,7 +495,7 @@ def inverse_triples(spark, sf):
 WITH {RECORD_TRIPLES}, labelled AS (SELECT s, count(*) AS n FROM triples WHERE p = '{V.RDFS}label' GROUP BY s)
 SELECT sum(l.n)::BIGINT AS n_records FROM triples c JOIN labelled l ON l.s = c.o WHERE c.p = '{V.EMI}isClassifiedWith'""")
 def bgp_record_count(spark, sf):
-    return graph.record_count(stored(spark, order_statements(spark, sf)))
+    return graph.record_count(stored(spark, order_graph(spark, sf)))
 
 
 TAXA_SQL = f"""
@@ -506,12 +506,12 @@ JOIN triples t ON t.s = h.o AND t.p = '{V.EMI}inTaxon' WHERE c.p = '{V.EMI}isCla
 
 @query("bgp_distinct_taxa", TAXA_SQL)
 def bgp_distinct_taxa(spark, sf):
-    return graph.distinct_taxa(stored(spark, order_statements(spark, sf)))
+    return graph.distinct_taxa(stored(spark, order_graph(spark, sf)))
 
 
 @query("sparql_union", TAXA_SQL)
 def sparql_union(spark, sf):
-    return sparql.sparql(stored(spark, order_statements(spark, sf)), """
+    return sparql.sparql(stored(spark, order_graph(spark, sf)), """
         PREFIX emi: <https://w3id.org/emi#>
         PREFIX rdfs: <http://www.w3.org/2000/01/rdf-schema#>
         SELECT (COUNT(DISTINCT ?wdx) AS ?n_taxa) WHERE {
@@ -523,7 +523,7 @@ def sparql_union(spark, sf):
 
 @query("sparql_group", f"WITH {RECORD_TRIPLES} SELECT o AS type, count(*) AS n FROM triples WHERE p = '{V.EMI}isClassifiedWith' GROUP BY o ORDER BY n DESC, o LIMIT 3")
 def sparql_group(spark, sf):
-    return sparql.sparql(stored(spark, order_statements(spark, sf)), "SELECT ?type (COUNT(?r) AS ?n) WHERE { ?r a emi:Interaction ; emi:isClassifiedWith ?type } GROUP BY ?type ORDER BY DESC(?n) ?type LIMIT 3")
+    return sparql.sparql(stored(spark, order_graph(spark, sf)), "SELECT ?type (COUNT(?r) AS ?n) WHERE { ?r a emi:Interaction ; emi:isClassifiedWith ?type } GROUP BY ?type ORDER BY DESC(?n) ?type LIMIT 3")
 
 
 #: A trait record per part.
@@ -647,7 +647,7 @@ def sparql_filtered_optional(spark, sf):
 
 @query("store_predicates", f"WITH {RECORD_TRIPLES} SELECT p AS name, count(DISTINCT s || chr(10) || o_kind || chr(10) || o || coalesce(o_dtype, '')) AS triples FROM triples GROUP BY p")
 def store_predicates(spark, sf):
-    return stored(spark, order_statements(spark, sf)).predicates.select("name", "triples")
+    return stored(spark, order_graph(spark, sf)).predicates.select("name", "triples")
 
 
 @query("ancestor_closure", """

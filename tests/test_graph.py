@@ -163,3 +163,33 @@ def test_records_are_dealt_before_they_are_multiplied(spark, monkeypatch):
     few = spark.range(95).withColumnRenamed("id", "row_id").coalesce(1)
     assert triples.dealt(few, few).rdd.getNumPartitions() == 10 and triples.dealt(few, few).count() == 95
     assert triples.dealt(few.limit(3), few.limit(3)).rdd.getNumPartitions() == 4
+
+
+def several(spark, **values):
+    """Records of which two share a number."""
+    of = lambda **x: record(spark, **({"source_wd": "Q1", "source_name": "Apis", "target_wd": "Q2", "target_name": "Rosa", "sourceSexName": "2 males, x"} | x | values))
+    return of(row_id=1, interactionTypeName="eats").union(of(row_id=1, interactionTypeName="visits")).union(of(row_id=2, interactionTypeName="eats")).union(of(row_id=3, target_wd="Q3"))
+
+
+def test_records_triples_are_not_shuffled(spark, sexes):
+    """Triples that hold a record's number are made distinct where the record was dealt to."""
+    g = triples.interaction_graph(several(spark), sexes)
+    assert len(g.own) == 2
+    for own in g.own:
+        plan = own.distinct()._jdf.queryExecution().executedPlan().toString()
+        dealt_by = [x.split("\n")[0] for x in plan.split("Exchange hashpartitioning(")[1:]]
+        assert [x.split("#")[0] for x in dealt_by if "REPARTITION" in x] == ["row_id"]
+        assert all(x.startswith("key#") for x in dealt_by if "REPARTITION" not in x)  # the map of sexes
+    everything = triples.as_set(g.own[0].unionByName(g.own[1]).unionByName(g.shared).drop(*triples.NEWS), "interactions")
+    got = g.as_set()
+    assert sorted(map(str, got.collect())) == sorted(map(str, everything.collect()))
+    assert got.count() == got.select("s", "p", "o", "o_kind", "o_dtype").distinct().count()
+
+
+def test_data_that_name_a_sample_keep_the_set(spark, sexes):
+    """A type whose IRI and label are those of a sample: its label is stated twice, in all one triple."""
+    sample = f"{V.EMI_BOX}SAMPLE-Q1-inRec2"
+    g = triples.interaction_graph(several(spark, interactionTypeId=sample, interactionTypeName="Apis"), sexes)
+    got = g.as_set().select("s", "p", "o", "o_kind", "o_dtype")
+    assert g.own == [] and got.count() == got.distinct().count()
+    assert got.filter((F.col("s") == sample) & (F.col("p") == V.RDFS + "label")).count() == 1
