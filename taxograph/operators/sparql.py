@@ -343,7 +343,7 @@ def sparql(source: G.Source, text: str) -> DataFrame:
         out = out.distinct()
     if run.store is not None:
         columns = out.columns
-        out = run.store.decoded(out, [c for c in columns if c not in {s[3] for s in counts}]).select(*columns)
+        out = run.store.decoded(out, [c for c in columns if c not in {s[3] for s in counts}], grouped=bool(counts or q.group)).select(*columns)
     if q.order:
         out = out.orderBy(*[F.col(c).desc() if down else F.col(c) for c, down in q.order])
     if q.select != [("all",)]:

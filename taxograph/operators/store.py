@@ -5,12 +5,14 @@ is a projection without a join. The dictionary holds each term once; where terms
 but one of them get odd ids of their own, and only then triples are joined with those few terms.
 Joins of patterns compare 8-byte numbers; texts are looked up for what a query returns.
 
-Layout of a folder: statements (as given), hashed (terms with their hashes), terms (id, kind, value, dtype), triples (s, o) in a folder per predicate id,
-predicates (p, name, triples, subjects, objects), others (the terms with odd ids) and dtypes.
+Layout of a folder: hashed (id, kind, value, dtype), the terms with their hashes; repeated, the ids found twice there, and
+where there are any, terms, each once with its own id; triples (s, o) in a folder per predicate id,
+predicates (p, name, triples, subjects, objects), others (the terms with odd ids) and dtypes. statements (as given) is there while they are encoded.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import cached_property, reduce
 
@@ -19,10 +21,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from taxograph.operators.lineage import reachable
+from taxograph.operators.triples import ALONE, AMONG_OTHERS, NEWS, Graph
 from taxograph.plans.session import split_bytes
+from taxograph.sources.sinks import removed
 
 #: Literals of at most so many data types are found by hash, else by a scan of the dictionary.
 DTYPES = 1000
+#: The ids of so many groups are sent to all tasks.
+GROUPS = 100_000
 #: What a task reads of statements and terms, which it holds while it makes them distinct.
 SPLIT_MB = 16
 
@@ -46,51 +52,72 @@ def _ends(bits: int) -> tuple[Column, Column, Column]:
     return _term(subject_kind(F.col("s")), F.col("s"), none, bits), _term(F.lit("iri"), F.col("p"), none, bits), _term(F.col("o_kind"), F.col("o"), F.col("o_dtype"), bits)
 
 
-def write_store(triples: DataFrame, path: str, bits: int = 64) -> Store:
+def write_store(triples: DataFrame | Graph, path: str, bits: int = 64) -> Store:
     """Encode triples (s, p, o, o_kind, o_dtype), which need not be a set, and write them to a folder.
 
-    They are stored as texts first, since the dictionary and the ids each need a pass over them.
+    They are stored as texts first, since the dictionary and the ids each need a pass over them. A graph in parts is a
+    set before that and says which statement introduces a term, so that neither its triples nor the terms of a
+    single record are shuffled.
     """
-    triples.select("s", "p", "o", "o_kind", "o_dtype").write.mode("overwrite").parquet(f"{path}/statements")
-    with split_bytes(triples.sparkSession, SPLIT_MB):
-        return _encoded(triples.sparkSession, path, bits)
+    spark = (triples.shared if isinstance(triples, Graph) else triples).sparkSession
+    given = triples.statements() if isinstance(triples, Graph) else triples.select("s", "p", "o", "o_kind", "o_dtype")
+    _put(given, f"{path}/statements")
+    with split_bytes(spark, SPLIT_MB):
+        held = _encoded(spark, path, bits)
+    removed(spark, f"{path}/statements")
+    return held
+
+
+def _put(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
 def _encoded(spark: SparkSession, path: str, bits: int) -> Store:
     """The store of the statements in a folder."""
     triples = spark.read.parquet(f"{path}/statements")
-    # each end made distinct on its own columns first: most triples share their ends with others
-    ends = zip((["s"], ["p"], ["o", "o_kind", "o_dtype"]), _ends(bits), strict=True)
-    terms = reduce(DataFrame.union, [triples.select(*columns).distinct().select(end.alias("t")).select("t.*") for columns, end in ends]).distinct()
-    terms.write.mode("overwrite").parquet(f"{path}/hashed")
+    a_set = set(NEWS) <= set(triples.columns)
+    s, p, o = _ends(bits)
+    some = lambda end, column, how: (triples.filter(F.col(column) == how) if a_set else triples).select(end.alias("t")).select("t.*")
+    # predicates made distinct on their own first: they are few
+    names = triples.select("p").distinct().select(p.alias("t")).select("t.*")
+    terms = names.union(some(s, "s_new", AMONG_OTHERS)).union(some(o, "o_new", AMONG_OTHERS)).distinct()
+    if a_set:
+        terms = terms.union(some(s, "s_new", ALONE)).union(some(o, "o_new", ALONE))
+    _put(terms, f"{path}/hashed")
     terms = spark.read.parquet(f"{path}/hashed")
-    shared = terms.groupBy("id").count().filter("count > 1").select("id")
+    # ids found twice: of terms with one hash, or of a term that two statements introduce
+    _put(terms.groupBy("id").count().filter("count > 1").select("id"), f"{path}/repeated")
+    repeated = spark.read.parquet(f"{path}/repeated")
+    twice = terms.join(repeated, "id", "left_semi").distinct() if repeated.head(1) else terms.limit(0)
     # of terms with one hash the least keeps it; the others are few and numbered by one task
     order = W.partitionBy("id").orderBy("kind", "value", F.col("dtype").asc_nulls_first())
-    later = terms.join(shared, "id", "left_semi").withColumn("k", F.row_number().over(order)).filter("k > 1")
+    later = twice.withColumn("k", F.row_number().over(order)).filter("k > 1")
     everywhere = W.orderBy("kind", "value", F.col("dtype").asc_nulls_first())
-    later.select((2 * F.row_number().over(everywhere) + 1).cast("long").alias("own"), "id", "kind", "value", "dtype").write.mode("overwrite").parquet(f"{path}/others")
+    _put(later.select((2 * F.row_number().over(everywhere) + 1).cast("long").alias("own"), "id", "kind", "value", "dtype"), f"{path}/others")
     others = spark.read.parquet(f"{path}/others")
-    some = others.count()
-    numbered = _renumbered(terms, others) if some else terms
-    numbered.write.mode("overwrite").parquet(f"{path}/terms")
+    odd = bool(others.head(1))
+    if repeated.head(1):
+        whole = terms.join(repeated, "id", "left_anti").union(twice)
+        _put(_renumbered(whole, others) if odd else whole, f"{path}/terms")
 
-    s, p, o = _ends(bits)
     rows = triples.select(s.alias("s"), p.alias("p"), o.alias("o"))
     for c in ("s", "p", "o"):
-        if some:
+        if odd:
             kept = [x for x in ("s", "p", "o") if x != c]
             rows = _renumbered(rows.select(*kept, f"{c}.*"), others, kept).select(*kept, F.struct("id", "kind", "value", "dtype").alias(c))
-    rows = rows.select(F.col("s.id").alias("s"), F.col("p.id").alias("p"), F.col("o.id").alias("o")).distinct()
-    rows.hint("rebalance", "p").write.mode("overwrite").partitionBy("p").parquet(f"{path}/triples")
+    rows = rows.select(F.col("s.id").alias("s"), F.col("p.id").alias("p"), F.col("o.id").alias("o"))
+    # a set of triples is a set of ids, and each task writes what it reads; others go to tasks by their predicates
+    rows = rows if a_set else rows.distinct().hint("rebalance", "p")
+    rows.write.mode("overwrite").option("compression", "zstd").partitionBy("p").parquet(f"{path}/triples")
 
+    held = Store(spark, path, bits)
     ids = spark.read.parquet(f"{path}/triples")
     counts = ids.groupBy("p").agg(F.count(F.lit(1)).alias("triples"), F.approx_count_distinct("s").alias("subjects"), F.approx_count_distinct("o").alias("objects"))
-    names = spark.read.parquet(f"{path}/terms").filter("kind = 'iri'").select(F.col("id").alias("p"), F.col("value").alias("name"))
+    names = held.terms.filter("kind = 'iri'").select(F.col("id").alias("p"), F.col("value").alias("name"))
     # a row a predicate, of which there are few; shuffled, since coalesce would make one task read the dictionary
     names.join(F.broadcast(counts), "p").select("p", "triples", "subjects", "objects", "name").repartition(1).write.mode("overwrite").parquet(f"{path}/predicates")
-    spark.read.parquet(f"{path}/terms").filter("kind = 'literal'").select("dtype").distinct().repartition(1).write.mode("overwrite").parquet(f"{path}/dtypes")
-    return Store(spark, path, bits)
+    held.terms.filter("kind = 'literal'").select("dtype").distinct().repartition(1).write.mode("overwrite").parquet(f"{path}/dtypes")
+    return held
 
 
 def _renumbered(rows: DataFrame, others: DataFrame, kept: list[str] = ()) -> DataFrame:
@@ -113,7 +140,7 @@ class Store:
 
     @cached_property
     def terms(self) -> DataFrame:
-        return self._read("terms")
+        return self._read("terms" if self._read("repeated").head(1) else "hashed")
 
     @cached_property
     def triples(self) -> DataFrame:
@@ -180,10 +207,21 @@ class Store:
         n, subjects, objects = counts.get(p, (0, 1, 1))
         return n / (1 if s.startswith("?") else max(subjects, 1)) / (1 if o.startswith("?") else max(objects, 1))
 
-    def decoded(self, df: DataFrame, variables: list[str]) -> DataFrame:
-        """df with the texts of some variables in place of their ids; an unbound one stays null."""
+    def decoded(self, df: DataFrame, variables: list[str], grouped: bool = False) -> DataFrame:
+        """df with the texts of some variables in place of their ids; an unbound one stays null.
+
+        grouped: df has a row a group, and is written before; the ids of few groups are sent to the dictionary,
+        which else is shuffled.
+        """
+        terms = self.terms
+        if grouped and variables:
+            _put(df, out := f"{self.path}/answers-{uuid.uuid4().hex}")
+            df = self.spark.read.parquet(out)
+            if df.count() <= GROUPS:
+                wanted = df.select(F.explode(F.array(*variables)).alias("id")).distinct()
+                terms = terms.join(F.broadcast(wanted), "id", "left_semi")
         for v in variables:
-            texts = self.terms.select(F.col("id").alias(f"__{v}"), F.col("value").alias("__value"))
+            texts = terms.select(F.col("id").alias(f"__{v}"), F.col("value").alias("__value"))
             rest = [c for c in df.columns if c != v]
             df = df.join(texts, df[v] == texts[f"__{v}"], "left").select(*rest, F.col("__value").alias(v))
         return df

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import logging
+import re
+from dataclasses import replace
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from taxograph import vocab as V
+from taxograph.functions import scalars as S
 
 LOG = logging.getLogger("taxograph")
 
@@ -30,13 +34,26 @@ def write_matches(matches: DataFrame, path: str) -> None:
     write_delimited(matches.select(*columns), path)
 
 
+LOCAL = r"\A[A-Za-z_][A-Za-z0-9_-]*\z"
+#: A local part has no # or /, and all namespaces end in one, so an IRI's last of these ends the only one that fits.
+NAMES = {base: name for name, base in V.PREFIXES.items()}
+
+
 def iri_term(c: Column) -> Column:
     """An IRI as a prefixed name where its local part allows, else in angle brackets."""
-    out = F.concat(F.lit("<"), F.regexp_replace(c, r'[\x00-\x20<>"{}|^`\\]', "_"), F.lit(">"))
-    for name, base in sorted(V.PREFIXES.items(), key=lambda x: len(x[1])):
-        local = F.substring(c, len(base) + 1, 1 << 30)
-        out = F.when(c.startswith(base) & local.rlike(r"\A[A-Za-z_][A-Za-z0-9_-]*\z"), F.concat(F.lit(f"{name}:"), local)).otherwise(out)
-    return out
+    local = F.substring_index(F.substring_index(c, "#", -1), "/", -1)
+    name = S.lookup(NAMES, F.substring(c, F.lit(1), F.length(c) - F.length(local)))
+    plain = F.concat(F.lit("<"), F.regexp_replace(c, r'[\x00-\x20<>"{}|^`\\]', "_"), F.lit(">"))
+    return F.when(name.isNotNull() & local.rlike(LOCAL), F.concat(name, F.lit(":"), local)).otherwise(plain)
+
+
+def _constant_term(iri: str) -> str:
+    """The term of a predicate."""
+    local = re.split("[#/]", iri)[-1]
+    name = NAMES.get(iri[: len(iri) - len(local)])
+    if iri == V.RDF + "type":
+        return "a"
+    return f"{name}:{local}" if name is not None and re.fullmatch(LOCAL[2:-2], local) else f"<{re.sub(r'[\x00-\x20<>"{}|^`\\]', '_', iri)}>"
 
 
 def literal_term(value: Column, dtype: Column) -> Column:
@@ -54,6 +71,29 @@ def turtle_lines(triples: DataFrame) -> DataFrame:
     return triples.select(F.concat_ws(" ", subject, predicate, object_, F.lit(".")).alias("value")).distinct()
 
 
+def spelled(statements: list) -> list:
+    """Statements with their ends as Turtle terms, so that a record's ends are spelled once, not in each triple."""
+    made: dict = {}
+
+    def once(c: Column, how: str, make) -> Column:
+        return made.setdefault((id(c), how), make(c))
+
+    subject = lambda c: F.when(c.startswith("_:"), c).otherwise(iri_term(c))
+    out = []
+    for x in statements:
+        dtype = F.lit(x.dtype).cast("string") if x.dtype is None or isinstance(x.dtype, str) else x.dtype
+        o = once(x.o, f"literal {x.dtype}", lambda c: literal_term(c, dtype)) if x.kind == "literal" else x.o if x.kind == "bnode" else once(x.o, "iri", iri_term)  # noqa: B023
+        out.append(replace(x, s=once(x.s, "subject", subject), p=_constant_term(x.p), o=o))
+    return out
+
+
+def spelled_lines(graph) -> DataFrame:
+    """(value): the Turtle statements of a graph in parts that was made with `spelled`. Equal lines of a record are in one task."""
+    line = F.concat_ws(" ", "s", "p", "o", F.lit(".")).alias("value")
+    parts = [x.select("row_id", line).distinct().select("value") for x in graph.own] + [graph.shared.select(line).distinct()]
+    return reduce(DataFrame.union, parts)
+
+
 def _prefix_lines() -> list[str]:
     """The prefix block, an empty line last."""
     return [*(f"@prefix {n}: <{b}> ." for n, b in V.PREFIXES.items()), ""]
@@ -74,6 +114,12 @@ def _fs(spark: SparkSession, path: str):
     return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Remove a folder that was staged."""
+    fs, make = _fs(spark, path)
+    fs.delete(make(path), True)
+
+
 def write_turtle_document(triples: DataFrame, path: str, gzip: bool = True) -> str:
     """One Turtle document, `path`/document.ttl(.gz): the prefix block once, then the statements; returns its name.
 

@@ -8,7 +8,8 @@ from itertools import product
 import pytest
 from pyspark.sql import functions as F
 
-from taxograph.operators import graph, lineage, sparql, stars, store
+from taxograph.operators import graph, lineage, sparql, stars, store, triples
+from taxograph.sources import readers
 
 SCHEMA = "s string, p string, o string, o_kind string, o_dtype string"
 XSD = "http://www.w3.org/2001/XMLSchema#"
@@ -182,3 +183,28 @@ def test_closure_of_a_tree_gives_each_pair_once(spark, monkeypatch):
     assert lineage.ancestor_closure(edges).count() == 17 * 18 // 2
     # pairs of 2..16 steps, each once, and those of exactly 2, 4, 8 and 16
     assert sum(made) == sum(17 - n for n in range(2, 17)) + sum(17 - n for n in (2, 4, 8, 16))
+
+
+def test_store_of_a_graph_in_parts(spark, tmp_path):
+    """Terms that records introduce alone are written as they come, yet each is once in the dictionary; no text stays but there."""
+    columns = ["source_wd", "source_name", "target_wd", "target_name", *readers.RECORD_COLUMNS]
+    record = lambda k, **x: (k, *(({"source_wd": "Q1", "source_name": "A", "target_wd": "Q2", "target_name": "B", "interactionTypeName": "eats", "sourceSexName": "male"} | x).get(c) for c in columns))
+    # two records of one number, one with itself, one whose type is the name of a record
+    rows = [record(1), record(1, interactionTypeName="visits"), record(2, target_wd="Q1"), record(3, interactionTypeName="inRec1"), record(4)]
+    df = spark.createDataFrame(rows, "row_id long, " + ", ".join(f"{c} string" for c in columns))
+    made = triples.interaction_graph(df, spark.createDataFrame([("male", "obo:male")], "key string, value string"))
+    assert len(made.own) == 2
+    held, plain = store.write_store(made, str(tmp_path / "a")), store.write_store(made.as_set(), str(tmp_path / "b"))
+    name = [{r.id: (r.kind, r.value, r.dtype) for r in x.terms.collect()} for x in (held, plain)]
+    assert held.terms.count() == len(name[0]) and sorted(map(str, name[0].values())) == sorted(map(str, name[1].values()))
+    assert held._read("repeated").count() > 0
+    texts = [sorted(str([n[c] for c in r]) for r in x.triples.collect()) for x, n in zip((held, plain), name, strict=True)]
+    assert texts[0] == texts[1] and len(set(texts[0])) == len(texts[0])
+    assert not (tmp_path / "a" / "statements").exists() and not (tmp_path / "b" / "statements").exists()
+
+
+def test_names_of_groups_do_not_shuffle_the_dictionary(spark, tmp_path):
+    held = store.write_store(spark.createDataFrame(iris([(f"s{k}", "is", f"o{k % 3}") for k in range(30)]), SCHEMA), str(tmp_path / "s"))
+    found = sparql.sparql(held, "SELECT ?t (COUNT(?r) AS ?n) WHERE { ?r <is> ?t } GROUP BY ?t ORDER BY ?t")
+    assert [tuple(r) for r in found.collect()] == [(f"o{k}", 10) for k in range(3)]
+    assert "LeftSemi, BuildRight" in found._jdf.queryExecution().toString()
