@@ -203,16 +203,16 @@ def interaction_triples(records: DataFrame, sexes: DataFrame, entities: DataFram
 def interaction_graph(records: DataFrame, sexes: DataFrame, entities: DataFrame | None = None, batch: int | None = None, src: str = "interactions", spelled: Callable[[list[Statement]], list[Statement]] = list) -> Graph:
     """The same graph in parts; spelled may write the statements' ends in another way, still a column a record."""
     rows = numbered(records, batch)
-    plain = _with_ends(rows, entities)
-    r, samples = F.col("__rec"), [F.col(f"__{side}") for side in SIDES]
-    slots = [(side, part) for part in PARTS for side in SIDES]
-    shared_iris = [F.col(f"__{n}_iri") for n in ("type", *(f"{a}{b}" for a, b in slots))]
     # a sample's IRI holds its record's number, so only records of one row_id state its triples; not so without a
-    # sample, or where the data name a sample, whose label then is stated apart
-    odd = reduce(lambda x, y: x | y, [*(c.isNull() for c in samples), *(F.coalesce(c.startswith(V.EMI_BOX + "SAMPLE-"), F.lit(False)) for c in shared_iris)])
-    seen = plain.agg(F.count(F.lit(1)).alias("n"), F.count_if(odd).alias("odd")).first()
+    # sample, or where the data may name a sample, whose label then is stated apart
+    named = lambda *columns: reduce(lambda x, y: x | y, [F.coalesce(F.contains(F.col(c), F.lit("SAMPLE-")), F.lit(False)) for c in columns])
+    slots = [(side, part) for part in PARTS for side in SIDES]
+    odd = F.col("row_id").isNull() | F.col("source_wd").isNull() | F.col("target_wd").isNull() | named("interactionTypeId", "interactionTypeName", *(f"{a}{b}Id" for a, b in slots))
+    seen = records.agg(F.count(F.lit(1)).alias("n"), F.count_if(odd).alias("odd")).first()
+    in_parts = not seen["odd"] and records.schema["row_id"].dataType in (T_.IntegerType(), T_.LongType()) and (entities is None or not entities.filter(named("iri")).head(1))
     # joined entities are dealt after their joins
-    rows = _with_ends(dealt(rows, records, seen["n"]), None) if entities is None else dealt(plain, records, seen["n"])
+    rows = _with_ends(dealt(rows, records, seen["n"]), None) if entities is None else dealt(_with_ends(rows, entities), records, seen["n"])
+    r = F.col("__rec")
     value = lambda name: invalid_to_null(F.col(name))
     made = [
         replace(iri(r, V.RDF + "type", V.EMI + "Interaction"), s_new=ALONE),
@@ -235,10 +235,10 @@ def interaction_graph(records: DataFrame, sexes: DataFrame, entities: DataFrame
         ]
     made += [iri(F.col(f"__{side}"), V.EMI + PARTS[part][0], F.col(f"__{side}{part}_iri")) for side, part in slots]
     made = [x if x.s_new == ALONE else replace(x, s_new=NOT) for x in made]
-    # classes and first labels: what many records state, found without dealing them
+    # classes and first labels: what many records state
     kinds = {"type": "InteractionType"} | {f"{a}{b}": PARTS[b][1] for a, b in slots}
     found = [F.struct(F.col(f"__{n}_iri").alias("iri"), F.col(f"__{n}_label").alias("label"), F.lit(V.EMI + k).alias("kind")) for n, k in kinds.items()]
-    found = plain.select(F.explode(F.array(*found)).alias("e"), "row_id").select("e.*", "row_id").filter("iri is not null")
+    found = rows.select(F.explode(F.array(*found)).alias("e"), "row_id").select("e.*", "row_id").filter("iri is not null")
     # equal ones are one row before any order matters
     few = found.groupBy("iri", "label", "kind").agg(F.min("row_id").alias("row_id"))
     first = first_seen(few, "iri", ["label", "row_id"])
@@ -257,7 +257,7 @@ def interaction_graph(records: DataFrame, sexes: DataFrame, entities: DataFrame
         emit(first, [literal(F.col("iri"), V.RDFS + "label", F.col("label"))]),
         emit(counted, [iri(of, V.RDF + "type", V.EMI + "BiologicalSex")]),
     ]
-    if seen["odd"] or records.schema["row_id"].dataType not in (T_.IntegerType(), T_.LongType()):
+    if not in_parts:
         own, shared = [], own + shared
     return Graph(own, reduce(DataFrame.unionByName, shared), src)
 

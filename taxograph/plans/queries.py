@@ -677,7 +677,7 @@ SELECT DISTINCT (CASE WHEN starts_with(s, '_:') THEN s ELSE {_iri_sql('s')} END)
        (CASE o_kind WHEN 'literal' THEN chr(34) || {_TEXT_SQL} || chr(34) || (CASE WHEN o_dtype IS NOT NULL AND o_dtype <> '{V.XSD}string' THEN '^^' || {_iri_sql('o_dtype')} ELSE '' END) WHEN 'bnode' THEN o ELSE {_iri_sql('o')} END) || ' .' AS value
 FROM triples""")
 def turtle_lines(spark, sf):
-    return sinks.turtle_lines(order_triples(spark, sf))
+    return sinks.spelled_lines(order_graph(spark, sf, sinks.spelled))
 
 
 # --- analytics ----------------------------------------------------------------------------------

@@ -193,3 +193,12 @@ def test_data_that_name_a_sample_keep_the_set(spark, sexes):
     got = g.as_set().select("s", "p", "o", "o_kind", "o_dtype")
     assert g.own == [] and got.count() == got.distinct().count()
     assert got.filter((F.col("s") == sample) & (F.col("p") == V.RDFS + "label")).count() == 1
+
+
+def test_lines_of_records_are_not_shuffled(spark, sexes):
+    """Ends are spelled once a record; equal lines of a record are made one where it was dealt to."""
+    r = several(spark, sourceBodyPartId="http://x/a b", localityName='a "b"')
+    lines = sinks.spelled_lines(triples.interaction_graph(r, sexes, spelled=sinks.spelled))
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(row_id" in plan and plan.count("Exchange hashpartitioning(value") == 1
+    assert sorted(x.value for x in lines.collect()) == sorted(x.value for x in sinks.turtle_lines(triples.interaction_triples(r, sexes)).collect())
